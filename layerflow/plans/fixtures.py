@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from layerflow.operators.dedup import ROW_ID
+from layerflow.schema import NATURAL_KEY  # noqa: F401  (re-exported for queries)
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
@@ -86,3 +87,82 @@ TX_SQL = """tx AS (
   JOIN nation n ON n.n_nationkey = c.c_nationkey
   JOIN part p ON p.p_partkey = l.l_partkey
 )"""
+
+
+# ---------------------------------------------------------------- ledger-shaped frames
+
+# Which layer an event type stands for in the derived run ledger.
+EVENT_LAYER = {"view": "source", "click": "raw", "signup": "cleaned",
+               "purchase": "transformed", "error": "hashed"}
+
+
+def _layer_of(col: str):
+    expr = None
+    for k, v in EVENT_LAYER.items():
+        expr = F.when(F.col(col) == k, F.lit(v)) if expr is None else expr.when(F.col(col) == k, F.lit(v))
+    return expr
+
+
+def runs_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A ``pipeline_runs``-shaped ledger: one run per event (grows with the data)."""
+    e = table(spark, sf_dir, "events")
+    return e.select(
+        (F.col("event_id") + 1).cast("bigint").alias("run_id"),
+        F.col("user_id").cast("bigint").alias("table_id"),
+        _layer_of("event_type").alias("layer"),
+        F.col("ts").alias("start_time"),
+        (F.col("ts") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0),
+                                          F.floor("value").cast("decimal(18,6)"))).alias("end_time"),
+        F.when(F.col("value") >= 5, F.lit("SUCCEEDED")).otherwise(F.lit("FAILED")).alias("status"),
+        F.floor(F.col("value") * 100).cast("bigint").alias("number_of_records"),
+        F.col("props").alias("error_message"))
+
+
+def tables_from_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A ``metadata_tables``-shaped frame: one table per customer."""
+    c = table(spark, sf_dir, "customer")
+    return c.select(F.col("c_custkey").cast("bigint").alias("table_id"),
+                    F.col("c_name").alias("table_name"),
+                    F.col("c_mktsegment").alias("source_system"),
+                    (F.col("c_acctbal") > 0).alias("active_flag"),
+                    F.col("c_nationkey").cast("bigint").alias("load_order"))
+
+
+def params_from_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A ``table_parameters``-shaped frame: one parameter row per order."""
+    o = table(spark, sf_dir, "orders")
+    return o.select(F.col("o_custkey").cast("bigint").alias("table_id"),
+                    F.col("o_orderpriority").alias("parameter_name"),
+                    F.col("o_orderstatus").alias("parameter_value"),
+                    F.col("o_orderdate").alias("created_at"))
+
+
+def marks_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A ``table_watermarks``-shaped frame: one watermark row per event."""
+    e = table(spark, sf_dir, "events")
+    return e.select(F.col("user_id").cast("bigint").alias("table_id"),
+                    F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("last_watermark_value"),
+                    F.col("ts").alias("last_updated_at"),
+                    (F.col("event_id") + 1).cast("bigint").alias("last_run_id"))
+
+
+RUNS_SQL = """runs AS (
+  SELECT CAST(event_id + 1 AS BIGINT) AS run_id, CAST(user_id AS BIGINT) AS table_id,
+         CASE event_type WHEN 'view' THEN 'source' WHEN 'click' THEN 'raw' WHEN 'signup' THEN 'cleaned'
+                         WHEN 'purchase' THEN 'transformed' WHEN 'error' THEN 'hashed' END AS layer,
+         ts AS start_time, ts + to_seconds(CAST(floor(value) AS BIGINT)) AS end_time,
+         CASE WHEN value >= 5 THEN 'SUCCEEDED' ELSE 'FAILED' END AS status,
+         CAST(floor(value * 100) AS BIGINT) AS number_of_records, props AS error_message
+  FROM events)"""
+
+TABLES_SQL = """mt AS (
+  SELECT CAST(c_custkey AS BIGINT) AS table_id, c_name AS table_name, c_mktsegment AS source_system,
+         c_acctbal > 0 AS active_flag, CAST(c_nationkey AS BIGINT) AS load_order FROM customer)"""
+
+PARAMS_SQL = """tp AS (
+  SELECT CAST(o_custkey AS BIGINT) AS table_id, o_orderpriority AS parameter_name,
+         o_orderstatus AS parameter_value, o_orderdate AS created_at FROM orders)"""
+
+MARKS_SQL = """tw AS (
+  SELECT CAST(user_id AS BIGINT) AS table_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS last_watermark_value,
+         ts AS last_updated_at, CAST(event_id + 1 AS BIGINT) AS last_run_id FROM events)"""

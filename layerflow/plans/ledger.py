@@ -104,7 +104,8 @@ def active_tables(tables: DataFrame) -> DataFrame:
 def context(tables: DataFrame, params: DataFrame, marks: DataFrame,
             default_watermark: str = DEFAULT_WATERMARK) -> DataFrame:
     """One nested row per active table: its parameters as a map and its watermark."""
-    pmap = (params.groupBy("table_id")
+    one = params.groupBy("table_id", "parameter_name").agg(F.max("parameter_value").alias("parameter_value"))
+    pmap = (one.groupBy("table_id")
             .agg(F.map_from_entries(F.array_sort(F.collect_list(
                 F.struct("parameter_name", "parameter_value")))).alias("parameters")))
     w = marks.groupBy("table_id").agg(F.max_by(F.struct("last_watermark_value", "last_run_id"),
@@ -202,19 +203,68 @@ def reject_share(counts: DataFrame) -> DataFrame:
 
 
 def rejects_in_window(failed: DataFrame, runs: DataFrame, slack_seconds: int = 1,
-                      time_col: str = "_failed_at") -> DataFrame:
+                      time_col: str = "_failed_at", bucket_seconds: int = 300) -> DataFrame:
     """Rejects whose time falls in a run's window widened by ``slack``.
 
-    Equi-join on the stage, then a range condition; runs are few per stage.
+    A range join done as an equi-join: time is cut into buckets of
+    ``bucket_seconds``; a run window is listed under every bucket it
+    touches (a few, as runs are short), a reject under its one bucket.
+    The join is on (stage, bucket) and the exact range test runs on the
+    matched pairs only, so no stage is compared all-against-all.
     Output: run_id, layer, reason, rejected.
     """
-    r = runs.select("run_id", "layer",
+    lo = F.unix_micros(F.col("start_time").cast("timestamp")) - slack_seconds * 1_000_000
+    hi = F.unix_micros(F.col("end_time").cast("timestamp")) + slack_seconds * 1_000_000
+    b = F.lit(bucket_seconds * 1_000_000)
+    r = runs.select("run_id", F.col("layer").alias("_layer"), lo.alias("_lo"), hi.alias("_hi"),
+                    F.explode(F.sequence(F.floor(lo / b), F.floor(hi / b))).alias("_bucket"))
+    t = F.unix_micros(F.col(time_col).cast("timestamp"))
+    f = failed.select(F.col("_failed_stage").alias("_layer"), t.alias("_t"),
+                      F.col("_failure_reason").alias("reason"), F.floor(t / b).alias("_bucket"))
+    j = f.join(r, ["_layer", "_bucket"]).where(F.col("_t").between(F.col("_lo"), F.col("_hi")))
+    return (j.groupBy("run_id", F.col("_layer").alias("layer"), "reason")
+            .agg(F.count(F.lit(1)).cast("bigint").alias("rejected")))
+
+
+def rejects_in_window_naive(failed: DataFrame, runs: DataFrame, slack_seconds: int = 1,
+                            time_col: str = "_failed_at") -> DataFrame:
+    """Reference form of E6 for small tests: equi-join on stage, then the range."""
+    r = runs.select("run_id", F.col("layer").alias("_layer"),
                     (F.col("start_time") - F.expr(f"INTERVAL {slack_seconds} SECONDS")).alias("_lo"),
                     (F.col("end_time") + F.expr(f"INTERVAL {slack_seconds} SECONDS")).alias("_hi"))
-    f = failed.select(F.col("_failed_stage").alias("layer"), F.col(time_col).alias("_t"),
+    f = failed.select(F.col("_failed_stage").alias("_layer"), F.col(time_col).alias("_t"),
                       F.col("_failure_reason").alias("reason"))
-    j = f.join(r, (f.layer == r.layer) & f._t.between(r._lo, r._hi))
-    return j.groupBy(r.run_id, r.layer, "reason").agg(F.count(F.lit(1)).cast("bigint").alias("rejected"))
+    j = f.join(r, "_layer").where(F.col("_t").between(F.col("_lo"), F.col("_hi")))
+    return (j.groupBy("run_id", F.col("_layer").alias("layer"), "reason")
+            .agg(F.count(F.lit(1)).cast("bigint").alias("rejected")))
+
+
+def map_names(df: DataFrame, col: str, mapping: dict[str, str], out: str) -> DataFrame:
+    """Stage tag -> job name through a small lookup table."""
+    lookup = df.sparkSession.createDataFrame(list(mapping.items()), f"{col} string, {out} string")
+    return df.join(F.broadcast(lookup), col, "left")
+
+
+def verify_present(df: DataFrame, expected: DataFrame, keys: list[str]) -> DataFrame:
+    """Expected rows with a flag: present in ``df`` (semi-join) or not."""
+    hit = df.select(*keys).distinct().withColumn("present", F.lit(True))
+    return (expected.join(hit, keys, "left")
+            .withColumn("present", F.coalesce("present", F.lit(False))))
+
+
+def reseed(df: DataFrame, table_ids: DataFrame, rows: DataFrame) -> DataFrame:
+    """Replace all rows of the given tables with new rows (J6): anti-join + union."""
+    return df.join(table_ids.select("table_id").distinct(), "table_id", "left_anti").unionByName(
+        rows.select(*df.columns))
+
+
+def sync_runs(audit: DataFrame, since: str, jobs: dict[str, str]) -> DataFrame:
+    """Ledger rows from audit rows since a time, for known jobs only."""
+    known = map_names(audit.where(F.col("run_timestamp") >= F.lit(since).cast("timestamp")),
+                      "job_name", jobs, "layer").where(F.col("layer").isNotNull())
+    return known.select("layer", F.lit(SUCCEEDED).alias("status"),
+                        F.col("rows_out").cast("bigint").alias("number_of_records"),
+                        F.col("run_timestamp").alias("end_time"))
 
 
 # ---------------------------------------------------------------- reports

@@ -406,3 +406,7 @@ SELECT trim(p_name) AS value, count(*) AS count FROM part
 WHERE trim(p_name) IS NOT NULL AND trim(p_name) <> '' GROUP BY 1 HAVING count(*) < 25""")
 def q_rare_values(spark, sf):
     return profile.rare_values(table(spark, sf, "part"), ["p_name"], 25).select("value", "count")
+
+
+# Further query groups register themselves on import.
+from layerflow.plans import q_ledger  # noqa: E402,F401
