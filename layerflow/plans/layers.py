@@ -16,6 +16,7 @@ Hashed: missing identifier, sha256.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -109,11 +110,23 @@ def raw_rows(source: DataFrame, spec: LayerSpec) -> DataFrame:
 
 # ---------------------------------------------------------------- cleaned
 
-def tag_cleaned(raw: DataFrame, spec: LayerSpec) -> DataFrame:
-    """All raw rows with surrogate key, normalised text, lease and ``_outcome``."""
+Reuse = Callable[[DataFrame], DataFrame]
+
+
+def _same(df: DataFrame) -> DataFrame:
+    return df
+
+
+def tag_cleaned(raw: DataFrame, spec: LayerSpec, reuse: Reuse = _same) -> DataFrame:
+    """All raw rows with surrogate key, normalised text, lease and ``_outcome``.
+
+    The validated frame feeds three consumers (winners, quartiles, output);
+    ``reuse`` lets the caller keep it (e.g. ``persist``) instead of
+    recomputing the scan, normalisation and frequency joins three times.
+    """
     keyed = raw.withColumn(SURROGATE, ident.surrogate_key(spec.natural_key))
     normed = normalize_text(keyed, spec.normalize)
-    checked = validate(normed, spec.rules(), ERRORS)
+    checked = reuse(validate(normed, spec.rules(), ERRORS))
     passed = F.col(ERRORS).isNull()
 
     key = spec.dedup_key(raw.columns)
@@ -155,9 +168,9 @@ def identifier_parts(df: DataFrame, spec: LayerSpec) -> DataFrame:
     )
 
 
-def tag_transformed(cleaned: DataFrame, spec: LayerSpec) -> DataFrame:
+def tag_transformed(cleaned: DataFrame, spec: LayerSpec, reuse: Reuse = _same) -> DataFrame:
     """All cleaned rows with ``resale_identifier``, ``_identifier_valid`` and ``_outcome``."""
-    parts = identifier_parts(cleaned, spec)
+    parts = reuse(identifier_parts(cleaned, spec))
     pcols = [F.col("block_part"), F.col("price_part"), F.col("month_part"), F.col("town_part")]
     identifier = ident.build_identifier(pcols)
     with_id = (parts.withColumn(IDENTIFIER, identifier)

@@ -21,6 +21,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from layerflow.functions.text import int_or_zero
+
 # Run statuses, the layer order of the chain and the job of each layer.
 SUCCEEDED = "SUCCEEDED"
 MISMATCH = "MISMATCH"
@@ -61,6 +63,37 @@ AUDIT_SCHEMA = T.StructType([
 ])
 
 
+LEDGER_SCHEMAS = {
+    "metadata_tables": T.StructType([
+        T.StructField("table_id", T.LongType()), T.StructField("table_name", T.StringType()),
+        T.StructField("source_system", T.StringType()), T.StructField("source_schema", T.StringType()),
+        T.StructField("source_table", T.StringType()), T.StructField("source_path", T.StringType()),
+        T.StructField("target_layer", T.StringType()), T.StructField("bronze_schema", T.StringType()),
+        T.StructField("silver_schema", T.StringType()), T.StructField("gold_schema", T.StringType()),
+        T.StructField("active_flag", T.BooleanType()), T.StructField("load_order", T.LongType()),
+        T.StructField("created_at", T.TimestampType())]),
+    "table_parameters": T.StructType([
+        T.StructField("table_id", T.LongType()), T.StructField("parameter_name", T.StringType()),
+        T.StructField("parameter_value", T.StringType()), T.StructField("created_at", T.TimestampType())]),
+    "table_watermarks": T.StructType([
+        T.StructField("table_id", T.LongType()), T.StructField("last_watermark_value", T.StringType()),
+        T.StructField("last_updated_at", T.TimestampType()), T.StructField("last_run_id", T.LongType())]),
+    "pipeline_runs": RUNS_SCHEMA,
+}
+
+
+def read_ledger(store) -> tuple[dict[str, DataFrame], dict[str, str]]:
+    """All ledger tables; a table that cannot be read gives an empty frame and an error entry."""
+    frames, errors = {}, {}
+    for name, schema in LEDGER_SCHEMAS.items():
+        try:
+            df = store.read(name)
+        except Exception as exc:  # noqa: BLE001 - collected, not raised
+            df, errors[name] = None, str(exc)
+        frames[name] = df if df is not None else store.spark.createDataFrame([], schema)
+    return frames, errors
+
+
 # ---------------------------------------------------------------- lookups
 
 def parameter(params: DataFrame, table_id: Column | int, name: str, default: str | None = None) -> DataFrame:
@@ -174,6 +207,22 @@ def reconcile(kept: int, rejected: int, expected: int | None, layer: str, previo
                       f"{expected - total} row(s) unaccounted for")
 
 
+def reconcile_reason(layer: Column, previous: Column, kept: Column, rejected: Column,
+                     expected: Column) -> Column:
+    """Column form of the reason text."""
+    total = kept + rejected
+    shown = F.concat(kept.cast("string"), F.lit(" kept"),
+                     F.when(rejected != 0, F.concat(F.lit(" + "), rejected.cast("string"), F.lit(" rejected")))
+                     .otherwise(F.lit("")))
+    return (F.when(expected.isNull(), F.concat(layer, F.lit(": "), shown, F.lit("; nothing recorded for "),
+                                               previous, F.lit(" to compare with")))
+            .when(total == expected, F.concat(layer, F.lit(": "), shown, F.lit(" = "), total.cast("string"),
+                                              F.lit(", equal to "), previous, F.lit(" count "), expected.cast("string")))
+            .otherwise(F.concat(layer, F.lit(": "), shown, F.lit(" = "), total.cast("string"), F.lit(", but "),
+                                previous, F.lit(" recorded "), expected.cast("string"), F.lit("; "),
+                                (expected - total).cast("string"), F.lit(" row(s) unaccounted for"))))
+
+
 def reconcile_status(kept: Column, rejected: Column, expected: Column) -> Column:
     """Column form of the gate decision."""
     return (F.when(expected.isNull(), F.lit(SUCCEEDED))
@@ -298,11 +347,10 @@ def run_tiles(audit: DataFrame, expected_jobs: int, first_stage: str, final_stag
 def count_chain(runs: DataFrame, layers: list[str]) -> DataFrame:
     """Counts of each layer's latest run side by side, retained and quarantined %."""
     last = latest_run(runs, ["table_id", "layer"]).where(F.col("layer").isin(layers))
-    counts = last.groupBy("table_id").pivot("layer", layers).agg(
-        F.first(F.coalesce(F.col("number_of_records"), F.lit(0)).cast("bigint")))
+    counts = last.groupBy("table_id").pivot("layer", layers).agg(F.first(int_or_zero("number_of_records")))
     first, final = layers[0], layers[-1]
     return counts.select(
-        "table_id", *[F.coalesce(F.col(x), F.lit(0)).cast("bigint").alias(x) for x in layers],
+        "table_id", *[int_or_zero(x).alias(x) for x in layers],
         F.round(F.col(final) * 100.0 / F.col(first), 1).alias("retained_pct"),
         F.round((F.col(first) - F.col(final)) * 100.0 / F.col(first), 1).alias("quarantined_pct"))
 

@@ -325,3 +325,45 @@ def q_partition_check(spark, sf):
     kept = run.store.read("cleaned").select(*ident)
     failed = run.store.read("failed").where(F.col("_failed_stage") == "cleaned").select(*ident)
     return partition_check(raw, kept, failed)
+
+
+@register("reconcile_mismatch", f"""{_LEDGER},
+ok AS (SELECT table_id, layer, arg_max(number_of_records, run_id) AS n FROM runs
+       WHERE status = 'SUCCEEDED' AND number_of_records IS NOT NULL GROUP BY table_id, layer),
+last AS (SELECT table_id, layer, arg_max(number_of_records, run_id) AS kept FROM runs GROUP BY table_id, layer),
+chain(layer, previous_layer) AS (VALUES ('raw', 'source'), ('cleaned', 'raw'), ('transformed', 'cleaned'), ('hashed', 'transformed')),
+j AS (SELECT last.table_id, last.layer, chain.previous_layer, last.kept, CAST(0 AS BIGINT) AS rejected, ok.n AS expected
+      FROM last JOIN chain USING (layer) LEFT JOIN ok ON ok.table_id = last.table_id AND ok.layer = chain.previous_layer)
+SELECT table_id, layer,
+       CASE WHEN expected IS NULL OR kept + rejected = expected THEN 'SUCCEEDED' ELSE 'MISMATCH' END AS status,
+       CASE WHEN expected IS NOT NULL THEN expected - (kept + rejected) END AS gap,
+       CASE WHEN expected IS NULL THEN layer || ': ' || CAST(kept AS VARCHAR) || ' kept; nothing recorded for ' || previous_layer || ' to compare with'
+            WHEN kept + rejected = expected THEN layer || ': ' || CAST(kept AS VARCHAR) || ' kept = ' || CAST(kept AS VARCHAR) || ', equal to ' || previous_layer || ' count ' || CAST(expected AS VARCHAR)
+            ELSE layer || ': ' || CAST(kept AS VARCHAR) || ' kept = ' || CAST(kept AS VARCHAR) || ', but ' || previous_layer || ' recorded ' || CAST(expected AS VARCHAR) || '; ' || CAST(expected - kept AS VARCHAR) || ' row(s) unaccounted for' END AS reason
+FROM j""")
+def q_reconcile_mismatch(spark, sf):
+    runs = X.runs_from_events(spark, sf)
+    last = G.latest_run(runs, ["table_id", "layer"]).select("table_id", "layer", F.col("number_of_records").alias("kept"))
+    prev = G.previous_count(runs)
+    j = last.join(prev, ["table_id", "layer"]).withColumn("rejected", F.lit(0).cast("bigint"))
+    k, r, e = F.col("kept"), F.col("rejected"), F.col("expected_count")
+    return j.select("table_id", "layer", G.reconcile_status(k, r, e).alias("status"),
+                    G.reconcile_gap(k, r, e).alias("gap"),
+                    G.reconcile_reason(F.col("layer"), F.col("previous_layer"), k, r, e).alias("reason"))
+
+
+@register("reject_breakdown", f"""WITH {_TRANSFORM_CTES},
+cnt AS (
+  SELECT 'cleaned' AS stage, 'field_validation_failed' AS reason, count(*) AS rejected FROM v WHERE validation_errors IS NOT NULL
+  UNION ALL SELECT 'cleaned', 'duplicate_key_lower_price', count(*) FROM d WHERE rn > 1
+  UNION ALL SELECT 'cleaned', 'anomalous_price_iqr_outlier', count(*) FROM o WHERE outlier
+  UNION ALL SELECT 'transformed', 'incomplete_resale_identifier', count(*) FROM i WHERE NOT id_valid
+  UNION ALL SELECT 'transformed', 'duplicate_key_lower_price', count(*) FROM r WHERE rn > 1)
+SELECT stage, reason, rejected FROM cnt WHERE rejected > 0 ORDER BY rejected DESC""")
+def q_reject_breakdown(spark, sf):
+    """Rejects per (stage, reason) since the run began, largest first."""
+    run = pipeline_run(spark, sf)
+    failed = run.store.read("failed")
+    since = failed.agg(F.min("_failed_at")).collect()[0][0]
+    recent = failed.where(F.col("_failed_at") >= F.lit(since))
+    return G.reject_counts(recent).orderBy(F.desc("rejected"), "stage", "reason")

@@ -17,6 +17,7 @@ import time
 import uuid
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,19 +63,22 @@ class Runner:
     load_type: str = "FULL"
     run_id: str = field(default_factory=lambda: uuid.uuid4().hex)
     results: list[LayerResult] = field(default_factory=list)
+    _last_run_id: int | None = None
 
     # ------------------------------------------------------------ ledger
     def _next_run_id(self) -> int:
-        runs = self.store.read(RUNS)
-        if runs is None:
-            return 1
-        return ledger.next_run_id(runs).collect()[0]["next_run_id"]
+        """max(run_id) + 1 (F16); read once, then counted on (single writer)."""
+        if self._last_run_id is None:
+            runs = self.store.read(RUNS)
+            self._last_run_id = 0 if runs is None else ledger.next_run_id(runs).collect()[0]["next_run_id"] - 1
+        self._last_run_id += 1
+        return self._last_run_id
 
     def record_run(self, layer: str, status: str, count: int, message: str,
                    start: dt.datetime) -> None:
         """Append one stage result row to ``pipeline_runs``."""
         row = [(self._next_run_id(), self.table_id, layer, start, _now(), status, count, message)]
-        self.store.append(self.spark.createDataFrame(row, ledger.RUNS_SCHEMA), RUNS)
+        self.store.append(self.spark.createDataFrame(row, ledger.RUNS_SCHEMA), RUNS, rows=1)
 
     def record_audit(self, job: str, stage: str, rows_in: int, rows_out: int, rejected: int,
                      start: dt.datetime) -> None:
@@ -83,7 +87,7 @@ class Runner:
         row = [(uuid.uuid4().hex, job, stage, rows_in, rows_out, rejected, now,
                 round((now - start).total_seconds(), 3))]
         try:
-            self.store.append(self.spark.createDataFrame(row, ledger.AUDIT_SCHEMA), AUDIT)
+            self.store.append(self.spark.createDataFrame(row, ledger.AUDIT_SCHEMA), AUDIT, rows=1)
         except Exception:  # noqa: BLE001 - audit is best effort, as in the reference
             pass
 
@@ -167,19 +171,53 @@ class Runner:
             self.record_run("source", ledger.SUCCEEDED, source_count, "landed", _now())
         return self.run_layer("raw", "source", tagged)
 
+    def _kept_frames(self):
+        held: list[DataFrame] = []
+
+        def keep(df: DataFrame) -> DataFrame:
+            # Kept for the consumers of one layer write; lost blocks are recomputed
+            # from the (short) lineage, and the frame is released right after.
+            out = df.persist(StorageLevel.MEMORY_AND_DISK)
+            held.append(out)
+            return out
+        return keep, held
+
+    def guarded(self, stage: str, fn):
+        """Run one layer; any failure other than the gate is recorded as FAILED."""
+        start = _now()
+        try:
+            return fn()
+        except GateError:
+            raise
+        except Exception as exc:
+            self.record_run(stage, ledger.FAILED, 0, str(exc)[:2000], start)
+            raise
+
     def cleaned(self) -> LayerResult:
-        return self.run_layer("cleaned", "raw", L.tag_cleaned(self.read_layer("raw"), self.spec))
+        keep, held = self._kept_frames()
+        try:
+            return self.run_layer("cleaned", "raw", L.tag_cleaned(self.read_layer("raw"), self.spec, keep))
+        finally:
+            for df in held:
+                df.unpersist()
 
     def transformed(self) -> LayerResult:
-        return self.run_layer("transformed", "cleaned", L.tag_transformed(self.read_layer("cleaned"), self.spec))
+        keep, held = self._kept_frames()
+        try:
+            return self.run_layer("transformed", "cleaned",
+                                  L.tag_transformed(self.read_layer("cleaned"), self.spec, keep))
+        finally:
+            for df in held:
+                df.unpersist()
 
     def hashed(self) -> LayerResult:
         tagged = L.tag_hashed(self.read_layer("transformed")).drop(L.IDENTIFIER)
         return self.run_layer("hashed", "transformed", tagged, publish="MERGE")
 
     def all_layers(self, source: DataFrame, source_count: int | None = None) -> list[LayerResult]:
-        self.raw(source, source_count)
-        self.cleaned()
-        self.transformed()
-        self.hashed()
+        """raw -> cleaned -> transformed -> hashed; the first failure stops the chain."""
+        self.guarded("raw", lambda: self.raw(source, source_count))
+        self.guarded("cleaned", self.cleaned)
+        self.guarded("transformed", self.transformed)
+        self.guarded("hashed", self.hashed)
         return self.results

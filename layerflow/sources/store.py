@@ -64,6 +64,7 @@ class TableStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._log: dict[str, list[Version]] = {}  # single writer: the log is read once per stage
 
     # ------------------------------------------------------------ layout
     def _log_path(self, stage: str) -> str:
@@ -74,6 +75,11 @@ class TableStore:
 
     # ------------------------------------------------------------ log
     def versions(self, stage: str) -> list[Version]:
+        if stage not in self._log:
+            self._log[stage] = self._read_log(stage)
+        return self._log[stage]
+
+    def _read_log(self, stage: str) -> list[Version]:
         try:
             rows = self.spark.read.schema(LOG_SCHEMA).parquet(self._log_path(stage)).collect()
         except Exception as exc:  # no log yet: the table does not exist
@@ -99,7 +105,9 @@ class TableStore:
         seq = (cur.seq if cur else 0) + 1
         row = [(seq, segments, mode, rows, drop_columns or [], dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))]
         self.spark.createDataFrame(row, LOG_SCHEMA).coalesce(1).write.mode("append").parquet(self._log_path(stage))
-        return Version(seq, segments, mode, rows, drop_columns or [])
+        v = Version(seq, segments, mode, rows, drop_columns or [])
+        self.versions(stage).append(v)
+        return v
 
     # ------------------------------------------------------------ read
     def read(self, stage: str, seq: int | None = None) -> DataFrame | None:
@@ -138,13 +146,17 @@ class TableStore:
         self.publish(stage, [path], "overwrite", n)
         return WriteStats(before, n)
 
-    def append(self, df: DataFrame, stage: str, batch_id: str | None = None) -> WriteStats:
-        """Append (B2); with ``batch_id`` a repeated batch replaces itself."""
+    def append(self, df: DataFrame, stage: str, batch_id: str | None = None,
+               rows: int | None = None) -> WriteStats:
+        """Append (B2); with ``batch_id`` a repeated batch replaces itself.
+
+        ``rows``, when the caller knows it (a ledger row), saves the count.
+        """
         cur = self.current(stage)
         before = cur.rows if cur else 0
         name = f"batch={batch_id}" if batch_id else None
         path = self.stage_write(df, stage, name)
-        n = self._rows(path)
+        n = self._rows(path) if rows is None else rows
         segments = list(cur.segments) if cur else []
         if path in segments:  # a rerun of the same batch: its folder was rewritten in place
             after = self.spark.read.option("mergeSchema", "true").parquet(*segments).count()
