@@ -17,7 +17,6 @@ import time
 import uuid
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,6 +33,12 @@ AUDIT = "audit"
 DROP_ON_READ = [REASON, "_failed_stage", "_failed_at", "_run_id", L.ERRORS, L.VALID_ID]
 
 
+def with_row_id(df: DataFrame) -> DataFrame:
+    """Unique, retry-stable row id of a Parquet scan (file path hash, row index)."""
+    return df.select("*", F.struct(F.xxhash64(F.col("_metadata.file_path")).alias("f"),
+                                   F.col("_metadata.row_index").alias("i")).alias(ROW_ID))
+
+
 class GateError(RuntimeError):
     """Raised when a layer does not reconcile with the layer before it."""
 
@@ -69,7 +74,7 @@ class Runner:
     def _next_run_id(self) -> int:
         """max(run_id) + 1 (F16); read once, then counted on (single writer)."""
         if self._last_run_id is None:
-            runs = self.store.read(RUNS)
+            runs = self.store.read(RUNS, schema=ledger.RUNS_SCHEMA)
             self._last_run_id = 0 if runs is None else ledger.next_run_id(runs).collect()[0]["next_run_id"] - 1
         self._last_run_id += 1
         return self._last_run_id
@@ -93,7 +98,7 @@ class Runner:
 
     def expected_count(self, previous: str) -> int | None:
         """Latest successful recorded count of the previous layer (E5)."""
-        runs = self.store.read(RUNS)
+        runs = self.store.read(RUNS, schema=ledger.RUNS_SCHEMA)
         if runs is None:
             return None
         last = ledger.latest_run(
@@ -160,8 +165,7 @@ class Runner:
         df = self.store.read(stage)
         if df is None:
             raise GateError(f"{stage} has no published rows")
-        return df.select("*", F.struct(F.xxhash64(F.col("_metadata.file_path")).alias("f"),
-                                       F.col("_metadata.row_index").alias("i")).alias(ROW_ID))
+        return with_row_id(df)
 
     def raw(self, source: DataFrame, source_count: int | None = None) -> LayerResult:
         """Month-range filter and blank rows out; reconciled on the source count."""
@@ -171,16 +175,18 @@ class Runner:
             self.record_run("source", ledger.SUCCEEDED, source_count, "landed", _now())
         return self.run_layer("raw", "source", tagged)
 
-    def _kept_frames(self):
-        held: list[DataFrame] = []
+    def _written(self, stage: str):
+        """A reuse hook that writes a frame once and hands back a pruned Parquet scan.
 
-        def keep(df: DataFrame) -> DataFrame:
-            # Kept for the consumers of one layer write; lost blocks are recomputed
-            # from the (short) lineage, and the frame is released right after.
-            out = df.persist(StorageLevel.MEMORY_AND_DISK)
-            held.append(out)
-            return out
-        return keep, held
+        The validated rows feed three consumers; writing them to the shared
+        staging folder cuts the lineage (a lost executor re-reads files instead
+        of recomputing the scan, normalisation and frequency joins) and lets
+        each consumer read only the columns it needs.
+        """
+        def write(df: DataFrame) -> DataFrame:
+            path = self.store.stage_write(df.drop(ROW_ID), stage, name=f"work-{self.run_id}")
+            return with_row_id(self.spark.read.parquet(path))
+        return write
 
     def guarded(self, stage: str, fn):
         """Run one layer; any failure other than the gate is recorded as FAILED."""
@@ -194,21 +200,12 @@ class Runner:
             raise
 
     def cleaned(self) -> LayerResult:
-        keep, held = self._kept_frames()
-        try:
-            return self.run_layer("cleaned", "raw", L.tag_cleaned(self.read_layer("raw"), self.spec, keep))
-        finally:
-            for df in held:
-                df.unpersist()
+        tagged = L.tag_cleaned(self.read_layer("raw"), self.spec, self._written("cleaned"))
+        return self.run_layer("cleaned", "raw", tagged)
 
     def transformed(self) -> LayerResult:
-        keep, held = self._kept_frames()
-        try:
-            return self.run_layer("transformed", "cleaned",
-                                  L.tag_transformed(self.read_layer("cleaned"), self.spec, keep))
-        finally:
-            for df in held:
-                df.unpersist()
+        tagged = L.tag_transformed(self.read_layer("cleaned"), self.spec, self._written("transformed"))
+        return self.run_layer("transformed", "cleaned", tagged)
 
     def hashed(self) -> LayerResult:
         tagged = L.tag_hashed(self.read_layer("transformed")).drop(L.IDENTIFIER)

@@ -110,12 +110,22 @@ class TableStore:
         return v
 
     # ------------------------------------------------------------ read
-    def read(self, stage: str, seq: int | None = None) -> DataFrame | None:
-        """Published content of a stage (A3); ``seq`` reads an older version."""
+    def read(self, stage: str, seq: int | None = None,
+             schema: T.StructType | None = None) -> DataFrame | None:
+        """Published content of a stage (A3); ``seq`` reads an older version.
+
+        Segments may differ in columns (schema evolution); their schemas are
+        merged unless the caller knows the schema (ledger tables).
+        """
         v = self.current(stage, seq)
         if v is None:
             return None
-        df = self.spark.read.option("mergeSchema", "true").parquet(*v.segments)
+        reader = self.spark.read
+        if schema is not None:
+            reader = reader.schema(schema)
+        elif len(v.segments) > 1:
+            reader = reader.option("mergeSchema", "true")
+        df = reader.parquet(*v.segments)
         return df.drop(*[c for c in v.drop_columns if c in df.columns])
 
     def count(self, stage: str) -> int:
