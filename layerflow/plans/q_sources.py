@@ -282,6 +282,30 @@ def q_stream_ingest(spark, sf):
     return st.read("events").select("event_id", "event_type", "value")
 
 
+@register("stream_layers", None)
+def q_stream_layers(spark, sf):
+    """Landed CSV files streamed in two micro-batches through the whole layer chain (K1).
+
+    The end state must equal the batch pipeline's hashed layer (same oracle).
+    """
+    from layerflow.plans.registry import tx_spec
+    from layerflow.plans.run import Runner
+    from layerflow.schema import RAW_SCHEMA
+    from layerflow.streaming.ingest import stream_layers
+    land = scratch_path(spark, "stream_layers_land")
+    src = X.tx(spark, sf, row_id=False).withColumn("dataset_id", F.substring("month", 1, 4))
+    csvsrc.land_csv(src, land)
+    schema = T.StructType(RAW_SCHEMA.fields + [T.StructField(c, T.LongType()) for c in X.TX_LINEAGE])
+    runner = Runner(spark, _store(spark, "stream_layers"), tx_spec(), hashed_publish="FULL")
+    q = stream_layers(spark, land, schema, scratch_path(spark, "stream_layers_ckpt"), runner,
+                      max_files_per_trigger=4)
+    q.awaitTermination(3600)
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    out = runner.store.read("hashed")
+    return out.select(*[c for c in out.columns if not c.startswith("_")])
+
+
 @register("orphan_report")
 def q_orphan_report(spark, sf):
     """Folders of the pipeline's store that are not a known table (report only)."""

@@ -411,3 +411,6 @@ def q_rare_values(spark, sf):
 # Further query groups register themselves on import.
 from layerflow.plans import q_ledger  # noqa: E402,F401
 from layerflow.plans import q_profile, q_sources  # noqa: E402,F401
+
+# The streamed chain must end where the batch chain ends.
+ORACLES["stream_layers"] = ORACLES["hashed_layer"]

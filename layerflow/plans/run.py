@@ -69,6 +69,8 @@ class Runner:
     run_id: str = field(default_factory=lambda: uuid.uuid4().hex)
     results: list[LayerResult] = field(default_factory=list)
     _last_run_id: int | None = None
+    batch_suffix: str = ""  # set per stream micro-batch so that each batch writes its own folder
+    hashed_publish: str = "MERGE"  # "FULL" drops hashed rows that are gone upstream (D8 prune option)
 
     # ------------------------------------------------------------ ledger
     def _next_run_id(self) -> int:
@@ -119,7 +121,8 @@ class Runner:
                .withColumn("_failed_stage", F.lit(stage))
                .withColumn("_failed_at", F.lit(start))
                .withColumn("_run_id", F.lit(self.run_id)))
-        path = self.store.stage_write(out, stage, name=f"run={self.run_id}", partition_by=[STATUS])
+        path = self.store.stage_write(out, stage, name=f"run={self.run_id}{self.batch_suffix}",
+                                      partition_by=[STATUS])
         counts = {r[REASON]: r["n"] for r in
                   self.spark.read.parquet(path).groupBy(REASON).agg(F.count(F.lit(1)).alias("n")).collect()}
         kept = int(counts.pop(None, 0))
@@ -139,7 +142,9 @@ class Runner:
         if rejected:
             self._quarantine_segment(rej_path, rejected)
         self._publish(stage, kept_path, kept, publish)
-        self.record_run(stage, ledger.SUCCEEDED if kept else ledger.EMPTY, kept, reason, start)
+        # the next layer reads the whole published table: an appended layer records its new total
+        recorded = self.store.count(stage) if publish.strip().upper() == "APPEND" else kept
+        self.record_run(stage, ledger.SUCCEEDED if kept else ledger.EMPTY, recorded, reason, start)
         res = LayerResult(stage, status, kept, rejected, counts, expected, reason, time.perf_counter() - t0)
         self.results.append(res)
         return res
@@ -153,8 +158,12 @@ class Runner:
     def _publish(self, stage: str, kept_path: str, kept: int, publish: str) -> None:
         if kept == 0:
             return  # an empty batch keeps the old rows (D10)
-        mode = self.load_type if publish == "load_type" else publish
-        if mode.strip().upper() == "FULL" or not self.store.exists(stage):
+        mode = (self.load_type if publish == "load_type" else publish).strip().upper()
+        if mode == "APPEND" and self.store.exists(stage):
+            cur = self.store.current(stage)
+            if kept_path not in cur.segments:  # a replayed batch is already there
+                self.store.publish(stage, cur.segments + [kept_path], "append", cur.rows + kept, DROP_ON_READ)
+        elif mode in ("FULL", "APPEND") or not self.store.exists(stage):
             self.store.publish(stage, [kept_path], "overwrite", kept, DROP_ON_READ)
         else:
             batch = self.spark.read.parquet(kept_path).drop(*DROP_ON_READ)
@@ -167,13 +176,17 @@ class Runner:
             raise GateError(f"{stage} has no published rows")
         return with_row_id(df)
 
-    def raw(self, source: DataFrame, source_count: int | None = None) -> LayerResult:
-        """Month-range filter and blank rows out; reconciled on the source count."""
+    def raw(self, source: DataFrame, source_count: int | None = None,
+            publish: str = "load_type") -> LayerResult:
+        """Month-range filter and blank rows out; reconciled on the source count.
+
+        ``publish="APPEND"`` adds the batch to the stored raw rows (stream micro-batches).
+        """
         tagged = source.withColumn(L.OUTCOME, F.when(L.all_null(source), F.lit(L.BLANK_ROW))
                                    .when(~L.in_range(source, self.spec), F.lit(L.OUTSIDE_RANGE)))
         if source_count is not None:
             self.record_run("source", ledger.SUCCEEDED, source_count, "landed", _now())
-        return self.run_layer("raw", "source", tagged)
+        return self.run_layer("raw", "source", tagged, publish=publish)
 
     def _written(self, stage: str):
         """A reuse hook that writes a frame once and hands back a pruned Parquet scan.
@@ -209,7 +222,7 @@ class Runner:
 
     def hashed(self) -> LayerResult:
         tagged = L.tag_hashed(self.read_layer("transformed")).drop(L.IDENTIFIER)
-        return self.run_layer("hashed", "transformed", tagged, publish="MERGE")
+        return self.run_layer("hashed", "transformed", tagged, publish=self.hashed_publish)
 
     def all_layers(self, source: DataFrame, source_count: int | None = None) -> list[LayerResult]:
         """raw -> cleaned -> transformed -> hashed; the first failure stops the chain."""
