@@ -38,16 +38,22 @@ def _order_struct(order: list[Column | str]) -> Column:
 
 
 def winners(df: DataFrame, keys: list[str], order: list[Column | str],
-            row_id: str = ROW_ID) -> DataFrame:
-    """One row id per key: the row with the greatest ``order`` (NULLs lowest).
+            row_id: str = ROW_ID, carry: list[str] | None = None) -> DataFrame:
+    """One row per key: the id of the row with the greatest ``order`` (NULLs lowest).
 
     ``order`` is compared left to right, all descending: e.g. price, then
     tie-breaker columns. Keys compare NULL-equal, as in a pandas groupby
-    with ``dropna=False``.
+    with ``dropna=False``. Without ``carry`` only the row id is returned;
+    with it, the keys and the winning row's ``carry`` columns come along.
     """
-    return (df.groupBy(*keys)
-            .agg(F.max_by(F.col(row_id), _order_struct(order)).alias(row_id))
-            .select(row_id))
+    if not carry:
+        return (df.groupBy(*keys)
+                .agg(F.max_by(F.col(row_id), _order_struct(order)).alias(row_id))
+                .select(row_id))
+    best = F.max_by(F.struct(F.col(row_id).alias(row_id), *[F.col(c).alias(c) for c in carry]),
+                    _order_struct(order))
+    return df.groupBy(*keys).agg(best.alias("_w")).select(
+        *keys, F.col(f"_w.{row_id}").alias(row_id), *[F.col(f"_w.{c}").alias(f"_w_{c}") for c in carry])
 
 
 def dedup_tag(df: DataFrame, keys: list[str], order: list[Column | str],

@@ -53,6 +53,25 @@ def attach_frequency(df: DataFrame, cols: list[str], prefix: str = "_freq_") ->
     return out
 
 
+# Largest per-group table that is broadcast after its rows were counted.
+BROADCAST_MAX_ROWS = 2_000_000
+
+
+def join_small(df: DataFrame, small: DataFrame, keys: list[str], how: str = "left",
+               check: bool = False, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Join a per-group table onto the rows, broadcasting it only behind a size check.
+
+    With ``check`` the grouped table's rows are counted first (one small job);
+    at most ``max_rows`` rows it is broadcast, so the big side is never
+    shuffled by a possibly hot group key. Above that, or without a check, the
+    choice is AQE's: broadcast when the measured size is small, else a
+    sort-merge join whose skewed partitions AQE splits.
+    """
+    if check and small.count() <= max_rows:
+        small = F.broadcast(small)
+    return df.join(small, on=keys, how=how)
+
+
 def group_mean(df: DataFrame, keys: list[str], col: str, alias: str = "group_mean") -> DataFrame:
     """Mean of ``col`` per group (F10). Output: keys + alias."""
     return df.groupBy(*keys).agg(F.avg(col).alias(alias))

@@ -26,6 +26,7 @@ from layerflow.functions import identity as ident
 from layerflow.functions.lease import remaining_lease
 from layerflow.functions.text import month_date, normalize_text
 from layerflow.operators import groups
+from layerflow.operators import dedup
 from layerflow.operators.dedup import ROW_ID, dedup_tag
 from layerflow.operators.rules import Rule, resale_rules, validate
 from layerflow.schema import NATURAL_KEY, PRICE
@@ -117,12 +118,13 @@ def _same(df: DataFrame) -> DataFrame:
     return df
 
 
-def tag_cleaned(raw: DataFrame, spec: LayerSpec, reuse: Reuse = _same) -> DataFrame:
+def tag_cleaned(raw: DataFrame, spec: LayerSpec, reuse: Reuse = _same, check_small: bool = False) -> DataFrame:
     """All raw rows with surrogate key, normalised text, lease and ``_outcome``.
 
-    The validated frame feeds three consumers (winners, quartiles, output);
-    ``reuse`` lets the caller keep it (e.g. ``persist``) instead of
-    recomputing the scan, normalisation and frequency joins three times.
+    ``reuse`` is applied to frames with more than one consumer (the
+    validated rows, the winners table); the runner writes them once to the
+    staging folder. ``check_small`` counts per-group tables before
+    broadcasting them.
     """
     keyed = raw.withColumn(SURROGATE, ident.surrogate_key(spec.natural_key))
     normed = normalize_text(keyed, spec.normalize)
@@ -131,34 +133,39 @@ def tag_cleaned(raw: DataFrame, spec: LayerSpec, reuse: Reuse = _same) -> DataFr
 
     key = spec.dedup_key(raw.columns)
     order = [spec.price, *spec.tiebreak]
-    deduped = dedup_tag(checked, key, order, ROW_ID, flag="_is_winner", eligible=passed)
+    # one row per key: the winner's id and price (partial aggregation, skew-safe)
+    win = reuse(dedup.winners(checked.where(passed), key, order, ROW_ID, carry=[spec.price]))
+    flags = win.select(ROW_ID, F.lit(True).alias("_is_winner"))
+    deduped = checked.join(flags, ROW_ID, "left")
     survivor = F.coalesce(F.col("_is_winner"), F.lit(False))
 
-    survivors = deduped.where(survivor)
-    bounds = groups.iqr_bounds(survivors, spec.outlier_keys, spec.price,
-                               accuracy=spec.quantile_accuracy).select(*spec.outlier_keys, "lower", "upper")
-    flagged = (groups.attach_group_stat(deduped, bounds, spec.outlier_keys)
+    if set(spec.outlier_keys) <= set(key):
+        # the survivors are exactly the winners: quartiles come from the small winners table
+        bounds = groups.iqr_bounds(win, spec.outlier_keys, f"_w_{spec.price}", accuracy=spec.quantile_accuracy)
+    else:
+        bounds = groups.iqr_bounds(deduped.where(survivor), spec.outlier_keys, spec.price,
+                                   accuracy=spec.quantile_accuracy)
+    bounds = bounds.select(*spec.outlier_keys, "lower", "upper")
+    flagged = (groups.join_small(deduped, bounds, spec.outlier_keys, check=check_small)
                .withColumn("_outlier", survivor & groups.outside(spec.price)))
 
     years, months = remaining_lease("lease_commence_date", spec.as_of)
-    reached_lease = survivor  # the lease is computed for rows that survive dedup
-    out = (flagged
-           .withColumn("remaining_lease_years", F.when(reached_lease, years))
-           .withColumn("remaining_lease_months", F.when(reached_lease, months))
-           .withColumn(OUTCOME, _first_reason(
-               (~passed, FIELD_FAILED),
-               (~survivor, DUPLICATE_LOWER_PRICE),
-               (F.col("_outlier"), PRICE_OUTLIER)))
-           .drop("lower", "upper", "_is_winner", "_outlier"))
-    return out
+    return (flagged
+            .withColumn("remaining_lease_years", F.when(survivor, years))
+            .withColumn("remaining_lease_months", F.when(survivor, months))
+            .withColumn(OUTCOME, _first_reason(
+                (~passed, FIELD_FAILED),
+                (~survivor, DUPLICATE_LOWER_PRICE),
+                (F.col("_outlier"), PRICE_OUTLIER)))
+            .drop("lower", "upper", "_is_winner", "_outlier"))
 
 
 # ---------------------------------------------------------------- transformed
 
-def identifier_parts(df: DataFrame, spec: LayerSpec) -> DataFrame:
+def identifier_parts(df: DataFrame, spec: LayerSpec, check_small: bool = False) -> DataFrame:
     """Rows plus the four identifier parts (L3-L6) and the group mean."""
     means = groups.group_mean(df, spec.mean_keys, spec.price, "_group_mean")
-    j = groups.attach_group_stat(df, means, spec.mean_keys)
+    j = groups.join_small(df, means, spec.mean_keys, check=check_small)
     return j.select(
         "*",
         ident.digits_prefix("block", 3).alias("block_part"),
@@ -168,9 +175,10 @@ def identifier_parts(df: DataFrame, spec: LayerSpec) -> DataFrame:
     )
 
 
-def tag_transformed(cleaned: DataFrame, spec: LayerSpec, reuse: Reuse = _same) -> DataFrame:
+def tag_transformed(cleaned: DataFrame, spec: LayerSpec, reuse: Reuse = _same,
+                    check_small: bool = False) -> DataFrame:
     """All cleaned rows with ``resale_identifier``, ``_identifier_valid`` and ``_outcome``."""
-    parts = reuse(identifier_parts(cleaned, spec))
+    parts = reuse(identifier_parts(cleaned, spec, check_small))
     pcols = [F.col("block_part"), F.col("price_part"), F.col("month_part"), F.col("town_part")]
     identifier = ident.build_identifier(pcols)
     with_id = (parts.withColumn(IDENTIFIER, identifier)

@@ -196,8 +196,14 @@ class Runner:
         of recomputing the scan, normalisation and frequency joins) and lets
         each consumer read only the columns it needs.
         """
+        n = [0]
+
         def write(df: DataFrame) -> DataFrame:
-            path = self.store.stage_write(df.drop(ROW_ID), stage, name=f"work-{self.run_id}")
+            n[0] += 1
+            name = f"work-{self.run_id}{self.batch_suffix}-{n[0]}"
+            if ROW_ID in df.columns and n[0] > 1:  # a derived table keeps the ids it refers to
+                return self.spark.read.parquet(self.store.stage_write(df, stage, name=name))
+            path = self.store.stage_write(df.drop(ROW_ID), stage, name=name)
             return with_row_id(self.spark.read.parquet(path))
         return write
 
@@ -213,11 +219,12 @@ class Runner:
             raise
 
     def cleaned(self) -> LayerResult:
-        tagged = L.tag_cleaned(self.read_layer("raw"), self.spec, self._written("cleaned"))
+        tagged = L.tag_cleaned(self.read_layer("raw"), self.spec, self._written("cleaned"), check_small=True)
         return self.run_layer("cleaned", "raw", tagged)
 
     def transformed(self) -> LayerResult:
-        tagged = L.tag_transformed(self.read_layer("cleaned"), self.spec, self._written("transformed"))
+        tagged = L.tag_transformed(self.read_layer("cleaned"), self.spec, self._written("transformed"),
+                                   check_small=True)
         return self.run_layer("transformed", "cleaned", tagged)
 
     def hashed(self) -> LayerResult:
