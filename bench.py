@@ -18,7 +18,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import functions as F  # noqa: E402
 
-from layerflow.operators import dedup, profile  # noqa: E402
+from layerflow.operators import profile  # noqa: E402
 from layerflow.plans import fixtures, layers  # noqa: E402
 from layerflow.plans.registry import tx_spec  # noqa: E402
 from layerflow.plans.run import Runner  # noqa: E402
@@ -62,17 +62,15 @@ def main() -> None:
     # profiling: profile frames of the raw layer, written as JSON
     t0 = time.perf_counter()
     raw = store.read("raw")
-    text_cols = ["town", "flat_type", "flat_model", "street_name", "storey_range", "block", "month"]
-    frames = {
-        "base": profile.profile_base(raw),
-        "numeric": profile.profile_numeric(raw, ["floor_area_sqm", "resale_price", "lease_commence_date"]),
-        "top_values": profile.profile_top_values(raw, text_cols),
-        "distinct_sample": profile.profile_distinct_sample(raw, text_cols),
-        "storey_range": profile.range_text_profile(raw, "storey_range"),
-        "block_format": profile.format_profile(raw, "block"),
-        "rare": profile.rare_values(raw, ["town", "flat_type", "flat_model"]),
-        "duplicates": dedup.duplicate_rows(raw, layers.LayerSpec().natural_key),
-    }
+    text_cols = ["month", "town", "flat_type", "block", "street_name", "storey_range", "flat_model"]
+    spec = layers.LayerSpec()
+
+    def keep(df):
+        return spark.read.parquet(store.stage_write(df, "profiling"))
+
+    frames = profile.profile_report(raw, text_cols, ["floor_area_sqm", "resale_price", "lease_commence_date"],
+                                    ["town", "flat_type", "flat_model"], spec.natural_key,
+                                    range_col="storey_range", format_col="block", reuse=keep, name="raw")
     profile.write_profile(frames, scratch_path(spark, "bench", "profile"))
     times["profiling"] = time.perf_counter() - t0
 

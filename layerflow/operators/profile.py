@@ -165,3 +165,41 @@ def write_profile(frames: dict[str, DataFrame], path: str) -> None:
     """Persist each profile frame as JSON under ``path/<name>``."""
     for name, frame in frames.items():
         frame.coalesce(1).write.mode("overwrite").json(f"{path}/{name}")
+
+
+def profile_report(df: DataFrame, text_cols: list[str], numeric_cols: list[str],
+                   rare_cols: list[str], key_cols: list[str], range_col: str | None = None,
+                   format_col: str | None = None, reuse=lambda d: d, rare_below: int = RARE_BELOW,
+                   name: str = "dataset") -> dict[str, DataFrame]:
+    """The whole profile of one dataset as frames.
+
+    One unpivot + grouped count of all text columns is computed once
+    (``reuse`` lets the caller write it) and feeds the top values, the
+    distinct samples, the rare values and the text distinct counts. One
+    aggregation pass covers the numeric columns, one the null counts.
+    """
+    counts = reuse(_unpivot(df, text_cols).where(F.col("value").isNotNull())
+                   .groupBy("column", "value").agg(F.count(F.lit(1)).cast("bigint").alias("count")))
+    trimmed = (counts.select("column", strip(F.col("value")).alias("value"), "count")
+               .where(F.col("value") != "").groupBy("column", "value").agg(F.sum("count").cast("bigint").alias("count")))
+    base = profile_base(df, text_cols + numeric_cols, approx=True).drop("distinct_count")
+    distinct_text = counts.groupBy("column").agg(F.count(F.lit(1)).cast("bigint").alias("distinct_count"))
+    distinct_num = (_unpivot(df, numeric_cols).where(F.col("value").isNotNull())
+                    .groupBy("column").agg(F.count_distinct("value").cast("bigint").alias("distinct_count")))
+    frames = {
+        "header": profile_header(df, name),
+        "base": base.join(distinct_text.unionByName(distinct_num), "column", "left"),
+        "numeric": profile_numeric(df, numeric_cols),
+        "top_values": _ranked(counts, [F.desc("count"), F.asc("value")], TOP_VALUES),
+        "distinct_sample": _ranked(counts.select("column", "value"), [F.asc("value")], DISTINCT_SAMPLE),
+        "rare": trimmed.where(F.col("column").isin(*rare_cols) & (F.col("count") < rare_below)),
+    }
+    if key_cols:
+        from layerflow.operators.dedup import duplicate_rows
+        frames["duplicates"] = duplicate_rows(df, key_cols)
+    if range_col:
+        frames["range"] = range_text_profile(df, range_col)
+    if format_col:
+        frames["format"] = format_profile(df, format_col)
+        frames["format_other_sample"] = format_other_sample(df, format_col)
+    return frames

@@ -20,6 +20,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from layerflow.functions import identity as ident
 from layerflow.operators.dedup import ROW_ID
 from layerflow.plans import layers as L
 from layerflow.plans import ledger
@@ -142,8 +143,9 @@ class Runner:
         if rejected:
             self._quarantine_segment(rej_path, rejected)
         self._publish(stage, kept_path, kept, publish)
-        # the next layer reads the whole published table: an appended layer records its new total
-        recorded = self.store.count(stage) if publish.strip().upper() == "APPEND" else kept
+        # the next layer reads the whole published table: an appended or merged layer records its total
+        mode = (self.load_type if publish == "load_type" else publish).strip().upper()
+        recorded = kept if mode == "FULL" else self.store.count(stage)
         self.record_run(stage, ledger.SUCCEEDED if kept else ledger.EMPTY, recorded, reason, start)
         res = LayerResult(stage, status, kept, rejected, counts, expected, reason, time.perf_counter() - t0)
         self.results.append(res)
@@ -165,6 +167,9 @@ class Runner:
                 self.store.publish(stage, cur.segments + [kept_path], "append", cur.rows + kept, DROP_ON_READ)
         elif mode in ("FULL", "APPEND") or not self.store.exists(stage):
             self.store.publish(stage, [kept_path], "overwrite", kept, DROP_ON_READ)
+        elif mode == "REPLACE_MONTHS":
+            batch = self.spark.read.parquet(kept_path).drop(*DROP_ON_READ)
+            self.store.replace_where_present(batch, stage, self.spec.month_col)
         else:
             batch = self.spark.read.parquet(kept_path).drop(*DROP_ON_READ)
             self.store.merge(batch, stage, key=L.SURROGATE)
@@ -182,10 +187,14 @@ class Runner:
 
         ``publish="APPEND"`` adds the batch to the stored raw rows (stream micro-batches).
         """
-        tagged = source.withColumn(L.OUTCOME, F.when(L.all_null(source), F.lit(L.BLANK_ROW))
-                                   .when(~L.in_range(source, self.spec), F.lit(L.OUTSIDE_RANGE)))
+        tagged = (source.withColumn(L.OUTCOME, F.when(L.all_null(source), F.lit(L.BLANK_ROW))
+                                    .when(~L.in_range(source, self.spec), F.lit(L.OUTSIDE_RANGE)))
+                  # the key exists before the first write, so raw can be merged too
+                  .withColumn(L.SURROGATE, ident.surrogate_key(self.spec.natural_key)))
         if source_count is not None:
             self.record_run("source", ledger.SUCCEEDED, source_count, "landed", _now())
+        if publish == "load_type" and self.load_type.strip().upper() != "FULL":
+            publish = "REPLACE_MONTHS"  # landed rows have no unique key: a re-read month replaces itself
         return self.run_layer("raw", "source", tagged, publish=publish)
 
     def _written(self, stage: str):

@@ -192,6 +192,24 @@ class TableStore:
         self.publish(stage, [path], "merge", n)
         return WriteStats(before, n)
 
+    def replace_where_present(self, df: DataFrame, stage: str, col: str) -> WriteStats:
+        """Replace every row whose ``col`` value occurs in the batch, keep the rest.
+
+        For tables without a unique key (landed rows may hold exact copies):
+        re-loading a month replaces that month. The batch's distinct values
+        are few and broadcast by AQE; nothing is grouped by a hot value.
+        """
+        cur = self.read(stage)
+        before = self.count(stage)
+        if cur is None:
+            return self.append(df, stage)
+        values = df.select(col).distinct()
+        new = cur.join(values, col, "left_anti").unionByName(df, allowMissingColumns=True)
+        path = self.stage_write(new, stage)
+        n = self._rows(path)
+        self.publish(stage, [path], "replace", n)
+        return WriteStats(before, n)
+
     def write_by_load_type(self, df: DataFrame, stage: str, load_type: str,
                            key: str = "surrogate_key") -> WriteStats:
         """Full reload or merge, chosen by the table's ``load_type`` parameter."""

@@ -34,6 +34,7 @@ def _landing(root: str) -> str:
     a = _good_rows("ang mo kio", 6, 300000)
     a.append("2015-03,ANG MO KIO,4 ROOM,100,MAIN ST,04 TO 06,90,Model A,1990,250000")  # lower-price duplicate
     a.append(",,,,,,,,,")  # fully blank row
+    a.append("2015-03,ANG MO KIO,4 ROOM,100,MAIN ST,04 TO 06,90,Model A,1990,250000")  # exact copy
     a.append("2011-12,ANG MO KIO,4 ROOM,007,MAIN ST,04 TO 06,90,Model A,1990,300000")  # outside the range
     _write(f"{land}/auto/dataset_id=a/x.csv", HEADER, a)
     b = [r + ",extra" for r in _good_rows("BEDOK", 6, 400000)]
@@ -58,7 +59,7 @@ def test_chain_reconciles_and_quarantines(spark, scratch):
     raw = res[0]
     assert raw.by_reason == {L.BLANK_ROW: 1, L.OUTSIDE_RANGE: 1}
     cleaned = res[1]
-    assert cleaned.by_reason[L.FIELD_FAILED] == 1 and cleaned.by_reason[L.DUPLICATE_LOWER_PRICE] == 1
+    assert cleaned.by_reason[L.FIELD_FAILED] == 1 and cleaned.by_reason[L.DUPLICATE_LOWER_PRICE] == 2
     failed = store.read("failed")
     errs = failed.where(F.col("_failure_reason") == L.FIELD_FAILED).select(L.ERRORS).collect()[0][0]
     assert errs.split(", ")[0] == "invalid_storey_range"
@@ -85,7 +86,7 @@ def test_gate_blocks_publish(spark, scratch):
     else:
         raise AssertionError("gate did not stop the layer")
     assert not store.exists("raw")
-    assert store.read("failed").count() == source.count() - 2  # kept rows quarantined whole
+    assert store.read("failed").count() == source.count() - 2  # kept rows quarantined whole (not blank/out of range)
     runs = store.read("pipeline_runs").where(F.col("layer") == "raw").collect()
     assert runs[0].status == ledger.MISMATCH
 
@@ -110,3 +111,19 @@ def test_dedup_independent_of_partitioning(spark):
     cols = ["l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice"]
     assert sorted(a.select(*cols).collect()) == sorted(b.select(*cols).collect())
     assert a.groupBy(*keys).count().where("count > 1").count() == 0
+
+
+def test_merge_mode_rerun_is_idempotent(spark, scratch):
+    """Two MERGE runs over the same files leave every layer as one run does."""
+    land = _landing(scratch)
+    store = TableStore(spark, os.path.join(scratch, "store"))
+    counts = []
+    for _ in range(2):
+        source = csvsrc.scan_csv(spark, f"{land}/auto", RAW_SCHEMA).drop("dataset_id")
+        runner = Runner(spark, store, L.LayerSpec(as_of="2024-01-31", category_k=2), load_type="MERGE")
+        res = runner.all_layers(source, source.count())
+        assert all(r.status == ledger.SUCCEEDED for r in res)
+        counts.append({st: store.count(st) for st in ("raw", "cleaned", "transformed", "hashed")})
+    assert counts[0] == counts[1]
+    assert counts[0]["raw"] == 15  # the copy survives in raw; months are replaced, not merged by key
+    assert store.read("hashed").groupBy("surrogate_key").count().where("count > 1").count() == 0
