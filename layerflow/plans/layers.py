@@ -67,6 +67,7 @@ class LayerSpec:
     as_of: dt.date | str | None = None                  # remaining-lease date; None = today
     quantile_accuracy: int | None = None                # None = exact quartiles
     month_col: str = "month"
+    partition_by: str | None = None                     # e.g. "month": merges rewrite touched months only
     range_start: str = DATE_RANGE_START
     range_end: str = DATE_RANGE_END
 

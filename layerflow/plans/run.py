@@ -24,14 +24,14 @@ from layerflow.functions import identity as ident
 from layerflow.operators.dedup import ROW_ID
 from layerflow.plans import layers as L
 from layerflow.plans import ledger
-from layerflow.sources.store import TableStore
+from layerflow.sources.store import PART, TableStore
 
 STATUS = "_status"
 REASON = "_failure_reason"
 QUARANTINE = "failed"
 RUNS = "pipeline_runs"
 AUDIT = "audit"
-DROP_ON_READ = [REASON, "_failed_stage", "_failed_at", "_run_id", L.ERRORS, L.VALID_ID]
+DROP_ON_READ = [REASON, "_failed_stage", "_failed_at", "_run_id", L.ERRORS, L.VALID_ID, PART]
 
 
 def with_row_id(df: DataFrame) -> DataFrame:
@@ -122,8 +122,12 @@ class Runner:
                .withColumn("_failed_stage", F.lit(stage))
                .withColumn("_failed_at", F.lit(start))
                .withColumn("_run_id", F.lit(self.run_id)))
+        parts = [STATUS]
+        if self.spec.partition_by:
+            out = out.withColumn(PART, F.col(self.spec.partition_by).cast("string"))
+            parts.append(PART)
         path = self.store.stage_write(out, stage, name=f"run={self.run_id}{self.batch_suffix}",
-                                      partition_by=[STATUS])
+                                      partition_by=parts)
         counts = {r[REASON]: r["n"] for r in
                   self.spark.read.parquet(path).groupBy(REASON).agg(F.count(F.lit(1)).alias("n")).collect()}
         kept = int(counts.pop(None, 0))
@@ -161,18 +165,25 @@ class Runner:
         if kept == 0:
             return  # an empty batch keeps the old rows (D10)
         mode = (self.load_type if publish == "load_type" else publish).strip().upper()
-        if mode == "APPEND" and self.store.exists(stage):
-            cur = self.store.current(stage)
-            if kept_path not in cur.segments:  # a replayed batch is already there
-                self.store.publish(stage, cur.segments + [kept_path], "append", cur.rows + kept, DROP_ON_READ)
-        elif mode in ("FULL", "APPEND") or not self.store.exists(stage):
-            self.store.publish(stage, [kept_path], "overwrite", kept, DROP_ON_READ)
-        elif mode == "REPLACE_MONTHS":
-            batch = self.spark.read.parquet(kept_path).drop(*DROP_ON_READ)
-            self.store.replace_where_present(batch, stage, self.spec.month_col)
+        part = self.spec.partition_by
+        # the published pieces: the kept folder, or its partition folders
+        pieces = self.store.part_dirs(kept_path) if part else [kept_path]
+        cur = self.store.current(stage)
+        if cur is None or mode == "FULL":
+            self.store.publish(stage, pieces, "overwrite", kept, DROP_ON_READ)
+        elif mode == "APPEND":
+            if not set(pieces) <= set(cur.segments):  # a replayed batch is already there
+                self.store.publish(stage, cur.segments + pieces, "append", cur.rows + kept, DROP_ON_READ)
         else:
             batch = self.spark.read.parquet(kept_path).drop(*DROP_ON_READ)
-            self.store.merge(batch, stage, key=L.SURROGATE)
+            if mode == "REPLACE_MONTHS" and part:
+                self.store.replace_partitions(batch, stage, part)
+            elif mode == "REPLACE_MONTHS":
+                self.store.replace_where_present(batch, stage, self.spec.month_col)
+            elif part:
+                self.store.merge_partitioned(batch, stage, L.SURROGATE, part)
+            else:
+                self.store.merge(batch, stage, key=L.SURROGATE)
 
     # ------------------------------------------------------------ layers
     def read_layer(self, stage: str) -> DataFrame:

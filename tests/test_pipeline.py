@@ -113,14 +113,19 @@ def test_dedup_independent_of_partitioning(spark):
     assert a.groupBy(*keys).count().where("count > 1").count() == 0
 
 
-def test_merge_mode_rerun_is_idempotent(spark, scratch):
+import pytest  # noqa: E402
+
+
+@pytest.mark.parametrize("partition_by", [None, "month"])
+def test_merge_mode_rerun_is_idempotent(spark, scratch, partition_by):
     """Two MERGE runs over the same files leave every layer as one run does."""
     land = _landing(scratch)
     store = TableStore(spark, os.path.join(scratch, "store"))
     counts = []
     for _ in range(2):
         source = csvsrc.scan_csv(spark, f"{land}/auto", RAW_SCHEMA).drop("dataset_id")
-        runner = Runner(spark, store, L.LayerSpec(as_of="2024-01-31", category_k=2), load_type="MERGE")
+        spec = L.LayerSpec(as_of="2024-01-31", category_k=2, partition_by=partition_by)
+        runner = Runner(spark, store, spec, load_type="MERGE")
         res = runner.all_layers(source, source.count())
         assert all(r.status == ledger.SUCCEEDED for r in res)
         counts.append({st: store.count(st) for st in ("raw", "cleaned", "transformed", "hashed")})

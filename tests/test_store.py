@@ -79,3 +79,21 @@ def test_merge_frames_is_pure(spark):
     t = spark.createDataFrame([(1, 1.0)], "k long, v double")
     b = spark.createDataFrame([(1, 5.0)], "k long, v double")
     assert _rows(merge_frames(t, b, "k"), "k", "v") == [(1, 5.0)]
+
+
+def test_partitioned_merge_rewrites_only_touched_partitions(spark, scratch):
+    st = TableStore(spark, scratch)
+    base = spark.createDataFrame([(1, "2015-01", 1.0), (2, "2015-02", 2.0), (3, "2015-03", 3.0)],
+                                 "k long, month string, v double")
+    st.overwrite_partitioned(base, "t", "month")
+    before = st.current("t").segments
+    batch = spark.createDataFrame([(2, "2015-02", 20.0), (4, "2015-02", 4.0)], "k long, month string, v double")
+    stats = st.merge_partitioned(batch, "t", "k", "month")
+    after = st.current("t").segments
+    untouched = [s for s in before if not s.endswith("=2015-02")]
+    assert all(s in after for s in untouched)  # untouched partitions are not rewritten
+    assert stats.after == 4
+    assert _rows(st.read("t"), "k", "month", "v") == [(1, "2015-01", 1.0), (2, "2015-02", 20.0),
+                                                      (3, "2015-03", 3.0), (4, "2015-02", 4.0)]
+    st.replace_partitions(spark.createDataFrame([(9, "2015-03", 9.0)], "k long, month string, v double"), "t", "month")
+    assert _rows(st.read("t"), "k") == [(1,), (2,), (4,), (9,)]
