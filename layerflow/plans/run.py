@@ -24,7 +24,7 @@ from layerflow.functions import identity as ident
 from layerflow.operators.dedup import ROW_ID
 from layerflow.plans import layers as L
 from layerflow.plans import ledger
-from layerflow.sources.store import PART, TableStore
+from layerflow.sources.store import PART, TableStore, merge_frames
 
 STATUS = "_status"
 REASON = "_failure_reason"
@@ -251,6 +251,62 @@ class Runner:
         tagged = L.tag_hashed(self.read_layer("transformed")).drop(L.IDENTIFIER)
         return self.run_layer("hashed", "transformed", tagged, publish=self.hashed_publish)
 
+    # ------------------------------------------------------------ incremental loop
+    def setting(self, name: str, default: str) -> str:
+        """A table parameter from the stored ``table_parameters`` ledger table (A4)."""
+        params = self.store.read("table_parameters", schema=ledger.LEDGER_SCHEMAS["table_parameters"])
+        if params is None:
+            return default
+        row = ledger.parameter(params, self.table_id, name, default).collect()
+        return row[0]["parameter_value"] if row else default
+
+    def watermark(self) -> str | None:
+        """This table's stored watermark, if any (A5)."""
+        marks = self.store.read("table_watermarks", schema=ledger.LEDGER_SCHEMAS["table_watermarks"])
+        if marks is None:
+            return None
+        row = (marks.where(F.col("table_id") == self.table_id)
+               .agg(F.max_by("last_watermark_value", "last_updated_at").alias("w")).collect())
+        return row[0]["w"] if row else None
+
+    def window(self):
+        """The months to (re)load this run (K2), from parameters and the watermark."""
+        from layerflow.streaming.incremental import effective_window
+        self.load_type = self.setting("load_type", self.load_type).strip().upper()
+        lookback = int(self.setting("lookback_window", "7"))
+        return effective_window(self.load_type, self.watermark(), self.spec.range_start, self.spec.range_end, lookback)
+
+    def advance_watermark(self, value: str) -> bool:
+        """After a successful non-FULL run, store the new watermark and verify it."""
+        if self.load_type.strip().upper() == "FULL":
+            return False
+        schema = ledger.LEDGER_SCHEMAS["table_watermarks"]
+        row = self.spark.createDataFrame([(self.table_id, value, _now(), self._last_run_id)], schema)
+        current = self.store.read("table_watermarks", schema=schema)
+        merged = row if current is None else merge_frames(current, row, "table_id")
+        self.store.overwrite(merged, "table_watermarks")
+        check = ledger.verify_present(self.store.read("table_watermarks", schema=schema),
+                                      row.select("table_id", "last_watermark_value"),
+                                      ["table_id", "last_watermark_value"]).collect()
+        if not all(r.present for r in check):
+            raise RuntimeError("watermark write not visible after publish")
+        return True
+
+    def incremental(self, source: DataFrame) -> list[LayerResult]:
+        """Window -> filter the source -> all layers -> advance the watermark.
+
+        The window filter is a predicate on the month column, so it reaches
+        the scan; the new watermark is the latest month processed (D14).
+        """
+        from layerflow.operators.filters import date_range
+        lo, hi = self.window()
+        batch = date_range(source, self.spec.month_col, lo.isoformat(), hi.isoformat(), prune=True)
+        results = self.all_layers(batch, batch.count())
+        latest = batch.agg(F.max(self.spec.month_col).alias("m")).collect()[0]["m"]
+        if latest is not None:
+            self.advance_watermark(f"{latest}-01 00:00:00" if len(latest) == 7 else latest)
+        return results
+
     def all_layers(self, source: DataFrame, source_count: int | None = None) -> list[LayerResult]:
         """raw -> cleaned -> transformed -> hashed; the first failure stops the chain."""
         self.guarded("raw", lambda: self.raw(source, source_count))

@@ -132,3 +132,25 @@ def test_merge_mode_rerun_is_idempotent(spark, scratch, partition_by):
     assert counts[0] == counts[1]
     assert counts[0]["raw"] == 15  # the copy survives in raw; months are replaced, not merged by key
     assert store.read("hashed").groupBy("surrogate_key").count().where("count > 1").count() == 0
+
+
+def test_incremental_loop_narrows_window_and_advances_watermark(spark, scratch):
+    """MERGE runs read only the lookback window after the first run (K2-K4)."""
+    land = _landing(scratch)
+    store = TableStore(spark, os.path.join(scratch, "store"))
+    params = spark.createDataFrame([(1, "load_type", " merge ", None), (1, "lookback_window", "7", None)],
+                                   ledger.LEDGER_SCHEMAS["table_parameters"])
+    store.overwrite(params, "table_parameters")
+    spec = L.LayerSpec(as_of="2024-01-31", category_k=1, range_start="2012-01-01", range_end="2016-12-31")
+    source = csvsrc.scan_csv(spark, f"{land}/auto", RAW_SCHEMA).drop("dataset_id")
+    first = Runner(spark, store, spec)
+    assert first.window()[0].isoformat() == "2012-01-01"  # no watermark yet: the whole range
+    first.incremental(source)
+    mark = first.watermark()
+    assert mark == "2015-04-01 00:00:00"
+    second = Runner(spark, store, spec)
+    lo, _ = second.window()
+    assert lo.isoformat() == "2015-03-25"  # watermark - 7 days
+    res = second.incremental(source)
+    assert res[0].kept == 1  # only the 2015-04 row was re-read
+    assert store.count("raw") == first.results[0].kept  # raw: the re-read month replaced, nothing added
