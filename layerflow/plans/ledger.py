@@ -355,7 +355,16 @@ def count_chain(runs: DataFrame, layers: list[str]) -> DataFrame:
         F.round((F.col(first) - F.col(final)) * 100.0 / F.col(first), 1).alias("quarantined_pct"))
 
 
-def reconcile_report(runs: DataFrame, rejects: DataFrame, layers: list[str] | None = None) -> DataFrame:
+def report_outcome(report: DataFrame) -> DataFrame:
+    """Per table: the first layer that did not reconcile (NULL when all did), and the verdict."""
+    bad = F.col("evaluated") & ~F.col("reconciled")
+    return report.groupBy("table_id").agg(
+        F.min_by(F.when(bad, F.col("layer")), F.when(bad, F.col("seq"))).alias("stopped_at"),
+        (F.count_if(bad) == 0).alias("all_reconciled"))
+
+
+def reconcile_report(runs: DataFrame, rejects: DataFrame, layers: list[str] | None = None,
+                     tables: DataFrame | None = None) -> DataFrame:
     """Walk the layers in order; stop at the first not-run, failed or unreconciled one.
 
     ``rejects``: (run_id, layer, rejected) totals per run. Output per table and
@@ -365,7 +374,8 @@ def reconcile_report(runs: DataFrame, rejects: DataFrame, layers: list[str] | No
     last = latest_run(runs, ["table_id", "layer"])
     rej = rejects.groupBy("run_id").agg(F.sum("rejected").cast("bigint").alias("rejected"))
     steps = F.array(*[F.struct(F.lit(i).alias("seq"), F.lit(n).alias("layer")) for i, n in enumerate(layers)])
-    grid = runs.select("table_id").distinct().select("table_id", F.inline(steps))
+    ids = (tables if tables is not None else runs).select("table_id").distinct()
+    grid = ids.select("table_id", F.inline(steps))
     j = (grid.join(last, ["table_id", "layer"], "left").join(rej, "run_id", "left"))
     w = Window.partitionBy("table_id").orderBy("seq")
     prev_count = F.lag("number_of_records").over(w)
