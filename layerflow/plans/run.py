@@ -87,6 +87,7 @@ class Runner:
         """Append one stage result row to ``pipeline_runs``."""
         row = [(self._next_run_id(), self.table_id, layer, start, _now(), status, count, message)]
         self.store.append(self.spark.createDataFrame(row, ledger.RUNS_SCHEMA), RUNS, rows=1)
+        self.store.compact(RUNS)
 
     def record_audit(self, job: str, stage: str, rows_in: int, rows_out: int, rejected: int,
                      start: dt.datetime) -> None:
@@ -96,6 +97,7 @@ class Runner:
                 round((now - start).total_seconds(), 3))]
         try:
             self.store.append(self.spark.createDataFrame(row, ledger.AUDIT_SCHEMA), AUDIT, rows=1)
+            self.store.compact(AUDIT)
         except Exception:  # noqa: BLE001 - audit is best effort, as in the reference
             pass
 

@@ -179,6 +179,20 @@ class TableStore:
         self.publish(stage, segments + [path], "append", before + n, cur.drop_columns if cur else [])
         return WriteStats(before, before + n)
 
+    def compact(self, stage: str, max_segments: int = 64, files: int = 1) -> bool:
+        """Rewrite a table made of many small appended segments as one (ledger tables).
+
+        The old segments stay readable as the previous version; readers switch
+        at the publish.
+        """
+        cur = self.current(stage)
+        if cur is None or len(cur.segments) <= max_segments:
+            return False
+        df = self.read(stage)
+        path = self.stage_write(df.coalesce(files), stage)
+        self.publish(stage, [path], "compact", cur.rows)
+        return True
+
     def merge(self, df: DataFrame, stage: str, key: str = "surrogate_key",
               check_unique: bool = True) -> WriteStats:
         """Upsert by key (B4); the first write is a plain append."""
