@@ -139,7 +139,8 @@ class TableStore:
                     partition_by: list[str] | None = None) -> str:
         """Write rows where no reader looks yet; a fixed ``name`` makes a rerun replace itself."""
         path = self.new_data_path(stage, name)
-        w = df.write.mode("overwrite")
+        # a rerun replaces the whole folder, never only the partitions it happens to produce
+        w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(path)

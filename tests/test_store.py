@@ -97,3 +97,15 @@ def test_partitioned_merge_rewrites_only_touched_partitions(spark, scratch):
                                                       (3, "2015-03", 3.0), (4, "2015-02", 4.0)]
     st.replace_partitions(spark.createDataFrame([(9, "2015-03", 9.0)], "k long, month string, v double"), "t", "month")
     assert _rows(st.read("t"), "k") == [(1,), (2,), (4,), (9,)]
+
+
+def test_rewritten_stage_folder_drops_stale_partitions(spark, scratch):
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        st = TableStore(spark, scratch)
+        both = spark.createDataFrame([(1, "kept"), (2, "rejected")], "k long, s string")
+        p1 = st.stage_write(both, "t", name="run=1", partition_by=["s"])
+        p2 = st.stage_write(both.where("s = 'kept'"), "t", name="run=1", partition_by=["s"])
+        assert p1 == p2 and spark.read.parquet(p2).count() == 1
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
