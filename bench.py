@@ -53,7 +53,8 @@ def main() -> None:
 
     # raw: scan the landed files with the declared schema, range + blank filter, gate
     t0 = time.perf_counter()
-    schema = T.StructType(RAW_SCHEMA.fields + [T.StructField(c, T.LongType()) for c in fixtures.TX_LINEAGE])
+    schema = T.StructType(RAW_SCHEMA.fields + [T.StructField(c, T.IntegerType() if t == "int" else T.LongType())
+                                             for c, t in fixtures.TX_LINEAGE_TYPES.items()])
     source = csvsrc.scan_csv(spark, landing, schema)
     runner.raw(source.drop("dataset_id"), rows["source"])
     rows["raw"] = store.count("raw")

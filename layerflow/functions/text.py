@@ -41,10 +41,21 @@ def normalize_text(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.select(*[normalize(c).alias(c) if c in present else F.col(c) for c in df.columns])
 
 
+def month_ok(col: Column | str) -> Column:
+    """Month text is ``YYYY-M`` or ``YYYY-MM`` with a month 1..12 and a year from 1."""
+    c = _c(col)
+    return F.coalesce(c.rlike(MONTH_PATTERN) & ~c.startswith("0000"), F.lit(False))
+
+
 def month_date(col: Column | str) -> Column:
-    """Parse ``YYYY-MM`` (also ``YYYY-M``) to the first day of the month; else NULL."""
+    """Parse ``YYYY-MM`` (also ``YYYY-M``) to the first day of the month; else NULL.
+
+    The pattern guard makes the parts valid, so the date is built from them
+    directly instead of running a date formatter per row.
+    """
     c = _c(col)
-    return F.when(c.rlike(MONTH_PATTERN), F.try_to_date(c, "yyyy-M"))
+    return F.when(month_ok(c), F.make_date(F.substring(c, 1, 4).cast("int"),
+                                          F.substring_index(c, "-", -1).cast("int"), F.lit(1)))
 
 
 def to_ts(col: Column | str) -> Column:

@@ -97,7 +97,7 @@ def profile_numeric(df: DataFrame, cols: list[str] | None = None, accuracy: int
 
 def _ranked(counts: DataFrame, order: list, k: int) -> DataFrame:
     w = Window.partitionBy("column").orderBy(*order)
-    return counts.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return counts.withColumn("rank", F.row_number().over(w).cast("bigint")).where(F.col("rank") <= k)
 
 
 def profile_top_values(df: DataFrame, cols: list[str] | None = None, k: int = TOP_VALUES) -> DataFrame:

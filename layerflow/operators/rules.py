@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from layerflow.functions.text import MONTH_PATTERN, strip
+from layerflow.functions.text import month_ok, strip
 from layerflow.operators.groups import attach_frequency
 
 # Rule thresholds and the floor-range pattern.
@@ -34,7 +34,7 @@ class Rule:
 
 def rule_date(col: str = "month", name: str = "invalid_date") -> Rule:
     """Month text parses as ``YYYY-M(M)``."""
-    return Rule(name, F.col(col).rlike(MONTH_PATTERN) & F.try_to_date(F.col(col), "yyyy-M").isNotNull())
+    return Rule(name, month_ok(col))
 
 
 def rule_rare(col: str, k: int = MIN_CATEGORY_FREQUENCY, name: str | None = None) -> Rule:
@@ -85,11 +85,12 @@ def resale_rules(k: int = MIN_CATEGORY_FREQUENCY) -> list[Rule]:
 
 
 def error_list(rules: list[Rule]) -> Column:
-    """Names of failed rules, in rule order, joined by ``", "``; NULL when all pass (C11)."""
-    failed = F.array_compact(F.array(*[
-        F.when(~F.coalesce(r.passes, F.lit(False)), F.lit(r.name)) for r in rules
-    ]))
-    return F.when(F.size(failed) > 0, F.array_join(failed, ", "))
+    """Names of failed rules, in rule order, joined by ``", "``; NULL when all pass (C11).
+
+    ``concat_ws`` skips the NULLs of passing rules, so no array is built per row.
+    """
+    text = F.concat_ws(", ", *[F.when(~F.coalesce(r.passes, F.lit(False)), F.lit(r.name)) for r in rules])
+    return F.nullif(text, F.lit(""))
 
 
 def validate(df: DataFrame, rules: list[Rule], errors_col: str = "_validation_errors") -> DataFrame:

@@ -24,6 +24,7 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 TX_LINEAGE = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 TX_TIEBREAK = ["l_orderkey", "l_linenumber", "l_partkey"]
+TX_LINEAGE_TYPES = {"l_orderkey": "bigint", "l_linenumber": "int", "l_partkey": "bigint", "l_suppkey": "bigint"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

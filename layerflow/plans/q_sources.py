@@ -295,7 +295,8 @@ def q_stream_layers(spark, sf):
     land = scratch_path(spark, "stream_layers_land")
     src = X.tx(spark, sf, row_id=False).withColumn("dataset_id", F.substring("month", 1, 4))
     csvsrc.land_csv(src, land)
-    schema = T.StructType(RAW_SCHEMA.fields + [T.StructField(c, T.LongType()) for c in X.TX_LINEAGE])
+    schema = T.StructType(RAW_SCHEMA.fields + [T.StructField(c, T.IntegerType() if t == "int" else T.LongType())
+                                             for c, t in X.TX_LINEAGE_TYPES.items()])
     runner = Runner(spark, _store(spark, "stream_layers"), tx_spec(), hashed_publish="FULL")
     q = stream_layers(spark, land, schema, scratch_path(spark, "stream_layers_ckpt"), runner,
                       max_files_per_trigger=4)

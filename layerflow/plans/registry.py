@@ -337,7 +337,7 @@ def q_dedup_invariant(spark, sf):
 
 
 @register("duplicate_rows", """
-SELECT coalesce(sum(n), 0) AS duplicate_rows FROM (
+SELECT CAST(coalesce(sum(n), 0) AS BIGINT) AS duplicate_rows FROM (
   SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1)""")
 def q_duplicate_rows(spark, sf):
     return dedup.duplicate_rows(table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
