@@ -11,7 +11,7 @@ over the same keys would instead send each whole group to one task.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from layerflow.functions.text import strip
@@ -57,7 +57,7 @@ def attach_frequency(df: DataFrame, cols: list[str], prefix: str = "_freq_") ->
 BROADCAST_MAX_ROWS = 2_000_000
 
 
-def join_small(df: DataFrame, small: DataFrame, keys: list[str], how: str = "left",
+def join_small(df: DataFrame, small: DataFrame, keys, how: str = "left",
                check: bool = False, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Join a per-group table onto the rows, broadcasting it only behind a size check.
 
@@ -86,21 +86,98 @@ def attach_group_stat(df: DataFrame, stats: DataFrame, keys: list[str]) -> DataF
     return df.join(stats, on=keys, how="left")
 
 
+def exact_quantiles(df: DataFrame, keys: list[str], col: str, probs: list[float],
+                    partitions: int | None = None) -> DataFrame:
+    """Exact per-group quantiles with linear interpolation, without one task per group.
+
+    1. distinct (group, value) with counts (map-side combined: copies collapse);
+    2. range-partitioned by (group, value), so a hot group is spread over
+       many partitions in value order;
+    3. running counts inside each partition, plus the rows of the group in
+       earlier partitions (a small per-partition table) = global rank range;
+    4. the ranks ``floor/ceil((n-1)q)`` of every (group, q) are picked with a
+       broadcast table of targets; interpolation as pandas/``percentile``.
+    Groups with a NULL key part are skipped (a pandas groupby drops them).
+    Output: keys + ``q<i>`` per probability (double).
+    """
+    spark = df.sparkSession
+    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    v = F.col(col).cast("double")
+    usable = F.col(col).isNotNull()
+    for k in keys:
+        usable = usable & F.col(k).isNotNull()
+    vc = (df.where(usable).groupBy(*keys, v.alias("_v"))
+          .agg(F.count(F.lit(1)).alias("_c")))
+    ranged = vc.repartitionByRange(n_parts, *keys, "_v").withColumn("_pid", F.spark_partition_id())
+    local = ranged.withColumn("_cum", F.sum("_c").over(
+        Window.partitionBy(*keys, "_pid").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)))
+    per_part = ranged.groupBy(*keys, "_pid").agg(F.sum("_c").alias("_t"))
+    offsets = per_part.withColumn("_off", F.coalesce(F.sum("_t").over(
+        Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    ranks = (local.join(F.broadcast(offsets.select(*keys, "_pid", "_off")), [*keys, "_pid"])
+             .select(*keys, "_v", (F.col("_cum") + F.col("_off") - F.col("_c")).alias("_first"),
+                     (F.col("_cum") + F.col("_off") - 1).alias("_last")))
+    n = per_part.groupBy(*keys).agg(F.sum("_t").alias("_n"))
+    targets = n.select(*[F.col(k).alias(f"_t_{k}") for k in keys], F.explode(F.array(*[
+        F.struct(F.lit(i).alias("_qi"), ((F.col("_n") - 1) * F.lit(p)).alias("_h")) for i, p in enumerate(probs)
+    ])).alias("t")).select(*[f"_t_{k}" for k in keys], "t._qi", "t._h",
+                           F.floor("t._h").cast("bigint").alias("_lo"), F.ceil("t._h").cast("bigint").alias("_hi"))
+    # NULL-safe match on the group keys, then the rank test; targets are few (groups x probs)
+    same = [F.col(k).eqNullSafe(F.col(f"_t_{k}")) for k in keys]
+
+    def pick(rank_col: str, out: str) -> DataFrame:
+        hit = same + [F.col(rank_col).between(F.col("_first"), F.col("_last"))]
+        return join_small(ranks, targets, hit, how="inner", check=True).select(
+            *[F.col(f"_t_{k}").alias(f"{out}_{k}") for k in keys], F.col("_qi").alias(f"{out}_qi"),
+            "_h", F.col(rank_col).alias(f"{out}_rank"), F.col("_v").alias(f"{out}_v"))
+
+    lo, hi = pick("_lo", "l"), pick("_hi", "u").drop("_h")
+    both = lo.join(hi, [F.col(f"l_{k}").eqNullSafe(F.col(f"u_{k}")) for k in keys]
+                   + [F.col("l_qi") == F.col("u_qi")])
+    q = F.col("l_v") + (F.col("_h") - F.col("l_rank")) * (F.col("u_v") - F.col("l_v"))
+    return (both.select(*[F.col(f"l_{k}").alias(k) for k in keys], F.col("l_qi").alias("_qi"), q.alias("_q"))
+            .groupBy(*keys).pivot("_qi", list(range(len(probs)))).agg(F.first("_q"))
+            .select(*keys, *[F.col(str(i)).alias(f"q{i}") for i in range(len(probs))]))
+
+
+# Largest group whose exact quartiles are computed inside one task (Spark's
+# ``percentile`` keeps a value -> count map per group; 2 M entries fit easily).
+HOT_GROUP_ROWS = 2_000_000
+
+
+def largest_group(df: DataFrame, keys: list[str], col: str) -> int:
+    """Rows of the largest group (one small aggregation job)."""
+    row = (df.where(F.col(col).isNotNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+           .agg(F.max("_n").alias("m")).collect()[0])
+    return int(row["m"] or 0)
+
+
 def iqr_bounds(df: DataFrame, keys: list[str], col: str, factor: float = IQR_FACTOR,
-               accuracy: int | None = None) -> DataFrame:
+               accuracy: int | None = None, method: str = "auto",
+               hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
     """Per-group quartiles and fences.
 
     Output: keys, ``q1``, ``q3``, ``iqr``, ``lower``, ``upper``. Quartiles are
-    exact with linear interpolation (``percentile``), like pandas. With
-    ``accuracy`` set, ``percentile_approx`` is used instead: its state per
-    group is bounded, for groups with very many distinct values.
+    exact with linear interpolation, like pandas. ``"percentile"`` uses
+    Spark's exact aggregate (a per-group value map merged in one task);
+    ``"distributed"`` never holds a group in one task (``exact_quantiles``);
+    ``"auto"`` (default) measures the largest group and uses the distributed
+    form only when some group has more than ``hot_rows`` rows. With
+    ``accuracy`` set, ``percentile_approx`` is used instead (bounded, approximate).
     """
-    if accuracy is None:
+    if accuracy is None and method == "auto":
+        method = "distributed" if largest_group(df, keys, col) > hot_rows else "percentile"
+    if accuracy is not None:
+        qs = F.percentile_approx(F.col(col), F.array(F.lit(0.25), F.lit(0.75)), accuracy)
+    elif method == "percentile":
         qs = F.percentile(F.col(col), F.array(F.lit(0.25), F.lit(0.75)))
     else:
-        qs = F.percentile_approx(F.col(col), F.array(F.lit(0.25), F.lit(0.75)), accuracy)
-    grouped = (df.where(F.col(col).isNotNull())
-               .groupBy(*keys).agg(qs.alias("_q")))
+        qs = None
+    if qs is None:
+        grouped = exact_quantiles(df, keys, col, [0.25, 0.75]).select(*keys, F.array("q0", "q1").alias("_q"))
+    else:
+        grouped = (df.where(F.col(col).isNotNull())
+                   .groupBy(*keys).agg(qs.alias("_q")))
     q1, q3 = F.col("_q")[0].cast("double"), F.col("_q")[1].cast("double")
     return grouped.select(
         *keys,

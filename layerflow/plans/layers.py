@@ -66,6 +66,7 @@ class LayerSpec:
     mean_keys: list[str] = field(default_factory=lambda: ["month", "town", "flat_type"])
     as_of: dt.date | str | None = None                  # remaining-lease date; None = today
     quantile_accuracy: int | None = None                # None = exact quartiles
+    hot_group_rows: int = groups.HOT_GROUP_ROWS         # above this, quartiles are computed distributed
     month_col: str = "month"
     partition_by: str | None = None                     # e.g. "month": merges rewrite touched months only
     range_start: str = DATE_RANGE_START
@@ -142,10 +143,11 @@ def tag_cleaned(raw: DataFrame, spec: LayerSpec, reuse: Reuse = _same, check_sma
 
     if set(spec.outlier_keys) <= set(key):
         # the survivors are exactly the winners: quartiles come from the small winners table
-        bounds = groups.iqr_bounds(win, spec.outlier_keys, f"_w_{spec.price}", accuracy=spec.quantile_accuracy)
+        bounds = groups.iqr_bounds(win, spec.outlier_keys, f"_w_{spec.price}", accuracy=spec.quantile_accuracy,
+                                   hot_rows=spec.hot_group_rows)
     else:
         bounds = groups.iqr_bounds(deduped.where(survivor), spec.outlier_keys, spec.price,
-                                   accuracy=spec.quantile_accuracy)
+                                   accuracy=spec.quantile_accuracy, hot_rows=spec.hot_group_rows)
     bounds = bounds.select(*spec.outlier_keys, "lower", "upper")
     flagged = (groups.join_small(deduped, bounds, spec.outlier_keys, check=check_small)
                .withColumn("_outlier", survivor & groups.outside(spec.price)))

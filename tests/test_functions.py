@@ -144,3 +144,17 @@ def test_text_helpers(spark):
     assert _eval(e, text.clean_error("v")) == ["boom", "plain"]
     n = spark.createDataFrame([(0, "Ang Mo-Kio 2", "d1"), (1, "--", "d2")], "i int, n string, id string")
     assert _eval(n, text.sanitize_name("n", "id")) == ["AngMoKio2", "d2"]
+
+
+def test_distributed_quartiles_equal_percentile(spark):
+    """A single hot group spread over partitions gives the same quartiles as ``percentile``."""
+    big = spark.range(50000).select(F.lit("hot").alias("g"), (F.col("id") % 997 * 1.5).alias("v"))
+    small = spark.createDataFrame([("a", 1.0), ("a", 2.0), ("b", 3.0)], "g string, v double")
+    df = big.unionByName(small)
+    exact = {r.g: (r.q1, r.q3) for r in groups.iqr_bounds(df, ["g"], "v", method="percentile").collect()}
+    dist = {r.g: (r.q1, r.q3) for r in groups.iqr_bounds(df, ["g"], "v", method="distributed").collect()}
+    assert exact.keys() == dist.keys()
+    for k in exact:
+        assert all(abs(a - b) < 1e-9 for a, b in zip(exact[k], dist[k]))
+    auto = groups.iqr_bounds(df, ["g"], "v", hot_rows=1000).collect()  # forces the distributed form
+    assert {r.g: (r.q1, r.q3) for r in auto}.keys() == exact.keys()
