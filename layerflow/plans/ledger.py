@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from layerflow.functions.text import int_or_zero
+from layerflow.operators.groups import join_small
 
 # Run statuses, the layer order of the chain and the job of each layer.
 SUCCEEDED = "SUCCEEDED"
@@ -270,7 +271,10 @@ def rejects_in_window(failed: DataFrame, runs: DataFrame, slack_seconds: int = 1
     t = F.unix_micros(F.col(time_col).cast("timestamp"))
     f = failed.select(F.col("_failed_stage").alias("_layer"), t.alias("_t"),
                       F.col("_failure_reason").alias("reason"), F.floor(t / b).alias("_bucket"))
-    j = f.join(r, ["_layer", "_bucket"]).where(F.col("_t").between(F.col("_lo"), F.col("_hi")))
+    # all rejects of one run share a time, hence one (stage, bucket) key: the run side is small and
+    # is broadcast after a row count, so the rejects are never shuffled by that hot key
+    j = join_small(f, r, ["_layer", "_bucket"], how="inner", check=True).where(
+        F.col("_t").between(F.col("_lo"), F.col("_hi")))
     return (j.groupBy("run_id", F.col("_layer").alias("layer"), "reason")
             .agg(F.count(F.lit(1)).cast("bigint").alias("rejected")))
 
