@@ -109,3 +109,14 @@ def test_rewritten_stage_folder_drops_stale_partitions(spark, scratch):
         assert p1 == p2 and spark.read.parquet(p2).count() == 1
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
+
+
+def test_orphan_report_lists_unknown_folders(spark, scratch):
+    from layerflow.sources.listing import orphans
+    st = TableStore(spark, scratch)
+    st.overwrite(spark.range(3), "known_table")
+    st.overwrite(spark.range(3), "allowed_extra")
+    spark.range(2).write.parquet(f"{scratch}/stray_copy")
+    known = spark.createDataFrame([("known_table",)], "name string")
+    allow = spark.createDataFrame([("allowed_extra",)], "name string")
+    assert [r.name for r in orphans(spark, scratch, known, allow).collect()] == ["stray_copy"]
