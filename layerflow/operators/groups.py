@@ -39,15 +39,17 @@ def attach_frequency(df: DataFrame, cols: list[str], prefix: str = "_freq_") ->
     """Add ``<prefix><col>`` = batch frequency of the row's trimmed value.
 
     Blank or NULL values get a NULL frequency.
+    One grouped count per column (each scan reads only that column; the
+    counts are combined on the map side), joined back on the trimmed value.
+    The per-value tables are small for category columns and AQE broadcasts
+    them from their measured size; otherwise it splits skewed partitions.
     """
-    if not cols:
-        return df
-    counts = value_counts(df, cols)
     out = df
     for c in cols:
         fc = f"{prefix}{c}"
-        side = counts.where(F.col("column") == c).select(
-            F.col("value").alias(f"_fv_{c}"), F.col("count").alias(fc))
+        v = strip(F.col(c).cast("string"))
+        side = (df.select(v.alias(f"_fv_{c}")).where(F.col(f"_fv_{c}").isNotNull() & (F.col(f"_fv_{c}") != ""))
+                .groupBy(f"_fv_{c}").agg(F.count(F.lit(1)).alias(fc)))
         out = (out.join(side, strip(out[c].cast("string")) == side[f"_fv_{c}"], "left")
                .drop(f"_fv_{c}"))
     return out
