@@ -45,3 +45,23 @@ def test_no_query_uses_a_cartesian_product(spark):
     for name in ["reject_breakdown_window", "context_nested", "partition_check", "reconcile_report"]:
         plan = _plan(QUERIES[name](spark, SF))
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
+
+
+def test_layer_outputs_broadcast_and_never_use_one_partition(spark, scratch):
+    """Executed plans of the written layers: broadcast joins, no single-partition exchange."""
+    from layerflow.plans.run import Runner
+    from layerflow.sources.store import TableStore
+    runner = Runner(spark, TableStore(spark, scratch), tx_spec())
+    runner.raw(fixtures.tx(spark, SF, row_id=False))
+    runner.cleaned()
+    plans = {
+        "cleaned": L.tag_cleaned(runner.read_layer("raw"), runner.spec, runner._written("cleaned"), check_small=True),
+        "transformed": L.tag_transformed(runner.read_layer("cleaned"), runner.spec, runner._written("transformed"),
+                                         check_small=True),
+    }
+    for name, df in plans.items():
+        df.write.format("noop").mode("overwrite").save()
+        plan = _plan(df)
+        assert "BroadcastHashJoin" in plan, name
+        assert "SinglePartition" not in plan, name
+        assert "Window [" not in plan, name
