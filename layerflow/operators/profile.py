@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from layerflow.functions.text import extract_pair, strip
-from layerflow.operators.groups import value_counts
+from layerflow.operators.groups import HOT_GROUP_ROWS, exact_quantiles, value_counts
 
 # Sizes of the profile's lists, the floor-range pattern, the
 # block format classes and the rare-category threshold.
@@ -75,24 +75,59 @@ def profile_base(df: DataFrame, cols: list[str] | None = None, approx: bool = Fa
                     F.coalesce("_dc", F.lit(0).cast("bigint")).alias("distinct_count")))
 
 
-def profile_numeric(df: DataFrame, cols: list[str] | None = None, accuracy: int | None = None) -> DataFrame:
-    """Per numeric column: min, max, mean, sample std, q1, median, q3 (F3). One pass."""
+def largest_distinct(df: DataFrame, cols: list[str]) -> int:
+    """Approximate distinct values of the most varied column (one small aggregation job)."""
+    if not cols:
+        return 0
+    row = df.agg(*[F.approx_count_distinct(F.col(c)).alias(f"d{i}") for i, c in enumerate(cols)]).collect()[0]
+    return max(int(v or 0) for v in row)
+
+
+def profile_numeric(df: DataFrame, cols: list[str] | None = None, accuracy: int | None = None,
+                    method: str = "auto", hot_values: int = HOT_GROUP_ROWS) -> DataFrame:
+    """Per numeric column: min, max, mean, sample std, q1, median, q3.
+
+    Exact quartiles (linear, like pandas). ``"percentile"`` is one pass, but
+    Spark's ``percentile`` merges a value -> count map of the whole column in
+    one task; ``"distributed"`` unpivots the columns and uses
+    ``exact_quantiles`` with the column name as the group, so no task holds
+    a column's distinct values. ``"auto"`` (default) measures distinct values
+    (HyperLogLog) and picks the distributed form above ``hot_values``.
+    ``accuracy`` selects ``percentile_approx`` (bounded, approximate).
+    """
     cols = cols or numeric_columns(df)
+    if accuracy is None and method == "auto":
+        method = "distributed" if largest_distinct(df, cols) > hot_values else "percentile"
     qs = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
+    with_q = accuracy is not None or method == "percentile"
     aggs = []
     for i, c in enumerate(cols):
         x = F.col(c).cast("double")
-        q = F.percentile(x, qs) if accuracy is None else F.percentile_approx(x, qs, accuracy)
         aggs += [F.min(x).alias(f"mn{i}"), F.max(x).alias(f"mx{i}"), F.avg(x).alias(f"av{i}"),
-                 F.stddev_samp(x).alias(f"sd{i}"), q.alias(f"q{i}")]
+                 F.stddev_samp(x).alias(f"sd{i}")]
+        if with_q:
+            q = F.percentile(x, qs) if accuracy is None else F.percentile_approx(x, qs, accuracy)
+            aggs.append(q.alias(f"q{i}"))
     one = df.agg(*aggs)
+
+    def qpart(i: int, j: int):
+        return F.col(f"q{i}")[j].cast("double") if with_q else F.lit(None).cast("double")
+
     rows = F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(f"mn{i}").alias("min"), F.col(f"mx{i}").alias("max"),
                  F.col(f"av{i}").alias("mean"), F.col(f"sd{i}").alias("std"),
-                 F.col(f"q{i}")[0].cast("double").alias("q1"), F.col(f"q{i}")[1].cast("double").alias("median"),
-                 F.col(f"q{i}")[2].cast("double").alias("q3"))
+                 qpart(i, 0).alias("q1"), qpart(i, 1).alias("median"), qpart(i, 2).alias("q3"))
         for i, c in enumerate(cols)]))
-    return one.select(rows.alias("p")).select("p.*")
+    stats = one.select(rows.alias("p")).select("p.*")
+    if with_q:
+        return stats
+    values = df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in cols])).alias("kv")
+    ).select("kv.column", "kv.value")
+    quart = exact_quantiles(values, ["column"], "value", [0.25, 0.5, 0.75])
+    return (stats.drop("q1", "median", "q3").join(quart, "column", "left")
+            .select("column", "min", "max", "mean", "std", F.col("q0").alias("q1"),
+                    F.col("q1").alias("median"), F.col("q2").alias("q3")))
 
 
 def _ranked(counts: DataFrame, order: list, k: int) -> DataFrame:

@@ -158,3 +158,21 @@ def test_distributed_quartiles_equal_percentile(spark):
         assert all(abs(a - b) < 1e-9 for a, b in zip(exact[k], dist[k]))
     auto = groups.iqr_bounds(df, ["g"], "v", hot_rows=1000).collect()  # forces the distributed form
     assert {r.g: (r.q1, r.q3) for r in auto}.keys() == exact.keys()
+
+
+def test_profile_numeric_distributed_equals_percentile(spark):
+    """Column quartiles without one task per column match the one-pass ``percentile``."""
+    from layerflow.operators import profile
+
+    df = spark.range(40000).select((F.col("id") % 1013 * 0.25).alias("a"), (F.col("id") * 3 % 7).alias("b"),
+                                   F.lit(None).cast("double").alias("c"))
+    cols = ["a", "b", "c"]
+    one = {r.column: tuple(r)[1:] for r in profile.profile_numeric(df, cols, method="percentile").collect()}
+    dist = {r.column: tuple(r)[1:] for r in profile.profile_numeric(df, cols, method="distributed").collect()}
+    auto = profile.profile_numeric(df, cols, hot_values=100)  # forces the distributed form
+    assert auto.columns == profile.profile_numeric(df, cols, method="percentile").columns
+    assert one.keys() == dist.keys() == {"a", "b", "c"}
+    for k in one:
+        for x, y in zip(one[k], dist[k]):
+            assert (x is None and y is None) or abs(x - y) < 1e-9, (k, one[k], dist[k])
+    assert {r.column for r in auto.collect()} == set(cols)
