@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from layerflow.functions.text import int_or_zero
-from layerflow.operators.groups import join_small
+from layerflow.operators.groups import BROADCAST_MAX_ROWS
 
 # Run statuses, the layer order of the chain and the job of each layer.
 SUCCEEDED = "SUCCEEDED"
@@ -253,7 +253,8 @@ def reject_share(counts: DataFrame) -> DataFrame:
 
 
 def rejects_in_window(failed: DataFrame, runs: DataFrame, slack_seconds: int = 1,
-                      time_col: str = "_failed_at", bucket_seconds: int = 300) -> DataFrame:
+                      time_col: str = "_failed_at", bucket_seconds: int = 300,
+                      max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Rejects whose time falls in a run's window widened by ``slack``.
 
     A range join done as an equi-join: time is cut into buckets of
@@ -261,6 +262,11 @@ def rejects_in_window(failed: DataFrame, runs: DataFrame, slack_seconds: int = 1
     touches (a few, as runs are short), a reject under its one bucket.
     The join is on (stage, bucket) and the exact range test runs on the
     matched pairs only, so no stage is compared all-against-all.
+    All rejects of one run share a time, hence one hot (stage, bucket) key.
+    The run side is counted: up to ``max_rows`` rows it is broadcast and the
+    rejects are never shuffled; above, the rejects are first counted per
+    (stage, time, reason) — copies collapse on the map side — and only those
+    counts are shuffled into the sort-merge join.
     Output: run_id, layer, reason, rejected.
     """
     lo = F.unix_micros(F.col("start_time").cast("timestamp")) - slack_seconds * 1_000_000
@@ -271,12 +277,15 @@ def rejects_in_window(failed: DataFrame, runs: DataFrame, slack_seconds: int = 1
     t = F.unix_micros(F.col(time_col).cast("timestamp"))
     f = failed.select(F.col("_failed_stage").alias("_layer"), t.alias("_t"),
                       F.col("_failure_reason").alias("reason"), F.floor(t / b).alias("_bucket"))
-    # all rejects of one run share a time, hence one (stage, bucket) key: the run side is small and
-    # is broadcast after a row count, so the rejects are never shuffled by that hot key
-    j = join_small(f, r, ["_layer", "_bucket"], how="inner", check=True).where(
-        F.col("_t").between(F.col("_lo"), F.col("_hi")))
+    keys = ["_layer", "_bucket"]
+    if r.count() <= max_rows:
+        j = f.withColumn("_n", F.lit(1)).join(F.broadcast(r), keys, "inner")
+    else:
+        pre = f.groupBy("_layer", "_t", "reason", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+        j = pre.join(r, keys, "inner")
+    j = j.where(F.col("_t").between(F.col("_lo"), F.col("_hi")))
     return (j.groupBy("run_id", F.col("_layer").alias("layer"), "reason")
-            .agg(F.count(F.lit(1)).cast("bigint").alias("rejected")))
+            .agg(F.sum("_n").cast("bigint").alias("rejected")))
 
 
 def rejects_in_window_naive(failed: DataFrame, runs: DataFrame, slack_seconds: int = 1,

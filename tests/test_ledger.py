@@ -90,6 +90,9 @@ def test_bucketed_range_join_matches_brute_force(spark):
     fast = ledger.rejects_in_window(failed, runs, slack_seconds=1, bucket_seconds=60)
     slow = ledger.rejects_in_window_naive(failed, runs, slack_seconds=1)
     assert sorted(fast.collect()) == sorted(slow.collect())
+    # the run side too large to broadcast: pre-aggregated rejects into a sort-merge join
+    merged = ledger.rejects_in_window(failed, runs, slack_seconds=1, bucket_seconds=60, max_rows=0)
+    assert sorted(merged.collect()) == sorted(slow.collect())
 
 
 def test_compaction_keeps_rows(spark, scratch):
