@@ -196,10 +196,20 @@ def rare_values(df: DataFrame, cols: list[str], k: int = RARE_BELOW) -> DataFram
     return value_counts(df, cols).where(F.col("count") < k)
 
 
+# Profile frames whose size is bounded by (columns x list size); written as one file.
+BOUNDED_FRAMES = {"header", "base", "numeric", "top_values", "distinct_sample", "duplicates",
+                  "range", "format", "format_other_sample"}
+
+
 def write_profile(frames: dict[str, DataFrame], path: str) -> None:
-    """Persist each profile frame as JSON under ``path/<name>``."""
+    """Persist each profile frame as JSON under ``path/<name>``.
+
+    Bounded frames go to one file; the others (the rare-value list grows with
+    a column's distinct values) are written by every task in parallel.
+    """
     for name, frame in frames.items():
-        frame.coalesce(1).write.mode("overwrite").json(f"{path}/{name}")
+        out = frame.coalesce(1) if name in BOUNDED_FRAMES else frame
+        out.write.mode("overwrite").json(f"{path}/{name}")
 
 
 def profile_report(df: DataFrame, text_cols: list[str], numeric_cols: list[str],

@@ -176,3 +176,21 @@ def test_profile_numeric_distributed_equals_percentile(spark):
         for x, y in zip(one[k], dist[k]):
             assert (x is None and y is None) or abs(x - y) < 1e-9, (k, one[k], dist[k])
     assert {r.column for r in auto.collect()} == set(cols)
+
+
+def test_profile_report_written_and_read_back(spark, scratch):
+    """Every profile frame is written as JSON and reads back with the same rows."""
+    import os
+
+    from layerflow.operators import profile
+
+    df = spark.read.parquet("/root/testdata/sf0.001/part.parquet")
+    frames = profile.profile_report(df, ["p_brand", "p_type", "p_name"], ["p_size", "p_retailprice"],
+                                    ["p_brand", "p_name"], ["p_partkey"], name="part")
+    out = os.path.join(scratch, "profile")
+    profile.write_profile(frames, out)
+    for name, frame in frames.items():
+        back = spark.read.json(os.path.join(out, name))
+        assert back.count() == frame.count(), name
+        if name in profile.BOUNDED_FRAMES:
+            assert len([f for f in os.listdir(os.path.join(out, name)) if f.endswith(".json")]) <= 1, name
