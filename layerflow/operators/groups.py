@@ -89,7 +89,7 @@ def attach_group_stat(df: DataFrame, stats: DataFrame, keys: list[str]) -> DataF
 
 
 def exact_quantiles(df: DataFrame, keys: list[str], col: str, probs: list[float],
-                    partitions: int | None = None) -> DataFrame:
+                    partitions: int | None = None, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Exact per-group quantiles with linear interpolation, without one task per group.
 
     1. distinct (group, value) with counts (map-side combined: copies collapse);
@@ -97,8 +97,12 @@ def exact_quantiles(df: DataFrame, keys: list[str], col: str, probs: list[float]
        many partitions in value order;
     3. running counts inside each partition, plus the rows of the group in
        earlier partitions (a small per-partition table) = global rank range;
-    4. the ranks ``floor/ceil((n-1)q)`` of every (group, q) are picked with a
-       broadcast table of targets; interpolation as pandas/``percentile``.
+    4. the ranks ``floor/ceil((n-1)q)`` of every (group, q) are located in
+       their range partition and picked by an equi-join on (group, partition);
+       interpolation as pandas/``percentile``.
+    The per-partition tables are broadcast only after a row count (at most
+    ``max_rows``); otherwise the joins are sort-merge joins on (group,
+    partition), a key no larger than one partition.
     Groups with a NULL key part are skipped (a pandas groupby drops them).
     Output: keys + ``q<i>`` per probability (double).
     """
@@ -116,26 +120,31 @@ def exact_quantiles(df: DataFrame, keys: list[str], col: str, probs: list[float]
     per_part = ranged.groupBy(*keys, "_pid").agg(F.sum("_c").alias("_t"))
     offsets = per_part.withColumn("_off", F.coalesce(F.sum("_t").over(
         Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    ranks = (local.join(F.broadcast(offsets.select(*keys, "_pid", "_off")), [*keys, "_pid"])
-             .select(*keys, "_v", (F.col("_cum") + F.col("_off") - F.col("_c")).alias("_first"),
+    ranks = (join_small(local, offsets.select(*keys, "_pid", "_off"), [*keys, "_pid"], how="inner",
+                        check=True, max_rows=max_rows)
+             .select(*keys, "_pid", "_v", (F.col("_cum") + F.col("_off") - F.col("_c")).alias("_first"),
                      (F.col("_cum") + F.col("_off") - 1).alias("_last")))
     n = per_part.groupBy(*keys).agg(F.sum("_t").alias("_n"))
-    targets = n.select(*[F.col(k).alias(f"_t_{k}") for k in keys], F.explode(F.array(*[
+    targets = n.select(*keys, F.explode(F.array(*[
         F.struct(F.lit(i).alias("_qi"), ((F.col("_n") - 1) * F.lit(p)).alias("_h")) for i, p in enumerate(probs)
-    ])).alias("t")).select(*[f"_t_{k}" for k in keys], "t._qi", "t._h",
+    ])).alias("t")).select(*keys, "t._qi", "t._h",
                            F.floor("t._h").cast("bigint").alias("_lo"), F.ceil("t._h").cast("bigint").alias("_hi"))
-    # NULL-safe match on the group keys, then the rank test; targets are few (groups x probs)
-    same = [F.col(k).eqNullSafe(F.col(f"_t_{k}")) for k in keys]
+    # every target rank lies in exactly one range partition of its group: find it in the small
+    # per-partition span table, then match values on (group, partition) — a key no larger than a
+    # partition, so even a hot group is spread when the targets are too many to broadcast.
+    # Keys are never NULL here (filtered above), so plain equality is exact.
+    spans = offsets.select(*keys, "_pid", F.col("_off").alias("_s0"), (F.col("_off") + F.col("_t") - 1).alias("_s1"))
 
     def pick(rank_col: str, out: str) -> DataFrame:
-        hit = same + [F.col(rank_col).between(F.col("_first"), F.col("_last"))]
-        return join_small(ranks, targets, hit, how="inner", check=True).select(
-            *[F.col(f"_t_{k}").alias(f"{out}_{k}") for k in keys], F.col("_qi").alias(f"{out}_qi"),
-            "_h", F.col(rank_col).alias(f"{out}_rank"), F.col("_v").alias(f"{out}_v"))
+        located = (targets.select(*keys, "_qi", "_h", F.col(rank_col).alias("_r")).join(spans, keys)
+                   .where(F.col("_r").between(F.col("_s0"), F.col("_s1"))).drop("_s0", "_s1"))
+        hit = join_small(ranks, located, [*keys, "_pid"], how="inner", check=True, max_rows=max_rows).where(
+            F.col("_r").between(F.col("_first"), F.col("_last")))
+        return hit.select(*[F.col(k).alias(f"{out}_{k}") for k in keys], F.col("_qi").alias(f"{out}_qi"),
+                          "_h", F.col("_r").alias(f"{out}_rank"), F.col("_v").alias(f"{out}_v"))
 
     lo, hi = pick("_lo", "l"), pick("_hi", "u").drop("_h")
-    both = lo.join(hi, [F.col(f"l_{k}").eqNullSafe(F.col(f"u_{k}")) for k in keys]
-                   + [F.col("l_qi") == F.col("u_qi")])
+    both = lo.join(hi, [F.col(f"l_{k}") == F.col(f"u_{k}") for k in keys] + [F.col("l_qi") == F.col("u_qi")])
     q = F.col("l_v") + (F.col("_h") - F.col("l_rank")) * (F.col("u_v") - F.col("l_v"))
     return (both.select(*[F.col(f"l_{k}").alias(k) for k in keys], F.col("l_qi").alias("_qi"), q.alias("_q"))
             .groupBy(*keys).pivot("_qi", list(range(len(probs)))).agg(F.first("_q"))

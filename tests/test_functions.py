@@ -158,6 +158,11 @@ def test_distributed_quartiles_equal_percentile(spark):
         assert all(abs(a - b) < 1e-9 for a, b in zip(exact[k], dist[k]))
     auto = groups.iqr_bounds(df, ["g"], "v", hot_rows=1000).collect()  # forces the distributed form
     assert {r.g: (r.q1, r.q3) for r in auto}.keys() == exact.keys()
+    # per-partition tables too large to broadcast: sort-merge joins on (group, partition)
+    merged = {r.g: (r.q0, r.q1) for r in groups.exact_quantiles(df, ["g"], "v", [0.25, 0.75], max_rows=0).collect()}
+    assert merged.keys() == exact.keys()
+    for k in exact:
+        assert all(abs(a - b) < 1e-9 for a, b in zip(exact[k], merged[k]))
 
 
 def test_profile_numeric_distributed_equals_percentile(spark):
