@@ -148,7 +148,8 @@ def tag_cleaned(raw: DataFrame, spec: LayerSpec, reuse: Reuse = _same, check_sma
     else:
         bounds = groups.iqr_bounds(deduped.where(survivor), spec.outlier_keys, spec.price,
                                    accuracy=spec.quantile_accuracy, hot_rows=spec.hot_group_rows)
-    bounds = bounds.select(*spec.outlier_keys, "lower", "upper")
+    # written once: the broadcast check counts the written table instead of recomputing the quartiles
+    bounds = reuse(bounds.select(*spec.outlier_keys, "lower", "upper"))
     flagged = (groups.join_small(deduped, bounds, spec.outlier_keys, check=check_small)
                .withColumn("_outlier", survivor & groups.outside(spec.price)))
 
@@ -165,9 +166,14 @@ def tag_cleaned(raw: DataFrame, spec: LayerSpec, reuse: Reuse = _same, check_sma
 
 # ---------------------------------------------------------------- transformed
 
-def identifier_parts(df: DataFrame, spec: LayerSpec, check_small: bool = False) -> DataFrame:
-    """Rows plus the four identifier parts (L3-L6) and the group mean."""
-    means = groups.group_mean(df, spec.mean_keys, spec.price, "_group_mean")
+def identifier_parts(df: DataFrame, spec: LayerSpec, check_small: bool = False,
+                     reuse: Reuse = _same) -> DataFrame:
+    """Rows plus the four identifier parts (L3-L6) and the group mean.
+
+    The means table goes through ``reuse`` (written once by the runner), so
+    the broadcast check and the join read it instead of averaging twice.
+    """
+    means = reuse(groups.group_mean(df, spec.mean_keys, spec.price, "_group_mean"))
     j = groups.join_small(df, means, spec.mean_keys, check=check_small)
     return j.select(
         "*",
@@ -181,7 +187,7 @@ def identifier_parts(df: DataFrame, spec: LayerSpec, check_small: bool = False)
 def tag_transformed(cleaned: DataFrame, spec: LayerSpec, reuse: Reuse = _same,
                     check_small: bool = False) -> DataFrame:
     """All cleaned rows with ``resale_identifier``, ``_identifier_valid`` and ``_outcome``."""
-    parts = reuse(identifier_parts(cleaned, spec, check_small))
+    parts = reuse(identifier_parts(cleaned, spec, check_small, reuse))
     pcols = [F.col("block_part"), F.col("price_part"), F.col("month_part"), F.col("town_part")]
     identifier = ident.build_identifier(pcols)
     with_id = (parts.withColumn(IDENTIFIER, identifier)

@@ -218,15 +218,17 @@ class Runner:
         of recomputing the scan, normalisation and frequency joins) and lets
         each consumer read only the columns it needs.
         """
-        n = [0]
+        n, ids = [0], [False]
 
         def write(df: DataFrame) -> DataFrame:
             n[0] += 1
             name = f"work-{self.run_id}{self.batch_suffix}-{n[0]}"
-            if ROW_ID in df.columns and n[0] > 1:  # a derived table keeps the ids it refers to
-                return self.spark.read.parquet(self.store.stage_write(df, stage, name=name))
-            path = self.store.stage_write(df.drop(ROW_ID), stage, name=name)
-            return with_row_id(self.spark.read.parquet(path))
+            if ROW_ID in df.columns and not ids[0]:  # the first row frame gets ids from its files
+                ids[0] = True
+                path = self.store.stage_write(df.drop(ROW_ID), stage, name=name)
+                return with_row_id(self.spark.read.parquet(path))
+            # derived tables keep the ids they refer to; per-group tables have none
+            return self.spark.read.parquet(self.store.stage_write(df, stage, name=name))
         return write
 
     def guarded(self, stage: str, fn):
