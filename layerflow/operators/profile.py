@@ -91,13 +91,16 @@ def profile_numeric(df: DataFrame, cols: list[str] | None = None, accuracy: int
     Spark's ``percentile`` merges a value -> count map of the whole column in
     one task; ``"distributed"`` unpivots the columns and uses
     ``exact_quantiles`` with the column name as the group, so no task holds
-    a column's distinct values. ``"auto"`` (default) measures distinct values
-    (HyperLogLog) and picks the distributed form above ``hot_values``.
+    a column's distinct values. ``"auto"`` (default) counts rows and, above
+    ``hot_values`` rows, measures distinct values (HyperLogLog); the
+    distributed form is used when some column has more than ``hot_values``.
     ``accuracy`` selects ``percentile_approx`` (bounded, approximate).
     """
     cols = cols or numeric_columns(df)
     if accuracy is None and method == "auto":
-        method = "distributed" if largest_distinct(df, cols) > hot_values else "percentile"
+        # a row count reads no column; no column has more distinct values than the table has rows
+        few = df.count() <= hot_values or largest_distinct(df, cols) <= hot_values
+        method = "percentile" if few else "distributed"
     qs = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
     with_q = accuracy is not None or method == "percentile"
     aggs = []
