@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from layerflow.functions.text import strip
+from layerflow.session import scratch_path
 
 # Fixed value: the IQR multiplier for the outlier fences.
 IQR_FACTOR = 1.5
@@ -100,7 +101,8 @@ def exact_quantiles(df: DataFrame, keys: list[str], col: str, probs: list[float]
     4. the ranks ``floor/ceil((n-1)q)`` of every (group, q) are located in
        their range partition and picked by an equi-join on (group, partition);
        interpolation as pandas/``percentile``.
-    The per-partition tables are broadcast only after a row count (at most
+    The range-partitioned distinct table is written once under the shared
+    checkpoint folder. The per-partition tables are broadcast only after a row count (at most
     ``max_rows``); otherwise the joins are sort-merge joins on (group,
     partition), a key no larger than one partition.
     Groups with a NULL key part are skipped (a pandas groupby drops them).
@@ -115,6 +117,11 @@ def exact_quantiles(df: DataFrame, keys: list[str], col: str, probs: list[float]
     vc = (df.where(usable).groupBy(*keys, v.alias("_v"))
           .agg(F.count(F.lit(1)).alias("_c")))
     ranged = vc.repartitionByRange(n_parts, *keys, "_v").withColumn("_pid", F.spark_partition_id())
+    # written once to the shared folder: the consumers and the broadcast checks below read the
+    # same partition ids instead of re-running the aggregation and the range sampling each time
+    path = scratch_path(spark, "quantiles")
+    ranged.write.parquet(path)
+    ranged = spark.read.parquet(path)
     local = ranged.withColumn("_cum", F.sum("_c").over(
         Window.partitionBy(*keys, "_pid").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)))
     per_part = ranged.groupBy(*keys, "_pid").agg(F.sum("_c").alias("_t"))
