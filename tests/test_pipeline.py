@@ -154,3 +154,15 @@ def test_incremental_loop_narrows_window_and_advances_watermark(spark, scratch):
     res = second.incremental(source)
     assert res[0].kept == 1  # only the 2015-04 row was re-read
     assert store.count("raw") == first.results[0].kept  # raw: the re-read month replaced, nothing added
+
+
+def test_scan_csv_groups_folders_by_header(spark, scratch):
+    """Folders with one header are read in one scan; a reordered header still binds by name (A1)."""
+    root = os.path.join(scratch, "mixed")
+    _write(f"{root}/d=1/a.csv", "x,y", ["1,a", "2,b"])
+    _write(f"{root}/d=2/b.csv", "x,y", ["3,c"])
+    _write(f"{root}/d=3/c.csv", "y,x,z", ["d,4,extra"])
+    df = csvsrc.scan_csv(spark, root)
+    rows = sorted((int(r["x"]), r["y"], r["z"]) for r in df.select("x", "y", "z").collect())
+    assert rows == [(1, "a", None), (2, "b", None), (3, "c", None), (4, "d", "extra")]
+    assert csvsrc.scan_csv(spark, os.path.join(scratch, "nothing-here")) is None
