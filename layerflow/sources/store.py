@@ -204,7 +204,8 @@ class TableStore:
             return self.append(df, stage)
         if check_unique:
             assert_unique(df, [key])
-        merged = merge_frames(cur, df, key)
+        small = df.count() <= MERGE_BROADCAST_ROWS  # a small batch: the stored table is not shuffled
+        merged = merge_frames(cur, df, key, broadcast_batch=small)
         path = self.stage_write(merged, stage)
         n = self._rows(path)
         self.publish(stage, [path], "merge", n)
@@ -299,20 +300,38 @@ class TableStore:
         raise ValueError(f"unknown load_type {load_type!r}: expected FULL or MERGE/INCREMENTAL/UPSERT")
 
 
-def merge_frames(target: DataFrame, batch: DataFrame, key: str) -> DataFrame:
+# Largest batch (whole rows) a merge broadcasts so that the stored table is never shuffled.
+MERGE_BROADCAST_ROWS = 200_000
+
+
+def merge_frames(target: DataFrame, batch: DataFrame, key: str, broadcast_batch: bool = False) -> DataFrame:
     """Target rows updated/inserted from the batch by key.
 
     Matched: every column the batch has takes the batch value; target
     columns the batch lacks keep the old value. Not matched: inserted.
-    Columns only the batch has are added (old rows read NULL). One
-    full outer join on the key; both sides shuffle by key once.
+    Columns only the batch has are added (old rows read NULL).
+    Default: one full outer join on the key; both sides shuffle by key once.
+    ``broadcast_batch`` (for a batch of checked size): the stored rows stream
+    past the broadcast batch in a left join, the matched keys come from a
+    one-column scan of the stored keys against the broadcast batch keys, and
+    the unmatched batch rows are added — the same rows, without an exchange
+    of the stored table.
     """
     t_cols = target.columns
     b_cols = batch.columns
     out_cols = t_cols + [c for c in b_cols if c not in t_cols]
     t = target.select(*[F.col(c).alias(f"t__{c}") for c in t_cols])
     b = batch.select(*[F.col(c).alias(f"b__{c}") for c in b_cols], F.lit(True).alias("b__present"))
-    j = t.join(b, F.col(f"t__{key}") == F.col(f"b__{key}"), "full_outer")
+    same_key = F.col(f"t__{key}") == F.col(f"b__{key}")
+    if not broadcast_batch:
+        j = t.join(b, same_key, "full_outer")
+    else:
+        stored = t.join(F.broadcast(b), same_key, "left")
+        batch_keys = F.broadcast(batch.select(F.col(key).alias("_mk")).distinct())
+        matched = target.select(F.col(key).alias("_mk")).join(batch_keys, "_mk").distinct()
+        inserted = b.join(matched, F.col(f"b__{key}") == F.col("_mk"), "left_anti")
+        nulls = [F.lit(None).cast(target.schema[c].dataType).alias(f"t__{c}") for c in t_cols]
+        j = stored.unionByName(inserted.select(*nulls, *inserted.columns))
     hit = F.col("b__present").isNotNull()
     cols = []
     for c in out_cols:

@@ -120,3 +120,22 @@ def test_orphan_report_lists_unknown_folders(spark, scratch):
     known = spark.createDataFrame([("known_table",)], "name string")
     allow = spark.createDataFrame([("allowed_extra",)], "name string")
     assert [r.name for r in orphans(spark, scratch, known, allow).collect()] == ["stray_copy"]
+
+
+def test_merge_broadcast_batch_equals_full_outer(spark):
+    """The small-batch merge (no exchange of the stored rows) gives the full outer join's rows."""
+    from layerflow.sources.store import merge_frames
+
+    target = spark.createDataFrame(
+        [(1, "a", 10), (2, "b", 20), (2, "b2", 21), (None, "n", 0), (4, "d", 40)],
+        "k int, v string, old_only int")
+    batch = spark.createDataFrame(
+        [(2, "B", 1.5), (3, "C", 2.5), (3, "C2", 3.5), (None, "N", 0.5), (4, None, None)],
+        "k int, v string, new_only double")
+    full = merge_frames(target, batch, "k")
+    fast = merge_frames(target, batch, "k", broadcast_batch=True)
+    assert fast.columns == full.columns == ["k", "v", "old_only", "new_only"]
+    assert fast.schema == full.schema
+    assert sorted(map(tuple, fast.collect()), key=repr) == sorted(map(tuple, full.collect()), key=repr)
+    plan = fast._jdf.queryExecution().executedPlan().toString()
+    assert "FullOuter" not in plan
