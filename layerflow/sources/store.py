@@ -263,11 +263,13 @@ class TableStore:
         touched = {r[0] for r in df.select(F.col(col).cast("string")).distinct().collect()}
         old = [seg for seg in cur.segments if self._value_of(seg) in touched]
         keep = [seg for seg in cur.segments if self._value_of(seg) not in touched]
-        kept_rows = self.spark.read.parquet(*keep).count() if keep else 0
         old_df = None
+        old_rows = 0
         if old:
             old_df = self.spark.read.parquet(*old)
+            old_rows = old_df.count()  # only the touched folders are counted
             old_df = old_df.drop(*[c for c in cur.drop_columns + [PART] if c in old_df.columns])
+        kept_rows = cur.rows - old_rows  # the published total is exact: untouched folders are not read
         dirs, n = self.write_partitioned(combine(old_df, df), stage, col)
         # untouched folders keep their internal columns: keep hiding them on read
         self.publish(stage, keep + dirs, "merge", kept_rows + n, cur.drop_columns)
@@ -282,8 +284,10 @@ class TableStore:
         """
         if check_unique:
             assert_unique(df, [key])
-        return self._rewrite_touched(df, stage, col,
-                                     lambda old, new: new if old is None else merge_frames(old, new, key))
+        small = df.count() <= MERGE_BROADCAST_ROWS
+        return self._rewrite_touched(
+            df, stage, col,
+            lambda old, new: new if old is None else merge_frames(old, new, key, broadcast_batch=small))
 
     def replace_partitions(self, df: DataFrame, stage: str, col: str) -> WriteStats:
         """Replace the partitions present in the batch; the others are published untouched."""

@@ -97,6 +97,7 @@ def test_partitioned_merge_rewrites_only_touched_partitions(spark, scratch):
                                                       (3, "2015-03", 3.0), (4, "2015-02", 4.0)]
     st.replace_partitions(spark.createDataFrame([(9, "2015-03", 9.0)], "k long, month string, v double"), "t", "month")
     assert _rows(st.read("t"), "k") == [(1,), (2,), (4,), (9,)]
+    assert st.count("t") == st.read("t").count() == 4  # the recorded total stays exact
 
 
 def test_rewritten_stage_folder_drops_stale_partitions(spark, scratch):
