@@ -17,7 +17,7 @@ from layerflow.schema import enforce_schema
 from layerflow.session import scratch_path
 from layerflow.sources import csv as csvsrc
 from layerflow.sources.listing import orphans
-from layerflow.sources.store import TableStore, merge_stats
+from layerflow.sources.store import MERGE_BROADCAST_ROWS, TableStore, merge_stats
 
 
 def _store(spark, what: str) -> TableStore:
@@ -208,7 +208,7 @@ SELECT (SELECT count(*) FROM t) AS rows_before,
        (SELECT count(*) FROM b WHERE o_orderkey IN (SELECT o_orderkey FROM t)) AS rows_updated""")
 def q_merge_stats(spark, sf):
     target, batch = _merge_inputs(spark, sf)
-    return merge_stats(target, batch, "o_orderkey")
+    return merge_stats(target, batch, "o_orderkey", broadcast_batch=batch.count() <= MERGE_BROADCAST_ROWS)
 
 
 @register("schema_evolution", """

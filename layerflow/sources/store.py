@@ -348,8 +348,38 @@ def merge_frames(target: DataFrame, batch: DataFrame, key: str, broadcast_batch:
     return j.select(*cols)
 
 
-def merge_stats(target: DataFrame, batch: DataFrame, key: str) -> DataFrame:
-    """Rows before / after / inserted / updated of a merge, from one join."""
+def merge_stats(target: DataFrame, batch: DataFrame, key: str, broadcast_batch: bool = False) -> DataFrame:
+    """Rows before / after / inserted / updated of a merge, as the full outer join counts them.
+
+    Default: one full outer join of the key columns. ``broadcast_batch`` (for
+    a batch of checked size): the batch's rows per key are broadcast and
+    joined onto the stored keys on the map side — a stored row stands for
+    ``max(nb, 1)`` joined rows, ``nb`` of them updates — and the inserted rows
+    are the batch rows whose key matched nothing. Same numbers, no exchange
+    of the stored keys.
+    """
+    if broadcast_batch:
+        per_key = F.broadcast(batch.groupBy(F.col(key).alias("_k")).agg(F.count(F.lit(1)).alias("_nb")))
+        t = target.select(F.col(key).alias("_k")).join(per_key, "_k", "left").select(
+            "_k", F.coalesce("_nb", F.lit(0)).alias("_nb"))
+        zero = F.lit(0).cast("bigint")
+
+        def part(before, updated, matched, rows):
+            return [before.cast("bigint").alias("_before"), updated.cast("bigint").alias("_updated"),
+                    matched.cast("bigint").alias("_matched"), rows.cast("bigint").alias("_batch")]
+
+        # each input row contributes its share; one global sum adds them up
+        parts = (t.select(*part(F.greatest("_nb", F.lit(1)), F.col("_nb"), zero, zero))
+                 .unionByName(t.where(F.col("_nb") > 0).select("_k", "_nb").distinct()
+                              .select(*part(zero, zero, F.col("_nb"), zero)))
+                 .unionByName(batch.select(*part(zero, zero, zero, F.lit(1)))))
+        one = parts.agg(*[F.coalesce(F.sum(c), zero).alias(c) for c in ["_before", "_updated", "_matched", "_batch"]])
+        inserted = F.col("_batch") - F.col("_matched")
+        return one.select(
+            F.col("_before").alias("rows_before"),
+            (F.col("_before") + inserted).cast("bigint").alias("rows_after"),
+            inserted.cast("bigint").alias("rows_inserted"),
+            F.col("_updated").alias("rows_updated"))
     t = target.select(F.col(key).alias("_k")).withColumn("_t", F.lit(1))
     b = batch.select(F.col(key).alias("_k")).withColumn("_b", F.lit(1))
     j = t.join(b, "_k", "full_outer")

@@ -140,3 +140,17 @@ def test_merge_broadcast_batch_equals_full_outer(spark):
     assert sorted(map(tuple, fast.collect()), key=repr) == sorted(map(tuple, full.collect()), key=repr)
     plan = fast._jdf.queryExecution().executedPlan().toString()
     assert "FullOuter" not in plan
+
+
+def test_merge_stats_broadcast_equals_full_outer(spark):
+    """Merge counts from the broadcast batch equal the full outer join's, duplicates and NULLs included."""
+    from layerflow.sources.store import merge_stats
+
+    target = spark.createDataFrame([(1,), (2,), (2,), (None,), (4,)], "k int")
+    batch = spark.createDataFrame([(2,), (2,), (3,), (None,), (4,), (5,)], "k int")
+    full = merge_stats(target, batch, "k").collect()[0].asDict()
+    fast = merge_stats(target, batch, "k", broadcast_batch=True).collect()[0].asDict()
+    assert fast == full
+    empty = spark.createDataFrame([], "k int")
+    assert (merge_stats(empty, batch, "k", broadcast_batch=True).collect()[0].asDict()
+            == merge_stats(empty, batch, "k").collect()[0].asDict())
