@@ -9,11 +9,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from layerflow.plans import registry
 from layerflow.plans.fixtures import TABLES
 
 SF = "/root/testdata/sf0.001"
-QUERIES = E.queries()
-ORACLES = E.oracle_sql()
+QUERIES = registry.QUERIES
+ORACLES = registry.ORACLES
 
 
 def _norm(v):
