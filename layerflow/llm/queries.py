@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from layerflow.llm import exact_dedup, sp_codec, url_filter
+from layerflow.llm import exact_dedup, quality_rules, sp_codec, toxicity, url_filter
 from layerflow.llm.common import table
 
 QUERIES: dict = {}
@@ -18,11 +18,22 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+@register("op1_toxicity")
+def op1(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 @register("op2_exact_dedup", exact_dedup.SQL)
 def op2(spark, sf_dir):
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+@register("op4_quality_rules", quality_rules.SQL)
+def op4(spark, sf_dir):
+    return quality_rules.quality_signals(table(spark, sf_dir, "documents"))
+
+
 @register("op5_url_filter", url_filter.SQL)
 def op5(spark, sf_dir):
     return url_filter.judge(table(spark, sf_dir, "pages")).drop("globs")
