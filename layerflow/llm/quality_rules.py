@@ -45,9 +45,9 @@ def _windows(wanted: Column) -> Column:
     ).otherwise(F.array().cast("array<bigint>"))
 
 
-def _with_repeats(docs: DataFrame, wanted: Column = F.lit(True)) -> DataFrame:
+def _with_repeats(docs: DataFrame, wanted: Column | None = None) -> DataFrame:
     """Adds _q_repeat: words in five-word windows that the text has twice or more (0 where not ``wanted``)."""
-    docs = docs.withColumn("_q_n", _windows(wanted))
+    docs = docs.withColumn("_q_n", _windows(F.lit(True) if wanted is None else wanted))
     docs = docs.withColumn("_q_s", F.when(
         F.size(F.array_distinct("_q_n")) < F.size("_q_n"),
         F.sort_array(F.transform("_q_n", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))))
