@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from layerflow.llm import exact_dedup, quality_rules, sp_codec, toxicity, url_filter
+from layerflow.llm import exact_dedup, pii, quality_rules, sp_codec, toxicity, url_filter
 from layerflow.llm.common import table
 
 QUERIES: dict = {}
@@ -39,6 +39,11 @@ def op5(spark, sf_dir):
     return url_filter.judge(table(spark, sf_dir, "pages")).drop("globs")
 
 
+@register("op7_pii_pseudonyms")
+def op7(spark, sf_dir):
+    return pii.pseudonymise(table(spark, sf_dir, "documents"), found="n_found").select("doc_id", "text", "n_found")
+
+
 @register("op10_sentencepiece")
 def op10(spark, sf_dir):
     import public_tokenizers
