@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from layerflow.llm import exact_dedup, pii, quality_rules, sp_codec, toxicity, url_filter
+from layerflow.llm import exact_dedup, partenum_join, pii, quality_rules, sp_codec, toxicity, url_filter
 from layerflow.llm.common import table
 
 QUERIES: dict = {}
@@ -29,6 +29,11 @@ def op2(spark, sf_dir):
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+@register("op3_ngram_jaccard")
+def op3(spark, sf_dir):
+    return partenum_join.similar_components(table(spark, sf_dir, "documents"), words=3, percent=90)
+
+
 @register("op4_quality_rules", quality_rules.SQL)
 def op4(spark, sf_dir):
     return quality_rules.quality_signals(table(spark, sf_dir, "documents"))
