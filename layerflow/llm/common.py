@@ -72,3 +72,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def text_or_empty(col: str = "text"):
     return F.coalesce(F.col(col), F.lit(""))
+
+
+BROADCAST_BYTES = 16 << 20  # a table whose counted size is below this is broadcast, a larger one is shuffled
+
+
+def small(df: DataFrame, row_bytes: int) -> DataFrame:
+    """``df`` marked for broadcast if its counted size is below the bound."""
+    return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
+
+
+def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
+    """Rows of ``docs`` but those of ``dropped`` (doc_id, text_hash); rows without a doc_id stay."""
+    keys = written(dropped.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct(), "dropped")
+    return docs.join(small(keys, 16), (docs["doc_id"] == keys["_id"]) & (F.xxhash64(text_or_empty()) == keys["_hash"]), "left_anti")

@@ -198,7 +198,7 @@ def _texts_of(docs: DataFrame, rows: DataFrame) -> DataFrame:
 
 def exact_dedup(docs: DataFrame, incoming: Column | None = None,
                 digest: Callable[[Column], Column] = sha256, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256.
+    """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256, text_hash (of the text as it is).
 
     ``incoming`` marks the rows of the new batch; the others form the snapshot. By
     default half of the rows, by a hash of doc_id, play each part.
@@ -227,7 +227,7 @@ def exact_dedup(docs: DataFrame, incoming: Column | None = None,
     return one.select("doc_id", F.coalesce("keep_id", "doc_id").alias("keep_id"),
                       F.coalesce("group_size", F.lit(1)).cast("bigint").alias("group_size"),
                       F.coalesce(F.col("doc_id") == F.col("keep_id"), F.col("keep_id").isNull() & F.col("doc_id").isNotNull()).alias("kept"),
-                      F.col("digest" if digest is sha256 else "text_sha256").alias("text_sha256"))
+                      F.col("digest" if digest is sha256 else "text_sha256").alias("text_sha256"), F.col("raw").alias("text_hash"))
 
 
 SQL = r"""

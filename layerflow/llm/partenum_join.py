@@ -39,12 +39,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from layerflow.llm.common import ship_code, text_or_empty, written
+from layerflow.llm.common import ship_code, small, text_or_empty, written
 from layerflow.llm.components import components
 from layerflow.llm.tokens import chunks, mix, spaces_table, windows, word_hashes
 
 WIDE_K = 24                  # from this many differences on, parts have two cells instead of three
-BROADCAST_BYTES = 16 << 20   # a table of ids whose counted size is below this is broadcast, a larger one is shuffled
 
 
 class Bands:
@@ -144,18 +143,13 @@ def _sketches(docs: DataFrame, words: int, percent: int) -> DataFrame:
             flat = np.concatenate([np.zeros(0, np.int64), *[f for f in found if f is not None]])
             ends = np.concatenate([[0], np.cumsum([0 if f is None else len(f) for f in found])]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(size, pa.int64()), pa.array(node, pa.int64()),
+                [batch.column("doc_id"), batch.column("text_hash"), pa.array(size, pa.int64()), pa.array(node, pa.int64()),
                  pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))],
-                ["doc_id", "n_shingles", "node", "signatures"])
+                ["doc_id", "text_hash", "n_shingles", "node", "signatures"])
 
     kind = dict(docs.dtypes)["doc_id"]
-    return written(docs.select("doc_id", text_or_empty().alias("text")).mapInArrow(
-        run, f"doc_id {kind}, n_shingles bigint, node bigint, signatures array<bigint>"), "sketches")
-
-
-def _small(df: DataFrame, row_bytes: int) -> DataFrame:
-    """``df`` marked for broadcast if its counted size is below the bound."""
-    return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
+    return written(docs.select("doc_id", text_or_empty().alias("text"), F.xxhash64(text_or_empty()).alias("text_hash")).mapInArrow(
+        run, f"doc_id {kind}, text_hash bigint, n_shingles bigint, node bigint, signatures array<bigint>"), "sketches")
 
 
 def _sets(docs: DataFrame, sketches: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
@@ -175,7 +169,7 @@ def _sets(docs: DataFrame, sketches: DataFrame, nodes: DataFrame, words: int) ->
                 ["node", "shingles"])
 
     texts = docs.select("doc_id", text_or_empty().alias("text"))
-    asked = texts.join(_small(one, 16), texts["doc_id"] == one["_id"]).select("node", "text")
+    asked = texts.join(small(one, 16), texts["doc_id"] == one["_id"]).select("node", "text")
     return written(asked.mapInArrow(run, "node bigint, shingles binary").dropDuplicates(["node"]), "sets")
 
 
@@ -245,7 +239,7 @@ def _cross(edges: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def similar_components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id of every row: documents linked, step by step, by a
+    """doc_id, n_shingles, component_id, text_hash of every row: documents linked, step by step, by a
     Jaccard similarity of percent / 100 or more of their sets of ``words``-word shingles."""
     ship_code(docs.sparkSession)
     docs = docs.select("doc_id", "text")
@@ -254,7 +248,7 @@ def similar_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
     labels = None
     if not edges.isEmpty():
         nodes = edges.select("node").unionByName(edges.select(F.col("centre").alias("node"))).distinct()
-        sets = _sets(docs, sketches, _small(written(nodes, "nodes"), 8), words)
+        sets = _sets(docs, sketches, small(written(nodes, "nodes"), 8), words)
         labels = _linked(edges, sets, percent)
     return _shown(sketches, labels)
 
@@ -307,4 +301,5 @@ def _shown(sketches: DataFrame, labels: DataFrame | None) -> DataFrame:
         least = least.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
         named = least.join(least.groupBy("label").agg(F.min("least").alias("component_id")), "label").select("node", "component_id")
     return sketches.join(named, "node", "left").select(
-        "doc_id", "n_shingles", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+        "doc_id", "n_shingles", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+        "text_hash")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from layerflow.llm import exact_dedup, partenum_join, pii, quality_rules, sp_codec, toxicity, url_filter
+from layerflow.llm import best_fit, exact_dedup, partenum_join, pii, quality_rules, sp_codec, toxicity, url_filter
 from layerflow.llm.common import table
 
 QUERIES: dict = {}
@@ -26,12 +26,12 @@ def op1(spark, sf_dir):
 
 @register("op2_exact_dedup", exact_dedup.SQL)
 def op2(spark, sf_dir):
-    return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
+    return exact_dedup.exact_dedup(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
 @register("op3_ngram_jaccard")
 def op3(spark, sf_dir):
-    return partenum_join.similar_components(table(spark, sf_dir, "documents"), words=3, percent=90)
+    return partenum_join.similar_components(table(spark, sf_dir, "documents"), words=3, percent=90).drop("text_hash")
 
 
 @register("op4_quality_rules", quality_rules.SQL)
@@ -44,6 +44,11 @@ def op5(spark, sf_dir):
     return url_filter.judge(table(spark, sf_dir, "pages")).drop("globs")
 
 
+@register("op6_best_fit")
+def op6(spark, sf_dir):
+    return best_fit.best_fit(table(spark, sf_dir, "documents"))
+
+
 @register("op7_pii_pseudonyms")
 def op7(spark, sf_dir):
     return pii.pseudonymise(table(spark, sf_dir, "documents"), found="n_found").select("doc_id", "text", "n_found")
