@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from layerflow.llm import best_fit, exact_dedup, partenum_join, pii, quality_rules, sp_codec, toxicity, url_filter
+from layerflow.llm import best_fit, exact_dedup, partenum_join, pii, quality_rules, sp_codec, suffix_dedup, toxicity, url_filter
 from layerflow.llm.common import table
 
 QUERIES: dict = {}
@@ -54,6 +54,11 @@ def op7(spark, sf_dir):
     return pii.pseudonymise(table(spark, sf_dir, "documents"), found="n_found").select("doc_id", "text", "n_found")
 
 
+@register("op8_suffix_dedup")
+def op8(spark, sf_dir):
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), keep_bytes=False)
+
+
 @register("op10_sentencepiece")
 def op10(spark, sf_dir):
     import public_tokenizers
