@@ -45,6 +45,8 @@ from layerflow.llm.tokens import chunks, mix, spaces_table, windows, word_hashes
 
 WIDE_K = 24                  # from this many differences on, parts have two cells instead of three
 
+PAIRS_PER_ROW = 10           # pairs left for each row of the buckets, up to which they are compared one by one
+
 
 class Bands:
     """Size bands and their signature layout for a similarity of ``percent`` / 100."""
@@ -262,6 +264,25 @@ def _dealt(told: DataFrame) -> DataFrame:
     return ranked.filter("at <= first AND members > 1").select(F.xxhash64("centre", "token").alias("key"), "node", "size")
 
 
+def _pairs_left(buckets: DataFrame, labels: DataFrame) -> DataFrame | None:
+    """Distinct pairs (centre, node) of different labels in a bucket, if they are few for each row; else None.
+
+    One of a pair is always outside the bucket's most frequent label, so the work is counted as the
+    members outside times all members, without listing them.
+    """
+    rows = written(buckets.distinct().join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label")), "labelled")
+    by_label = rows.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
+    per_key = by_label.groupBy("key").agg(F.sum("n").alias("n"), F.max(F.struct("n", "label")).alias("most")).filter("n > most.n")
+    per_key = written(per_key.select("key", "n", F.col("most.label").alias("main"), (F.col("n") * (F.col("n") - F.col("most.n"))).alias("work")), "work")
+    total = per_key.agg(F.sum("work"), F.sum("n")).first()
+    if total[0] is not None and total[0] > PAIRS_PER_ROW * total[1]:
+        return None
+    open_ = rows.join(per_key.select("key", "main"), "key")
+    outside = open_.filter("label <> main").select("key", F.col("node").alias("centre"), F.col("label").alias("_own"))
+    # of two members outside, one pair is enough
+    return outside.join(open_, "key").filter("label <> _own AND (label = main OR centre < node)").select("centre", "node").distinct()
+
+
 def _linked(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Labels of all nodes that links join, from the first stars on."""
     links = lambda compared: compared.filter("linked").select(F.col("centre").alias("a"), F.col("node").alias("b"))
@@ -274,7 +295,7 @@ def _linked(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         rest = written(_cross(edges.join(done.select("centre", "node"), ["centre", "node"], "left_anti").select("centre", "node"), labels), "rest")
         if not rest.isEmpty():
             compared = _compared(rest, sets, percent)
-            done = done.unionByName(compared)
+            done = written(done.unionByName(compared), "done")
             labels = _merged(labels, links(compared))
         # centres with two members or more, one of which is not in the centre's component
         apart = _cross(done.filter("NOT linked").select("centre", "node"), labels).select("centre").distinct()
@@ -285,12 +306,15 @@ def _linked(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             return labels
         missing = written(open_.join(done.select("centre", "node"), ["centre", "node"], "left_anti"), "missing")
         if not missing.isEmpty():  # their differences are needed, though they are in the centre's component
-            done = done.unionByName(_compared(missing, sets, percent))
+            done = written(done.unionByName(_compared(missing, sets, percent)), "done")
         buckets = written(_dealt(done.join(open_, ["centre", "node"])), "buckets")
+        pairs = _pairs_left(buckets, labels)
+        if pairs is not None:
+            last = _compared(written(pairs, "pairs"), sets, percent)
+            return _merged(labels, links(last))
         edges = written(_stars(buckets, labels), "stars")
-        if edges.isEmpty():
-            return labels
-        done = done.join(edges, ["centre", "node"], "left_semi")
+        # every turn starts from written tables, so plans stay short however many turns there are
+        done = written(done.join(edges, ["centre", "node"], "left_semi"), "done")
 
 
 def _shown(sketches: DataFrame, labels: DataFrame | None) -> DataFrame:
