@@ -29,8 +29,10 @@ def date_range(df: DataFrame, col: str, start: str, end: str, prune: bool = True
     """
     out = df
     if prune:
-        lo, hi = start[:4], str(int(end[:4]) + 1)
-        out = out.where((F.col(col) >= F.lit(lo)) & (F.col(col) < F.lit(hi)))
+        # the year after the last one is compared as text, so it must have four digits too
+        out = out.where(F.col(col) >= F.lit(start[:4]))
+        if end[:4] < "9999":
+            out = out.where(F.col(col) < F.lit(f"{int(end[:4]) + 1:04d}"))
     return out.where(in_month_range(col, start, end))
 
 

@@ -16,7 +16,7 @@ from layerflow.plans.registry import pipeline_run, register
 from layerflow.schema import enforce_schema
 from layerflow.session import scratch_path
 from layerflow.sources import csv as csvsrc
-from layerflow.sources.listing import orphans
+from layerflow.operators.setops import difference
 from layerflow.sources.store import MERGE_BROADCAST_ROWS, TableStore, merge_stats
 
 
@@ -307,11 +307,11 @@ def q_stream_layers(spark, sf):
     return out.select(*[c for c in out.columns if not c.startswith("_")])
 
 
-@register("orphan_report")
-def q_orphan_report(spark, sf):
-    """Folders of the pipeline's store that are not a known table (report only)."""
-    run = pipeline_run(spark, sf)
-    known = spark.createDataFrame([(n,) for n in ["raw", "cleaned", "transformed", "hashed", "failed",
-                                                   "pipeline_runs"]], "name string")
-    allow = spark.createDataFrame([("audit",)], "name string")
-    return orphans(spark, run.store.root, known, allow)
+@register("set_difference", """SELECT DISTINCT CAST(c_custkey AS VARCHAR) AS name FROM customer
+WHERE c_custkey NOT IN (SELECT o_custkey FROM orders) AND c_nationkey <> 0""")
+def q_set_difference(spark, sf):
+    """Names of customers without an order, but for those of an allow-listed nation."""
+    customers = X.table(spark, sf, "customer")
+    name = lambda df, c: df.select(F.col(c).cast("string").alias("name")).distinct()
+    return difference(name(customers, "c_custkey"), name(X.table(spark, sf, "orders"), "o_custkey"),
+                      name(customers.where("c_nationkey = 0"), "c_custkey"))

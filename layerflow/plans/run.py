@@ -13,6 +13,7 @@ quarantine with the reason and nothing is published.
 from __future__ import annotations
 
 import datetime as dt
+import logging
 import time
 import uuid
 from dataclasses import dataclass, field
@@ -21,11 +22,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from layerflow.functions import identity as ident
+from layerflow.functions.text import month_date
 from layerflow.operators.dedup import ROW_ID
 from layerflow.plans import layers as L
 from layerflow.plans import ledger
 from layerflow.sources.store import PART, TableStore, merge_frames
 
+LOG = logging.getLogger(__name__)
+
 STATUS = "_status"
 REASON = "_failure_reason"
 QUARANTINE = "failed"
@@ -70,6 +74,7 @@ class Runner:
     run_id: str = field(default_factory=lambda: uuid.uuid4().hex)
     results: list[LayerResult] = field(default_factory=list)
     _last_run_id: int | None = None
+    batch_name: str = ""    # set per stream micro-batch: its name, the same in every replay
     batch_suffix: str = ""  # set per stream micro-batch so that each batch writes its own folder
     hashed_publish: str = "MERGE"  # "FULL" drops hashed rows that are gone upstream (D8 prune option)
 
@@ -98,8 +103,8 @@ class Runner:
         try:
             self.store.append(self.spark.createDataFrame(row, ledger.AUDIT_SCHEMA), AUDIT, rows=1)
             self.store.compact(AUDIT)
-        except Exception:  # noqa: BLE001 - audit is best effort, as in the reference
-            pass
+        except Exception:  # noqa: BLE001 - the audit is best effort
+            LOG.exception("audit row of %s/%s was not written", job, stage)
 
     def expected_count(self, previous: str) -> int | None:
         """Latest successful recorded count of the previous layer (E5)."""
@@ -128,7 +133,7 @@ class Runner:
         if self.spec.partition_by:
             out = out.withColumn(PART, F.col(self.spec.partition_by).cast("string"))
             parts.append(PART)
-        path = self.store.stage_write(out, stage, name=f"run={self.run_id}{self.batch_suffix}",
+        path = self.store.stage_write(out, stage, name=self.batch_name or f"run={self.run_id}{self.batch_suffix}",
                                       partition_by=parts)
         counts = {r[REASON]: r["n"] for r in
                   self.spark.read.parquet(path).groupBy(REASON).agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -142,6 +147,8 @@ class Runner:
                                           expected, stage, previous)
         kept_path, rej_path = f"{path}/{STATUS}=kept", f"{path}/{STATUS}=rejected"
         if status == ledger.MISMATCH:
+            if rejected:  # routed before the gate, so not lost with the batch
+                self._quarantine_segment(rej_path, rejected)
             if kept:
                 self.store.append(self.spark.read.parquet(kept_path).withColumn(REASON, F.lit(reason)), QUARANTINE)
             self.record_run(stage, ledger.MISMATCH, kept, reason, start)
@@ -158,10 +165,7 @@ class Runner:
         return res
 
     def _quarantine_segment(self, path: str, n: int) -> None:
-        cur = self.store.current(QUARANTINE)
-        segs = list(cur.segments) if cur else []
-        if path not in segs:
-            self.store.publish(QUARANTINE, segs + [path], "append", (cur.rows if cur else 0) + n)
+        self.store.append_segments(QUARANTINE, [path], n, self.store.current(QUARANTINE))
 
     def _publish(self, stage: str, kept_path: str, kept: int, publish: str) -> None:
         if kept == 0:
@@ -174,8 +178,8 @@ class Runner:
         if cur is None or mode == "FULL":
             self.store.publish(stage, pieces, "overwrite", kept, DROP_ON_READ)
         elif mode == "APPEND":
-            if not set(pieces) <= set(cur.segments):  # a replayed batch is already there
-                self.store.publish(stage, cur.segments + pieces, "append", cur.rows + kept, DROP_ON_READ)
+            # a replayed batch takes the place of its earlier attempt
+            self.store.append_segments(stage, pieces, kept, cur, DROP_ON_READ)
         else:
             batch = self.spark.read.parquet(kept_path).drop(*DROP_ON_READ)
             if mode == "REPLACE_MONTHS" and part:
@@ -239,7 +243,7 @@ class Runner:
         except GateError:
             raise
         except Exception as exc:
-            self.record_run(stage, ledger.FAILED, 0, str(exc)[:2000], start)
+            self.record_run(stage, ledger.FAILED, 0, str(exc), start)
             raise
 
     def cleaned(self) -> LayerResult:
@@ -278,7 +282,8 @@ class Runner:
         from layerflow.streaming.incremental import effective_window
         self.load_type = self.setting("load_type", self.load_type).strip().upper()
         lookback = int(self.setting("lookback_window", "7"))
-        return effective_window(self.load_type, self.watermark(), self.spec.range_start, self.spec.range_end, lookback)
+        return effective_window(self.load_type, self.watermark(), self.spec.range_start, self.spec.range_end, lookback,
+                                months=True)
 
     def advance_watermark(self, value: str) -> bool:
         """After a successful non-FULL run, store the new watermark and verify it."""
@@ -306,9 +311,9 @@ class Runner:
         lo, hi = self.window()
         batch = date_range(source, self.spec.month_col, lo.isoformat(), hi.isoformat(), prune=True)
         results = self.all_layers(batch, batch.count())
-        latest = batch.agg(F.max(self.spec.month_col).alias("m")).collect()[0]["m"]
+        latest = batch.agg(F.date_format(F.max(month_date(self.spec.month_col)), "yyyy-MM-dd 00:00:00").alias("m")).first()["m"]
         if latest is not None:
-            self.advance_watermark(f"{latest}-01 00:00:00" if len(latest) == 7 else latest)
+            self.advance_watermark(latest)
         return results
 
     def all_layers(self, source: DataFrame, source_count: int | None = None) -> list[LayerResult]:

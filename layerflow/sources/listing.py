@@ -7,6 +7,7 @@ locations by anti-join; the result is a report, nothing is deleted.
 
 from __future__ import annotations
 
+import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,7 +19,7 @@ def top_folders(spark: SparkSession, root: str) -> DataFrame:
     root = root.rstrip("/")
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
              .load(root).select("path"))
-    rel = F.regexp_replace(F.col("path"), r"^.*?" + root.replace(".", r"\.") + "/", "")
+    rel = F.regexp_replace(F.col("path"), r"^.*?" + re.escape(root) + "/", "")
     return files.select(F.split(rel, "/").getItem(0).alias("name")).where(
         F.col("name") != "").distinct()
 

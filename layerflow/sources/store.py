@@ -16,6 +16,9 @@ a catalog with MERGE support, ``merge`` can be swapped for
 from __future__ import annotations
 
 import datetime as dt
+import re
+import time
+import urllib.parse
 import uuid
 from dataclasses import dataclass
 
@@ -52,6 +55,14 @@ class Version:
     drop_columns: list[str]
 
 
+PUBLISH_TRIES = 5   # appends try again on what another writer published
+CLAIM_WAITS = 25    # fifths of a second to wait for a claimed version to appear in the log
+
+
+class ConcurrentWrite(RuntimeError):
+    """Another writer published the stage meanwhile; nothing of this write is visible."""
+
+
 @dataclass
 class WriteStats:
     """Rows before, after and the change of one write."""
@@ -67,7 +78,7 @@ class TableStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self._log: dict[str, list[Version]] = {}  # single writer: the log is read once per stage
+        self._log: dict[str, list[Version]] = {}  # kept until another writer has claimed a version
 
     # ------------------------------------------------------------ layout
     def _log_path(self, stage: str) -> str:
@@ -78,9 +89,34 @@ class TableStore:
 
     # ------------------------------------------------------------ log
     def versions(self, stage: str) -> list[Version]:
-        if stage not in self._log:
-            self._log[stage] = self._read_log(stage)
-        return self._log[stage]
+        known = self._log.get(stage)
+        if known is None or self._claimed(stage) > (known[-1].seq if known else 0):
+            known = self._log[stage] = self._read_log(stage)
+        return known
+
+    def _fs(self, path: str):
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
+
+    def _claimed(self, stage: str) -> int:
+        """Highest version number that a writer has claimed; a listing of empty files, no Spark job."""
+        fs, folder = self._fs(f"{self.root}/{stage}/_claims")
+        return max((int(f.getPath().getName()) for f in fs.listStatus(folder)), default=0) if fs.exists(folder) else 0
+
+    def _claim(self, stage: str, seq: int) -> bool:
+        """Create the claim of a version if nobody has: one of two writers gets it."""
+        fs, p = self._fs(f"{self.root}/{stage}/_claims/{seq}")
+        return fs.createNewFile(p)
+
+    def _settled(self, stage: str) -> Version | None:
+        """The current version once claimed ones are in the log; a claim whose writer died is passed over."""
+        for _ in range(CLAIM_WAITS):
+            cur = self.current(stage)
+            if self._claimed(stage) <= (cur.seq if cur else 0):
+                return cur
+            time.sleep(0.2)
+            self._log.pop(stage, None)
+        return self.current(stage)
 
     def _read_log(self, stage: str) -> list[Version]:
         try:
@@ -102,14 +138,23 @@ class TableStore:
         return self.current(stage) is not None
 
     def publish(self, stage: str, segments: list[str], mode: str, rows: int,
-                drop_columns: list[str] | None = None) -> Version:
-        """Make ``segments`` the stage's content (one appended log row)."""
-        cur = self.current(stage)
-        seq = (cur.seq if cur else 0) + 1
+                drop_columns: list[str] | None = None, based_on: int | None = None) -> Version:
+        """Make ``segments`` the stage's content (one appended log row).
+
+        ``based_on`` is the version that the segments were derived from (0: none). If another writer
+        has published meanwhile, or claims the same number, nothing is published and
+        ``ConcurrentWrite`` is raised.
+        """
+        cur = self._settled(stage)
+        if based_on is not None and (cur.seq if cur else 0) != based_on:
+            raise ConcurrentWrite(f"{stage}: version {based_on} was read, but {cur.seq if cur else 0} is current")
+        seq = max(cur.seq if cur else 0, self._claimed(stage)) + 1
+        if not self._claim(stage, seq):
+            raise ConcurrentWrite(f"{stage}: version {seq} was claimed by another writer")
         row = [(seq, segments, mode, rows, drop_columns or [], dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))]
         self.spark.createDataFrame(row, LOG_SCHEMA).coalesce(1).write.mode("append").parquet(self._log_path(stage))
         v = Version(seq, segments, mode, rows, drop_columns or [])
-        self.versions(stage).append(v)
+        self._log.setdefault(stage, []).append(v)
         return v
 
     # ------------------------------------------------------------ read
@@ -138,15 +183,22 @@ class TableStore:
     # ------------------------------------------------------------ write
     def stage_write(self, df: DataFrame, stage: str, name: str | None = None,
                     partition_by: list[str] | None = None) -> str:
-        """Write rows where no reader looks yet; a fixed ``name`` makes a rerun replace itself."""
-        path = self.new_data_path(stage, name)
-        # a rerun replaces the whole folder, never only the partitions it happens to produce
-        w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        """Write rows where no reader looks yet: every attempt has a folder of its own.
+
+        Attempts of one ``name`` share ``attempt_base``, by which a publish replaces the earlier one.
+        """
+        path = self.new_data_path(stage, f"{name}~{uuid.uuid4().hex[:8]}" if name else None)
+        w = df.write.mode("errorifexists")
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(path)
         return path
 
+    @staticmethod
+    def attempt_base(path: str) -> str:
+        """A segment's path without what tells attempts apart."""
+        return re.sub(r"~[0-9a-f]{8}", "", path)
+
     def _rows(self, path: str) -> int:
         return self.spark.read.parquet(path).count()
 
@@ -166,20 +218,33 @@ class TableStore:
 
         ``rows``, when the caller knows it (a ledger row), saves the count.
         """
-        cur = self.current(stage)
-        before = cur.rows if cur else 0
-        name = f"batch={batch_id}" if batch_id else None
-        path = self.stage_write(df, stage, name)
+        path = self.stage_write(df, stage, f"batch={batch_id}" if batch_id else None)
         n = self._rows(path) if rows is None else rows
+        for attempt in range(PUBLISH_TRIES):
+            cur = self._settled(stage)
+            before = cur.rows if cur else 0
+            if n == 0:
+                return WriteStats(before, before)
+            try:
+                after = self.append_segments(stage, [path], n, cur)
+                return WriteStats(before, after)
+            except ConcurrentWrite:  # another writer came first: append to what it published
+                self._log.pop(stage, None)
+                if attempt == PUBLISH_TRIES - 1:
+                    raise
+        raise AssertionError
+
+    def append_segments(self, stage: str, paths: list[str], rows: int, cur: Version | None,
+                        drop_columns: list[str] | None = None) -> int:
+        """Publish written segments beside the current ones; an earlier attempt of the same name goes."""
         segments = list(cur.segments) if cur else []
-        if path in segments:  # a rerun of the same batch: its folder was rewritten in place
-            after = self.spark.read.option("mergeSchema", "true").parquet(*segments).count()
-            self.publish(stage, segments, "append", after, cur.drop_columns if cur else [])
-            return WriteStats(before, after)
-        if n == 0:
-            return WriteStats(before, before)
-        self.publish(stage, segments + [path], "append", before + n, cur.drop_columns if cur else [])
-        return WriteStats(before, before + n)
+        names = {self.attempt_base(p) for p in paths}
+        old = [s for s in segments if self.attempt_base(s) in names]
+        gone = self.spark.read.option("mergeSchema", "true").parquet(*old).count() if old else 0
+        after = (cur.rows if cur else 0) - gone + rows
+        drop = drop_columns if drop_columns is not None else (cur.drop_columns if cur else [])
+        self.publish(stage, [s for s in segments if s not in old] + paths, "append", after, drop, based_on=cur.seq if cur else 0)
+        return after
 
     def compact(self, stage: str, max_segments: int = 64, files: int = 1) -> bool:
         """Rewrite a table made of many small appended segments as one (ledger tables).
@@ -192,13 +257,14 @@ class TableStore:
             return False
         df = self.read(stage)
         path = self.stage_write(df.coalesce(files), stage)
-        self.publish(stage, [path], "compact", cur.rows)
+        self.publish(stage, [path], "compact", cur.rows, based_on=cur.seq)
         return True
 
     def merge(self, df: DataFrame, stage: str, key: str = "surrogate_key",
               check_unique: bool = True) -> WriteStats:
         """Upsert by key (B4); the first write is a plain append."""
-        cur = self.read(stage)
+        base = self.current(stage)
+        cur = self.read(stage, base.seq) if base else None
         before = self.count(stage)
         if cur is None:
             return self.append(df, stage)
@@ -208,7 +274,7 @@ class TableStore:
         merged = merge_frames(cur, df, key, broadcast_batch=small)
         path = self.stage_write(merged, stage)
         n = self._rows(path)
-        self.publish(stage, [path], "merge", n)
+        self.publish(stage, [path], "merge", n, based_on=base.seq)
         return WriteStats(before, n)
 
     def replace_where_present(self, df: DataFrame, stage: str, col: str) -> WriteStats:
@@ -238,8 +304,10 @@ class TableStore:
         return sorted(r.d for r in files.select(folder).distinct().collect() if r.d)
 
     @staticmethod
-    def _value_of(segment: str) -> str:
-        return segment.rsplit(f"{PART}=", 1)[1]
+    def _value_of(segment: str) -> str | None:
+        """Partition value of a folder: unescaped, None for the folder of nulls."""
+        value = segment.rsplit(f"{PART}=", 1)[1]
+        return None if value == "__HIVE_DEFAULT_PARTITION__" else urllib.parse.unquote(value)
 
     def write_partitioned(self, df: DataFrame, stage: str, col: str) -> tuple[list[str], int]:
         """Write rows into one folder per value of ``col`` (the column stays in the files too)."""
@@ -272,7 +340,7 @@ class TableStore:
         kept_rows = cur.rows - old_rows  # the published total is exact: untouched folders are not read
         dirs, n = self.write_partitioned(combine(old_df, df), stage, col)
         # untouched folders keep their internal columns: keep hiding them on read
-        self.publish(stage, keep + dirs, "merge", kept_rows + n, cur.drop_columns)
+        self.publish(stage, keep + dirs, "merge", kept_rows + n, cur.drop_columns, based_on=cur.seq)
         return WriteStats(cur.rows, kept_rows + n)
 
     def merge_partitioned(self, df: DataFrame, stage: str, key: str, col: str,

@@ -20,20 +20,21 @@ LOOKBACK_DAYS = 7
 
 
 def effective_window(load_type: str | None, watermark: str | None, start: str, end: str,
-                     lookback_days: int = LOOKBACK_DAYS) -> tuple[dt.date, dt.date]:
+                     lookback_days: int = LOOKBACK_DAYS, months: bool = False) -> tuple[dt.date, dt.date]:
     """Window to (re)load (K2).
 
     FULL -> whole range. Otherwise the watermark minus the lookback, but
-    never before the range start; an empty or default watermark means the
+    never before the range start; with ``months``, for rows that are known by
+    their month, the first day of that month; an empty or default watermark means the
     whole range.
     """
-    full = (dt.date.fromisoformat(start[:10]), dt.date.fromisoformat(end[:10]))
-    if (load_type or "FULL").strip().upper() == "FULL":
-        return full
-    if not watermark or watermark.strip().startswith(DEFAULT_WATERMARK[:10]):
-        return full
-    mark = dt.datetime.fromisoformat(watermark.strip()).date()
-    return max(full[0], mark - dt.timedelta(days=lookback_days)), full[1]
+    first, last = dt.date.fromisoformat(start[:10]), dt.date.fromisoformat(end[:10])
+    mark = (watermark or "").strip()
+    incremental = (load_type or "FULL").strip().upper() != "FULL"
+    if incremental and mark and mark[:10] != DEFAULT_WATERMARK[:10]:
+        reach = dt.datetime.fromisoformat(mark).date() - dt.timedelta(days=lookback_days)
+        first = max(first, reach.replace(day=1) if months else reach)
+    return first, last
 
 
 def window_filter(col: str | Column, window: tuple[dt.date, dt.date]) -> Column:

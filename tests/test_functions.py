@@ -199,3 +199,16 @@ def test_profile_report_written_and_read_back(spark, scratch):
         assert back.count() == frame.count(), name
         if name in profile.BOUNDED_FRAMES:
             assert len([f for f in os.listdir(os.path.join(out, name)) if f.endswith(".json")]) <= 1, name
+
+
+def test_month_window_starts_with_the_month():
+    assert effective_window("MERGE", "2014-03-10", "2012-01-01", "2016-12-31", 7, months=True)[0] == dt.date(2014, 3, 1)
+    assert effective_window("MERGE", "2014-03-05", "2012-01-01", "2016-12-31", 7, months=True)[0] == dt.date(2014, 2, 1)
+
+
+def test_month_range_up_to_the_last_year(spark):
+    from layerflow.operators.filters import date_range
+    df = spark.createDataFrame([("2012-01",), ("2016-9",), ("9999-12",), ("bad",)], "month string")
+    for end in ("9999-12-31", "2016-12-31"):
+        a, b = (sorted(r.month for r in date_range(df, "month", "2000-01-01", end, prune=p).collect()) for p in (True, False))
+        assert a == b and len(a) == (3 if end[0] == "9" else 2)
