@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from layerflow.llm import best_fit, exact_dedup, partenum_join, pii, quality_rules, sp_codec, suffix_dedup, toxicity, url_filter
+from layerflow.llm import best_fit, exact_dedup, license_scan, partenum_join, pii, quality_rules, sp_codec, suffix_dedup, toxicity, url_filter
 from layerflow.llm.common import table
 
 QUERIES: dict = {}
@@ -59,6 +59,11 @@ def op8(spark, sf_dir):
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), keep_bytes=False)
 
 
+@register("op9_license_scan")
+def op9(spark, sf_dir):
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 @register("op10_sentencepiece")
 def op10(spark, sf_dir):
     import public_tokenizers
