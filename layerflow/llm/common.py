@@ -12,7 +12,7 @@ import tempfile
 import uuid
 import zipfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _SHIPPED: set[str] = set()
@@ -74,12 +74,13 @@ def text_or_empty(col: str = "text"):
     return F.coalesce(F.col(col), F.lit(""))
 
 
-BROADCAST_BYTES = 16 << 20  # a table whose counted size is below this is broadcast, a larger one is shuffled
+BROADCAST_BYTES = 8 << 20  # a table whose counted size is below this is broadcast, a larger one is shuffled
 
 
-def small(df: DataFrame, row_bytes: int) -> DataFrame:
-    """``df`` marked for broadcast if its counted size is below the bound."""
-    return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
+def small(df: DataFrame, row_bytes: int | Column) -> DataFrame:
+    """``df`` marked for broadcast if its size, counted from ``row_bytes`` of every row, is below the bound."""
+    total = df.agg(F.sum(row_bytes if isinstance(row_bytes, Column) else F.lit(row_bytes))).first()[0] or 0
+    return F.broadcast(df) if total <= BROADCAST_BYTES else df
 
 
 def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:

@@ -250,7 +250,8 @@ def repeated(lefts: list[bytes], rights: list[bytes], length: int) -> list[list[
 def _unit_bytes(docs: DataFrame, units: DataFrame) -> DataFrame:
     """gram, unit, key, at, back, copies and the unit's bytes, for the given units."""
     asked = units.groupBy("key").agg(F.collect_list(F.struct("gram", "unit", "at", "back", "span", "copies")).alias("units"))
-    joined = docs.join(small(asked, 200), "key")
+    asked = written(asked, "asked")
+    joined = docs.join(small(asked, 64 + 72 * F.size("units")), "key")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -389,6 +390,6 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, hot_units: int = HOT_U
                 names.append("kept")
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    joined = docs.join(small(per_row, 200), "key", "left").select("doc_id", "text", "spans")
+    joined = docs.join(small(per_row, 64 + 40 * F.size("spans")), "key", "left").select("doc_id", "text", "spans")
     return joined.mapInArrow(run, f"doc_id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
                              + (", kept binary" if keep_bytes else ""))
