@@ -157,21 +157,23 @@ def _sketches(docs: DataFrame, words: int, percent: int) -> DataFrame:
 def _sets(docs: DataFrame, sketches: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
     """node and its shingles (binary, sorted uint64), for the given nodes: from the text of one row of each."""
     rows = sketches.filter(F.col("node").isNotNull()).join(nodes, "node", "left_semi")
-    one = written(rows.groupBy("node").agg(F.min("doc_id").alias("_id")).filter("_id IS NOT NULL"), "representatives")
+    # named by doc_id and text: rows without a doc_id share its null, and nodes of such rows alone have a set too
+    row = F.min(F.struct(F.col("doc_id").isNull().alias("bare"), "doc_id", "text_hash")).alias("row")
+    one = written(rows.groupBy("node").agg(row).select("node", F.col("row.doc_id").alias("_id"), F.col("row.text_hash").alias("_hash")), "representatives")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = list(shingle_sets(batch.column("text"), words))
             own = [_node(s) if len(s) else 0 for s in sets]
             asked = batch.column("node").to_pylist()
-            # a doc_id may be on several rows: the one with this node's text counts
+            # texts may share a doc_id and a hash: the one with this node's set counts
             keep = [k for k, (a, b) in enumerate(zip(own, asked, strict=True)) if a == b]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([asked[k] for k in keep], pa.int64()), pa.array([sets[k].tobytes() for k in keep], pa.binary())],
                 ["node", "shingles"])
 
-    texts = docs.select("doc_id", text_or_empty().alias("text"))
-    asked = texts.join(small(one, 16), texts["doc_id"] == one["_id"]).select("node", "text")
+    texts = docs.select("doc_id", text_or_empty().alias("text"), F.xxhash64(text_or_empty()).alias("text_hash"))
+    asked = texts.join(small(one, 24), texts["doc_id"].eqNullSafe(one["_id"]) & (texts["text_hash"] == one["_hash"])).select("node", "text")
     return written(asked.mapInArrow(run, "node bigint, shingles binary").dropDuplicates(["node"]), "sets")
 
 

@@ -136,6 +136,25 @@ def test_components_edge_cases(documents):
     assert got == brute_components([(r.doc_id, r.text) for r in documents.collect()], 3, 90)
 
 
+@pytest.mark.parametrize("budget", [10, 0])
+def test_components_through_rows_without_an_id(spark, monkeypatch, budget):
+    monkeypatch.setattr(partenum_join, "PAIRS_PER_ROW", budget)
+    word = lambda name, n: [f"{name}{i}" for i in range(n)]
+    base, chain = word("a", 40), word("b", 60)
+    # the smallest member has no id: x and y meet in its buckets only; so have two rows alike, and a family without any id
+    pairs = [(None, base), (7, base + ["x"]), (5, base + ["y"]), (None, base + ["z"]), (None, base + ["z"])]
+    pairs += [(None, word("c", 30)), (None, word("c", 31))]
+    # a bridge without an id: its two neighbours are linked through it alone
+    pairs += [(20, chain), (None, chain + word("p", 5)), (21, chain + word("p", 10))]
+    # a large family around a smallest member without an id
+    pairs += [(None, word("d", 50))] + [(100 + i, word("d", 50) + [f"e{i}", f"f{i % 3}"]) for i in range(60)]
+    pairs = [(d, " ".join(t)) for d, t in pairs]
+    df = spark.createDataFrame(pairs, "doc_id bigint, text string")
+    want = brute_components(pairs, 3, 90)
+    assert (21, 68, 20) in want
+    assert rows(partenum_join.similar_components(df, 3, 90), "doc_id", "n_shingles", "component_id") == want
+
+
 # ---------------------------------------------------------------- quality rules
 
 def test_quality_order_does_not_change_verdicts(docs):
