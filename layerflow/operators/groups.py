@@ -100,21 +100,21 @@ def exact_quantiles(df: DataFrame, keys: list[str], col: str, probs: list[float]
        earlier partitions (a small per-partition table) = global rank range;
     4. the ranks ``floor/ceil((n-1)q)`` of every (group, q) are located in
        their range partition and picked by an equi-join on (group, partition);
-       interpolation as pandas/``percentile``.
+       interpolation in the same arithmetic as Spark's ``percentile``, so the
+       results are equal to its results bit for bit.
     The range-partitioned distinct table is written once under the shared
     checkpoint folder. The per-partition tables are broadcast only after a row count (at most
     ``max_rows``); otherwise the joins are sort-merge joins on (group,
     partition), a key no larger than one partition.
-    Groups with a NULL key part are skipped (a pandas groupby drops them).
+    A NULL key part is a group of its own, as in ``groupBy``: the keys travel as
+    one struct, which is never NULL and whose NULL parts are equal in joins.
     Output: keys + ``q<i>`` per probability (double).
     """
     spark = df.sparkSession
     n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    names, keys = keys, ["_key"]
     v = F.col(col).cast("double")
-    usable = F.col(col).isNotNull()
-    for k in keys:
-        usable = usable & F.col(k).isNotNull()
-    vc = (df.where(usable).groupBy(*keys, v.alias("_v"))
+    vc = (df.where(v.isNotNull()).groupBy(F.struct(*names).alias("_key"), v.alias("_v"))
           .agg(F.count(F.lit(1)).alias("_c")))
     ranged = vc.repartitionByRange(n_parts, *keys, "_v").withColumn("_pid", F.spark_partition_id())
     # written once to the shared folder: the consumers and the broadcast checks below read the
@@ -139,7 +139,7 @@ def exact_quantiles(df: DataFrame, keys: list[str], col: str, probs: list[float]
     # every target rank lies in exactly one range partition of its group: find it in the small
     # per-partition span table, then match values on (group, partition) — a key no larger than a
     # partition, so even a hot group is spread when the targets are too many to broadcast.
-    # Keys are never NULL here (filtered above), so plain equality is exact.
+    # The key struct is never NULL, so plain equality is exact.
     spans = offsets.select(*keys, "_pid", F.col("_off").alias("_s0"), (F.col("_off") + F.col("_t") - 1).alias("_s1"))
 
     def pick(rank_col: str, out: str) -> DataFrame:
@@ -152,10 +152,12 @@ def exact_quantiles(df: DataFrame, keys: list[str], col: str, probs: list[float]
 
     lo, hi = pick("_lo", "l"), pick("_hi", "u").drop("_h")
     both = lo.join(hi, [F.col(f"l_{k}") == F.col(f"u_{k}") for k in keys] + [F.col("l_qi") == F.col("u_qi")])
-    q = F.col("l_v") + (F.col("_h") - F.col("l_rank")) * (F.col("u_v") - F.col("l_v"))
+    # the arithmetic of ``percentile``: another order of the operations differs in the last bits
+    q = F.when(F.col("l_v") == F.col("u_v"), F.col("l_v")).otherwise(
+        (F.col("u_rank") - F.col("_h")) * F.col("l_v") + (F.col("_h") - F.col("l_rank")) * F.col("u_v"))
     return (both.select(*[F.col(f"l_{k}").alias(k) for k in keys], F.col("l_qi").alias("_qi"), q.alias("_q"))
             .groupBy(*keys).pivot("_qi", list(range(len(probs)))).agg(F.first("_q"))
-            .select(*keys, *[F.col(str(i)).alias(f"q{i}") for i in range(len(probs))]))
+            .select(*[F.col("_key")[k].alias(k) for k in names], *[F.col(str(i)).alias(f"q{i}") for i in range(len(probs))]))
 
 
 # Largest group whose exact quartiles are computed inside one task (Spark's
@@ -180,7 +182,8 @@ def iqr_bounds(df: DataFrame, keys: list[str], col: str, factor: float = IQR_FAC
     Spark's exact aggregate (a per-group value map merged in one task);
     ``"distributed"`` never holds a group in one task (``exact_quantiles``);
     ``"auto"`` (default) measures the largest group and uses the distributed
-    form only when some group has more than ``hot_rows`` rows. With
+    form only when some group has more than ``hot_rows`` rows; both work on
+    doubles and give the same bits, so the switch never moves a fence. With
     ``accuracy`` set, ``percentile_approx`` is used instead (bounded, approximate).
     """
     if accuracy is None and method == "auto":
@@ -188,7 +191,7 @@ def iqr_bounds(df: DataFrame, keys: list[str], col: str, factor: float = IQR_FAC
     if accuracy is not None:
         qs = F.percentile_approx(F.col(col), F.array(F.lit(0.25), F.lit(0.75)), accuracy)
     elif method == "percentile":
-        qs = F.percentile(F.col(col), F.array(F.lit(0.25), F.lit(0.75)))
+        qs = F.percentile(F.col(col).cast("double"), F.array(F.lit(0.25), F.lit(0.75)))
     else:
         qs = None
     if qs is None:

@@ -165,6 +165,33 @@ def test_distributed_quartiles_equal_percentile(spark):
         assert all(abs(a - b) < 1e-9 for a, b in zip(exact[k], merged[k]))
 
 
+def test_quartile_forms_agree_bit_for_bit(spark):
+    """Random doubles in groups of many sizes, one without a name: no fence depends on the form."""
+    import random
+
+    from layerflow.operators import profile
+
+    rng = random.Random(7)
+    data = [(g or None, rng.uniform(-1, 1) * 10 ** rng.randint(-3, 9)) for g in range(97) for _ in range(rng.randint(1, 40))]
+    data += [(None, None), (97, None), (98, float("inf")), (98, 1.0), (99, 2.5), (99, 2.5)]
+    df = spark.createDataFrame(data, "g bigint, v double").repartition(5)
+
+    def bits(bounds):
+        return {r[0]: tuple(x.hex() for x in r[1:]) for r in bounds.collect()}
+
+    want = bits(groups.iqr_bounds(df, ["g"], "v", method="percentile"))
+    assert len(want) == 99 and None in want
+    assert bits(groups.iqr_bounds(df, ["g"], "v", method="distributed")) == want
+    assert bits(groups.iqr_bounds(df, ["g"], "v", hot_rows=3)) == want
+    narrow = {k: v[:2] for k, v in want.items()}
+    assert bits(groups.exact_quantiles(df, ["g"], "v", [0.25, 0.75], max_rows=0)) == narrow
+    exact, dist = (profile.profile_numeric(df, ["g", "v"], method=m).select("column", "q1", "median", "q3") for m in ("percentile", "distributed"))
+    assert bits(exact) == bits(dist)
+    # decimals that are one double: cast before they are ranked, in both forms
+    close = spark.range(40).select(F.lit(1).alias("g"), (F.lit("1234567890123456789.0").cast("decimal(24,3)") + F.col("id") * F.lit("0.001").cast("decimal(4,3)")).alias("v"))
+    assert bits(groups.iqr_bounds(close, ["g"], "v", method="percentile")) == bits(groups.iqr_bounds(close, ["g"], "v", method="distributed"))
+
+
 def test_profile_numeric_distributed_equals_percentile(spark):
     """Column quartiles without one task per column match the one-pass ``percentile``."""
     from layerflow.operators import profile
