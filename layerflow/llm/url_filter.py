@@ -6,11 +6,12 @@ of all rules are laid side by side in one bit vector of as many 64-bit words as
 needed; bit j of a glob says "its first j symbols are matched". One step of
 the automaton advances all globs over one byte of all URLs of a batch: a
 shift with carries between the words, a mask per byte value, and self-loops at
-the stars. The number of steps is the length of the longest URL, whatever the
+the stars, those of a host left out at a slash. The number of steps is the length of the longest URL, whatever the
 number of rules.
 
 A host rule ``example.com/en/`` becomes two globs, ``example.com/en/*`` and
-``*.example.com/en/*``. Of the host rules that fit the longest decides; where
+``*.example.com/en/*``, whose first star stays inside the host: a host named in
+the path of another one fits no rule. Of the host rules that fit the longest decides; where
 none fits, the plain globs decide: block if one of the block list matches,
 else allow.
 
@@ -40,22 +41,27 @@ BLOCK_GLOBS = ("*spam-farm.*", "*cheap-pills.*", "*casino*", "*/ads/*", "*.exe",
 
 
 class GlobAutomaton:
-    """Bit-parallel simulation of all ``globs`` at once."""
+    """Bit-parallel simulation of all ``globs`` at once; in the first ``hosts`` of them, no star
+    ahead of the first slash runs over a slash."""
 
-    def __init__(self, globs: list[str]):
-        at, self.final, starts, symbols, loops = 0, [], [], [], []
-        for glob in globs:
+    def __init__(self, globs: list[str], hosts: int = 0):
+        at, self.final, starts, symbols, loops, inside = 0, [], [], [], [], []
+        for number, glob in enumerate(globs):
             starts.append(at)
+            in_host = number < hosts
             for c in glob.encode():
+                in_host = in_host and c != ord("/")
                 if c == ord("*"):
-                    loops.append(at)
+                    (inside if in_host else loops).append(at)
                 else:
                     symbols.append((at, c))
                     at += 1
             self.final.append(at)
             at += 1
         self.words = max(1, -(-at // 64))
-        self.start, self.loop = self._bits(starts), self._bits(loops)
+        self.start = self._bits(starts)
+        self.loop = np.tile(self._bits(loops + inside), (256, 1))
+        self.loop[ord("/")] = self._bits(loops)
         self.mask = np.zeros((256, self.words), np.uint64)
         for where, c in symbols:
             for byte in range(256) if c == ord("?") else (c,):
@@ -78,10 +84,11 @@ class GlobAutomaton:
         for step in range(int(lengths[0]) if len(urls) else 0):
             n = int(np.searchsorted(-lengths, -step, side="left"))  # URLs longer than step come first
             now = state[:n]
-            moved = now & self.mask[flat[begins[:n] + step]]
+            byte = flat[begins[:n] + step]
+            moved = now & self.mask[byte]
             shifted = moved << np.uint64(1)
             shifted[:, 1:] |= moved[:, :-1] >> np.uint64(63)
-            state[:n] = shifted | (now & self.loop)
+            state[:n] = shifted | (now & self.loop[byte])
         out = np.empty((len(urls), len(self.final)), bool)
         for k, f in enumerate(self.final):
             out[order, k] = (state[:, f // 64] >> np.uint64(f % 64)) & np.uint64(1)
@@ -112,7 +119,7 @@ def judge(pages: DataFrame, rules=HOST_RULES, block_globs=BLOCK_GLOBS) -> DataFr
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         globs = [g for _, r in rules for g in (f"{r}*", f"*.{r}*")] + block_globs
-        automaton = GlobAutomaton(globs)
+        automaton = GlobAutomaton(globs, hosts=2 * len(rules))
         for batch in batches:
             parts = [canonical(u) for u in batch["url"]]
             distinct = list(dict.fromkeys(parts))

@@ -7,6 +7,7 @@ import hashlib
 import random
 import re
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -197,6 +198,20 @@ def test_url_rules(spark):
     assert url_filter.judge(df.limit(0)).count() == 0
 
 
+def test_host_rules_stay_inside_the_host(spark):
+    urls = ["http://archive.org/web/www.example.com/en/x", "http://spam-farm.org/go.com/x", "http://b.org/x.net/es/y", "http://b.org/.com/", "http://b.org//www.example.com/en/x",
+            "http://a.net/x.net/es/y", "http://a.com/www.example.com/en/", "http://example.com/en/www.example.com/en/", "http:///www.example.com/en/", "http://a.b.net/fr/x.com/"]
+    want = [(None, "allow"), (None, "block"), (None, "allow"), (None, "allow"), (None, "allow"),
+            (None, "allow"), ("com/", "allow"), ("example.com/en/", "block"), (None, "allow"), ("net/fr/", "block")]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string")
+    got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in url_filter.judge(df).collect()}
+    assert [got[k][2:] for k in range(len(urls))] == want
+    con = duckdb.connect()
+    con.execute("CREATE TABLE pages (page_id BIGINT, url VARCHAR)")
+    con.executemany("INSERT INTO pages VALUES (?, ?)", list(enumerate(urls)))
+    assert got == {r[0]: r[1:] for r in con.execute(url_filter.SQL).fetchall()}
+
+
 # ---------------------------------------------------------------- packing
 
 def test_packing_keeps_everything_and_every_constraint(docs, documents):
