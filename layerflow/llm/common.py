@@ -57,7 +57,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{work_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.work_path = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete written tables (see ``written``) that no table to come is made from."""
+    for table in tables:
+        path = table.sparkSession._jvm.org.apache.hadoop.fs.Path(table.work_path)
+        path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def drop_work(spark: SparkSession) -> None:
@@ -87,3 +96,10 @@ def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
     """Rows of ``docs`` but those of ``dropped`` (doc_id, text_hash); rows without a doc_id stay."""
     keys = written(dropped.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct(), "dropped")
     return docs.join(small(keys, 16), (docs["doc_id"] == keys["_id"]) & (F.xxhash64(text_or_empty()) == keys["_hash"]), "left_anti")
+
+
+def crc32_sql(text: str) -> str:
+    """DuckDB expression for the unsigned CRC-32 of an ASCII string, bit by bit."""
+    bits = f"flatten(list_transform(string_split({text}, ''), lambda ch: list_transform(range(8), lambda i: CAST((ascii(ch) >> CAST(i AS INTEGER)) & 1 AS BIGINT))))"
+    step = "xor(c >> 1, CASE WHEN xor(c, b) & 1 = 1 THEN CAST(3988292384 AS BIGINT) ELSE 0 END)"
+    return f"xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], {bits}), lambda c, b: {step}), CAST(4294967295 AS BIGINT))"
