@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from layerflow.llm import best_fit, exact_dedup, license_scan, partenum_join, pii, quality_rules, sp_codec, suffix_dedup, toxicity, url_filter
+from layerflow.llm import best_fit, exact_dedup, license_scan, merkle, partenum_join, pii, quality_rules, rlz_dedup, sp_codec, suffix_dedup, toxicity, url_filter, zfast_trie
 from layerflow.llm.common import table
 
 QUERIES: dict = {}
@@ -69,3 +69,18 @@ def op10(spark, sf_dir):
     import public_tokenizers
 
     return sp_codec.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@register("op11_merkle_manifest", merkle.SQL)
+def op11(spark, sf_dir):
+    return merkle.manifest(table(spark, sf_dir, "documents"))
+
+
+@register("op12_substring_dedup", rlz_dedup.SQL)
+def op12(spark, sf_dir):
+    return rlz_dedup.remove_passages(table(spark, sf_dir, "documents")).drop("n_factors")
+
+
+@register("op13_prefix_trie", zfast_trie.SQL)
+def op13(spark, sf_dir):
+    return zfast_trie.prefix_trie(table(spark, sf_dir, "conversations"))
