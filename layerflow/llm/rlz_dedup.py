@@ -18,8 +18,8 @@ One document for each such block lists its windows, the least document of every
 window is counted, and windows that a smaller document has become spans too.
 
 Everything is counted by (anchor, content) with minima that combine on the map
-side, and what comes back is joined to written tables, where adaptive execution
-splits hot keys. Keys are two hashes of 64 bits.
+side, and what comes back is joined to written tables by sorting at every size, where
+adaptive execution splits hot keys. Keys are two hashes of 64 bits.
 
 Defined results: a null text has no words; texts under ``WINDOW`` words keep
 all; rows that repeat a doc_id never lose a window to each other; a null doc_id
@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from layerflow.llm import tokens
-from layerflow.llm.common import discard, ship_code, small, written
+from layerflow.llm.common import discard, ship_code, written
 
 WINDOW = 50
 GRAM = 16
@@ -185,28 +185,26 @@ def remove_passages(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, kee
     # anchors of more than one document; several: with more than one block
     shared = blocks.groupBy("g").agg(F.min("_rank").alias("lo"), F.max("_rank").alias("hi"), F.min("h").alias("h0"), F.max("h").alias("h1"))
     shared = written(shared.filter("lo < hi").select(F.col("g").alias("_g"), (F.col("h0") != F.col("h1")).alias("several")), "anchors")
-    mine = written(blocks.join(small(shared, 9), F.col("g") == F.col("_g")).drop("_g"), "shared-blocks")
+    mine = written(blocks.join(shared.hint("merge"), F.col("g") == F.col("_g")).drop("_g"), "shared-blocks")
     discard(blocks, shared)
     index = mine.groupBy(F.col("g").alias("_g"), F.col("h").alias("_h")).agg(F.min(F.struct("_rank", "start")).alias("s"))
     index = written(index.select("_g", "_h", F.col("s._rank").alias("s_rank"), F.col("s.start").alias("s_start")), "index")
-    placed = written(mine.join(small(index, 28), (F.col("g") == F.col("_g")) & (F.col("h") == F.col("_h"))).filter("s_rank < _rank OR several")
+    placed = written(mine.join(index.hint("merge"), (F.col("g") == F.col("_g")) & (F.col("h") == F.col("_h"))).filter("s_rank < _rank OR several")
                      .select("_rank", "_hash", "start", "n", "g", "s_rank", "s_start"), "placed")
     discard(mine, index)
 
     key = ["_rank", "_hash"]
-    edge = placed.filter("s_rank = _rank").groupBy(*key).agg(F.collect_list(F.struct("start", "n", "g")).alias("_blocks"), F.sum("n").alias("_n"))
-    edge = written(edge, "edges").withColumnsRenamed({"_rank": "_r", "_hash": "_t"})
-    at = rows.join(small(edge.drop("_n"), F.size("_blocks") * 24 + 24), (F.col("_rank") == F.col("_r")) & (F.col("_hash") == F.col("_t")))
+    edge = placed.filter("s_rank = _rank").groupBy(F.col("_rank").alias("_r"), F.col("_hash").alias("_t")).agg(F.collect_list(F.struct("start", "n", "g")).alias("_blocks"))
+    at = rows.join(edge.hint("merge"), (F.col("_rank") == F.col("_r")) & (F.col("_hash") == F.col("_t")))
     windows = written(at.select("_text", *key, "_blocks").mapInArrow(lambda b: list_windows(b, window), "g bigint, w bigint, _rank bigint, _hash bigint, place int"), "windows")
     least = windows.groupBy(F.col("g").alias("_g"), F.col("w").alias("_w")).agg(F.min("_rank").alias("lo"), F.max("_rank").alias("hi")).filter("lo < hi")
     least = written(least.select("_g", "_w", "lo"), "least")
-    late = windows.join(small(least, 24), (F.col("g") == F.col("_g")) & (F.col("w") == F.col("_w"))).filter("lo < _rank")
+    late = windows.join(least.hint("merge"), (F.col("g") == F.col("_g")) & (F.col("w") == F.col("_w"))).filter("lo < _rank")
     late = late.select(*key, F.col("place").alias("start"), F.lit(1).alias("n"), F.lit(None).cast("bigint").alias("s_rank"), F.lit(None).cast("int").alias("s_start"))
 
     found = placed.filter("s_rank < _rank").select(*key, "start", "n", "s_rank", "s_start").unionByName(late)
-    found = written(found.groupBy(*[F.col(c).alias(c + "f") for c in key]).agg(F.collect_set(F.struct("start", "n", "s_rank", "s_start")).alias("_found")), "found")
-    discard(windows, least, placed)
-    out = rows.join(small(found, F.size("_found") * 28 + 24), (F.col("_rank") == F.col("_rankf")) & (F.col("_hash") == F.col("_hashf")), "left")
+    found = found.groupBy(*[F.col(c).alias(c + "f") for c in key]).agg(F.collect_set(F.struct("start", "n", "s_rank", "s_start")).alias("_found"))
+    out = rows.join(found.hint("merge"), (F.col("_rank") == F.col("_rankf")) & (F.col("_hash") == F.col("_hashf")), "left")
     schema = REMOVED + (", kept_text string" if keep_text else "")
     return out.select("doc_id", "_text", "_found").mapInArrow(lambda b: apply(b, window, keep_text), schema)
 
