@@ -36,6 +36,7 @@ from layerflow.llm.ordered import numbered
 FAN = 8
 NODE = ("id", "children", "parent", "slot")
 NODE_BYTES = 400        # children's digests (8 x 32), two ids, slot
+SHUFFLED = 2            # so many levels, the widest, are never broadcast: plans are alike at every size
 TREE_BYTES = 200        # lang, tree, digest, links
 CAPITALS, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
@@ -154,7 +155,7 @@ def manifest(docs: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFra
     levels += more
 
     room, split = broadcast_bytes, len(levels)
-    while split and levels[split - 1][2] * NODE_BYTES <= room:  # the uppermost levels that fit
+    while split > SHUFFLED and levels[split - 1][2] * NODE_BYTES <= room:  # the uppermost levels that fit
         split -= 1
         room -= levels[split][2] * NODE_BYTES
     nothing = F.unhex(F.lit(""))
