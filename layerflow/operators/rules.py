@@ -93,10 +93,20 @@ def error_list(rules: list[Rule]) -> Column:
     return F.nullif(text, F.lit(""))
 
 
-def validate(df: DataFrame, rules: list[Rule], errors_col: str = "_validation_errors") -> DataFrame:
-    """Rows plus ``errors_col`` (C11). Frequencies are attached and removed again."""
+def validate(df: DataFrame, rules: list[Rule], errors_col: str = "_validation_errors",
+             counts: dict[str, DataFrame] | None = None) -> DataFrame:
+    """Rows plus ``errors_col`` (C11). Frequencies are attached and removed again.
+
+    ``counts`` gives, for each category column, kept frequencies (v, ``_freq_<col>``) in place of those of ``df``.
+    """
     freq_cols = list(dict.fromkeys(r.frequency_of for r in rules if r.frequency_of))
-    with_freq = attach_frequency(df, freq_cols, FREQ_PREFIX)
+    if counts is None:
+        with_freq = attach_frequency(df, freq_cols, FREQ_PREFIX)
+    else:
+        with_freq = df
+        for c in freq_cols:
+            side = counts[c].withColumnRenamed("v", f"_fv_{c}")
+            with_freq = with_freq.join(side, strip(F.col(c).cast("string")) == F.col(f"_fv_{c}"), "left").drop(f"_fv_{c}")
     out = with_freq.withColumn(errors_col, error_list(rules))
     return out.drop(*[f"{FREQ_PREFIX}{c}" for c in freq_cols])
 

@@ -120,17 +120,19 @@ def _same(df: DataFrame) -> DataFrame:
     return df
 
 
-def tag_cleaned(raw: DataFrame, spec: LayerSpec, reuse: Reuse = _same, check_small: bool = False) -> DataFrame:
+def tag_cleaned(raw: DataFrame, spec: LayerSpec, reuse: Reuse = _same, check_small: bool = False,
+                counts: dict[str, DataFrame] | None = None) -> DataFrame:
     """All raw rows with surrogate key, normalised text, lease and ``_outcome``.
 
     ``reuse`` is applied to frames with more than one consumer (the
     validated rows, the winners table); the runner writes them once to the
     staging folder. ``check_small`` counts per-group tables before
-    broadcasting them.
+    broadcasting them. ``counts`` gives the category frequencies when ``raw``
+    is only a part of the rows that they are counted over.
     """
     keyed = raw.withColumn(SURROGATE, ident.surrogate_key(spec.natural_key))
     normed = normalize_text(keyed, spec.normalize)
-    checked = reuse(validate(normed, spec.rules(), ERRORS))
+    checked = reuse(validate(normed, spec.rules(), ERRORS, counts))
     passed = F.col(ERRORS).isNull()
 
     key = spec.dedup_key(raw.columns)
@@ -187,15 +189,22 @@ def identifier_parts(df: DataFrame, spec: LayerSpec, check_small: bool = False,
 def tag_transformed(cleaned: DataFrame, spec: LayerSpec, reuse: Reuse = _same,
                     check_small: bool = False) -> DataFrame:
     """All cleaned rows with ``resale_identifier``, ``_identifier_valid`` and ``_outcome``."""
+    with_id = with_identifier(cleaned, spec, check_small, reuse)
+    order = [spec.price, *spec.tiebreak, SURROGATE]
+    return identifier_outcome(dedup_tag(with_id, [IDENTIFIER], order, ROW_ID, flag="_is_winner", eligible=F.col(VALID_ID)))
+
+
+def with_identifier(cleaned: DataFrame, spec: LayerSpec, check_small: bool = False, reuse: Reuse = _same) -> DataFrame:
+    """Cleaned rows with ``resale_identifier`` and ``_identifier_valid``."""
     parts = reuse(identifier_parts(cleaned, spec, check_small, reuse))
     pcols = [F.col("block_part"), F.col("price_part"), F.col("month_part"), F.col("town_part")]
-    identifier = ident.build_identifier(pcols)
-    with_id = (parts.withColumn(IDENTIFIER, identifier)
-               .withColumn(VALID_ID, ident.identifier_valid(pcols, F.col(IDENTIFIER)))
-               .drop("block_part", "price_part", "month_part", "town_part", "_group_mean"))
-    order = [spec.price, *spec.tiebreak, SURROGATE]
-    deduped = dedup_tag(with_id, [IDENTIFIER], order, ROW_ID, flag="_is_winner",
-                        eligible=F.col(VALID_ID))
+    return (parts.withColumn(IDENTIFIER, ident.build_identifier(pcols))
+            .withColumn(VALID_ID, ident.identifier_valid(pcols, F.col(IDENTIFIER)))
+            .drop("block_part", "price_part", "month_part", "town_part", "_group_mean"))
+
+
+def identifier_outcome(deduped: DataFrame) -> DataFrame:
+    """Rows with ``_outcome`` from their identifier's validity and the best-row flag."""
     return (deduped.withColumn(OUTCOME, _first_reason(
                 (~F.col(VALID_ID), INCOMPLETE_IDENTIFIER),
                 (~F.col("_is_winner"), DUPLICATE_LOWER_PRICE)))

@@ -51,6 +51,8 @@ RUNS_SCHEMA = T.StructType([
     T.StructField("number_of_records", T.LongType()),
     T.StructField("error_message", T.StringType()),
 ])
+# What the runner stores: also the rows that the run kept, as number_of_records is the layer's total where runs add up.
+RUNS_STORED = T.StructType([*RUNS_SCHEMA.fields, T.StructField("rows_kept", T.LongType())])
 
 AUDIT_SCHEMA = T.StructType([
     T.StructField("run_id", T.StringType()),
@@ -381,8 +383,12 @@ def reconcile_report(runs: DataFrame, rejects: DataFrame, layers: list[str] | No
     """Walk the layers in order; stop at the first not-run, failed or unreconciled one.
 
     ``rejects``: (run_id, layer, rejected) totals per run. Output per table and
-    layer: kept, rejected, expected, reconciled, evaluated (false after the stop).
+    layer: kept, rejected, expected, reconciled, evaluated (false after the stop), table_total.
+    A layer that runs add up in hands its total to the next one, but its own run is judged by
+    what that run kept: ``kept`` + ``rejected`` against the total of the layer before.
     """
+    if "rows_kept" not in runs.columns:  # ledger rows without the split: one number is both
+        runs = runs.withColumn("rows_kept", F.col("number_of_records"))
     layers = layers or [x for x in LAYER_ORDER if x not in REPORT_ONLY]
     last = latest_run(runs, ["table_id", "layer"])
     rej = rejects.groupBy("run_id").agg(F.sum("rejected").cast("bigint").alias("rejected"))
@@ -394,13 +400,14 @@ def reconcile_report(runs: DataFrame, rejects: DataFrame, layers: list[str] | No
     prev_count = F.lag("number_of_records").over(w)
     ok = (F.col("status") == SUCCEEDED) & (
         (F.col("seq") == 0) |
-        (F.coalesce(F.col("number_of_records"), F.lit(0)) + F.coalesce(F.col("rejected"), F.lit(0)) == F.col("expected")))
+        (F.coalesce(F.col("rows_kept"), F.col("number_of_records"), F.lit(0)) + F.coalesce(F.col("rejected"), F.lit(0)) == F.col("expected")))
     step = (j.withColumn("expected", prev_count)
             .withColumn("reconciled", F.coalesce(ok, F.lit(False))))
     run_ok = F.min(F.col("reconciled").cast("int")).over(w.rowsBetween(Window.unboundedPreceding, -1))
     return step.select(
         "table_id", "seq", "layer", "run_id", "status",
-        F.col("number_of_records").alias("kept"),
+        F.coalesce("rows_kept", "number_of_records").alias("kept"),
         F.coalesce("rejected", F.lit(0)).cast("bigint").alias("rejected"),
         "expected", "reconciled",
-        F.coalesce(run_ok == 1, F.lit(True)).alias("evaluated"))
+        F.coalesce(run_ok == 1, F.lit(True)).alias("evaluated"),
+        F.col("number_of_records").alias("table_total"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from layerflow.functions import text
 from layerflow.plans import fixtures as X
 from layerflow.plans import ledger as G
-from layerflow.plans.registry import _CLEAN_CTES, _TRANSFORM_CTES, pipeline_run, register
+from layerflow.plans.registry import RUN_MONTHS, incremental_runs, _CLEAN_CTES, _TRANSFORM_CTES, pipeline_run, register
 from layerflow.streaming import incremental as inc
 
 _LEDGER = f"WITH {X.RUNS_SQL}, {X.TABLES_SQL}, {X.PARAMS_SQL}, {X.MARKS_SQL}"
@@ -309,6 +309,22 @@ def q_reconcile_report(spark, sf):
     return rep.select("layer", "kept", "rejected", "expected", "reconciled", "evaluated")
 
 
+@register("reconcile_incremental", f"""WITH {_COUNTS_SQL},
+b AS (SELECT CAST(count(*) AS BIGINT) AS n FROM tx WHERE month >= '{RUN_MONTHS[-1]}')
+SELECT 'source' AS layer, n AS kept, CAST(0 AS BIGINT) AS rejected, CAST(NULL AS BIGINT) AS expected, n AS table_total, true AS reconciled FROM b
+UNION ALL SELECT 'raw', n, 0, n, raw, true FROM b, cnt
+UNION ALL SELECT 'cleaned', cleaned, raw - cleaned, raw, cleaned, true FROM cnt
+UNION ALL SELECT 'transformed', transformed, cleaned - transformed, cleaned, transformed, true FROM cnt
+UNION ALL SELECT 'hashed', hashed, transformed - hashed, transformed, hashed, true FROM cnt""")
+def q_reconcile_incremental(spark, sf):
+    """The third of three merged runs reconciles: its own rows against what the layer before handed on."""
+    run = incremental_runs(spark, sf)
+    runs, failed = run.store.read("pipeline_runs"), run.store.read("failed")
+    rej = G.rejects_in_window(failed, runs, slack_seconds=0).groupBy("run_id").agg(F.sum("rejected").alias("rejected"))
+    rep = G.reconcile_report(runs, rej, ["source", "raw", "cleaned", "transformed", "hashed"])
+    return rep.select("layer", "kept", "rejected", "expected", "table_total", "reconciled")
+
+
 @register("partition_check", f"""WITH {_CLEAN_CTES}
 SELECT CAST((SELECT count(*) FROM tx) AS BIGINT) AS input,
        CAST((SELECT count(*) FROM cleaned) AS BIGINT) AS kept,

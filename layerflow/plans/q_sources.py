@@ -33,11 +33,12 @@ SELECT CAST(c_custkey AS BIGINT), c_name, c_mktsegment, NULL FROM customer WHERE
 def q_scan_csv(spark, sf):
     root = scratch_path(spark, "scan_csv")
     c = X.table(spark, sf, "customer")
-    # two landed folders with different headers: one has an extra column
+    # two headers, in two landed folders and in one: a file of the second header comes to the first one's folder
+    other = c.where(F.col("c_mktsegment") != "BUILDING").select("c_name", "c_custkey", "c_mktsegment")
     (c.where(F.col("c_mktsegment") == "BUILDING").select("c_custkey", "c_name", "c_mktsegment", "c_acctbal")
      .write.option("header", "true").csv(f"{root}/dataset_id=a"))
-    (c.where(F.col("c_mktsegment") != "BUILDING").select("c_name", "c_custkey", "c_mktsegment")
-     .write.option("header", "true").csv(f"{root}/dataset_id=b"))
+    other.where("c_custkey % 2 = 0").write.option("header", "true").csv(f"{root}/dataset_id=b")
+    other.where("c_custkey % 2 = 1").write.mode("append").option("header", "true").csv(f"{root}/dataset_id=a")
     schema = T.StructType([T.StructField("c_custkey", T.LongType()), T.StructField("c_name", T.StringType()),
                            T.StructField("c_mktsegment", T.StringType()), T.StructField("c_acctbal", T.DoubleType())])
     return csvsrc.scan_csv(spark, root, schema).select("c_custkey", "c_name", "c_mktsegment", "c_acctbal")
@@ -307,6 +308,30 @@ def q_stream_layers(spark, sf):
     return out.select(*[c for c in out.columns if not c.startswith("_")])
 
 
+@register("delta_layers", None)
+def q_delta_layers(spark, sf):
+    """The streamed chain kept by deltas: all rows but one town's late ones land first, those come in a second run (K1, K3).
+
+    The end state must equal the batch pipeline's hashed layer (same oracle).
+    """
+    from layerflow.plans.registry import tx_spec
+    from layerflow.schema import RAW_SCHEMA
+    from layerflow.streaming.delta_layers import DeltaLayers, stream_delta_layers
+    land, checkpoint = scratch_path(spark, "delta_layers_land"), scratch_path(spark, "delta_layers_ckpt")
+    late = (F.col("town") == "FRANCE") & (F.col("month") >= "1996-01")
+    src = X.tx(spark, sf, row_id=False)
+    schema = T.StructType(RAW_SCHEMA.fields + [T.StructField(c, T.IntegerType() if t == "int" else T.LongType())
+                                             for c, t in X.TX_LINEAGE_TYPES.items()])
+    layers = DeltaLayers(spark, scratch_path(spark, "delta_layers"), tx_spec())
+    for part, name in ((~late, "base"), (late, "late")):
+        csvsrc.land_csv(src.where(part).withColumn("dataset_id", F.lit(name)), f"{land}/{name}")
+        q = stream_delta_layers(spark, land, schema, checkpoint, layers)
+        q.awaitTermination(3600)
+        if q.exception() is not None:
+            raise RuntimeError(str(q.exception()))
+    return layers.layer("hashed")
+
+
 @register("set_difference", """SELECT DISTINCT CAST(c_custkey AS VARCHAR) AS name FROM customer
 WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > 400000) AND c_nationkey <> 0""")
 def q_set_difference(spark, sf):

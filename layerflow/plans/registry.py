@@ -132,6 +132,26 @@ def pipeline_run(spark: SparkSession, sf_dir: str):
     return runner
 
 
+#: Months at which the incremental runs take over from one another.
+RUN_MONTHS = ["1994-01", "1996-07"]
+
+
+def incremental_runs(spark: SparkSession, sf_dir: str):
+    """The same rows in three MERGE runs of months one after another (cached like ``pipeline_run``)."""
+    from layerflow.plans.run import Runner
+    from layerflow.session import scratch_path
+    from layerflow.sources.store import TableStore
+
+    key = (spark.sparkContext.applicationId, sf_dir + "#months")
+    if key not in _RUNS:
+        store, src = TableStore(spark, scratch_path(spark, "months")), tx(spark, sf_dir, row_id=False)
+        for lo, hi in zip([None, *RUN_MONTHS], [*RUN_MONTHS, None]):
+            part = src.where((F.col("month") >= lo) if lo else F.lit(True)).where((F.col("month") < hi) if hi else F.lit(True))
+            _RUNS[key] = Runner(spark, store, tx_spec(), load_type="MERGE")
+            _RUNS[key].all_layers(part, part.count())
+    return _RUNS[key]
+
+
 def _layer_cols(df: DataFrame) -> DataFrame:
     return df.select(*[c for c in df.columns if not c.startswith("_")])
 
@@ -153,6 +173,12 @@ def q_hashed_layer(spark, sf):
     return _layer_cols(pipeline_run(spark, sf).store.read("hashed"))
 
 
+@register("incremental_runs", None)
+def q_incremental_runs(spark, sf):
+    """After three merged runs the hashed layer holds what one full run gives: rows that a later run rejects have left."""
+    return _layer_cols(incremental_runs(spark, sf).store.read("hashed"))
+
+
 @register("quarantine_tagged", f"""WITH {_TRANSFORM_CTES},
 cnt AS (
   SELECT 'cleaned' AS stage, 'field_validation_failed' AS reason, count(*) AS rejected FROM v WHERE validation_errors IS NOT NULL
@@ -414,3 +440,6 @@ from layerflow.plans import q_profile, q_sources  # noqa: E402,F401
 
 # The streamed chain must end where the batch chain ends.
 ORACLES["stream_layers"] = ORACLES["hashed_layer"]
+ORACLES["delta_layers"] = ORACLES["hashed_layer"]
+# So must incremental runs.
+ORACLES["incremental_runs"] = ORACLES["hashed_layer"]

@@ -76,7 +76,8 @@ class Runner:
     _last_run_id: int | None = None
     batch_name: str = ""    # set per stream micro-batch: its name, the same in every replay
     batch_suffix: str = ""  # set per stream micro-batch so that each batch writes its own folder
-    hashed_publish: str = "MERGE"  # "FULL" drops hashed rows that are gone upstream (D8 prune option)
+    hashed_publish: str = "MERGE"  # "FULL" rewrites the hashed layer
+    retract: bool = True    # a merged layer loses rows that a later run rejects (D19)
 
     # ------------------------------------------------------------ ledger
     def _next_run_id(self) -> int:
@@ -88,10 +89,13 @@ class Runner:
         return self._last_run_id
 
     def record_run(self, layer: str, status: str, count: int, message: str,
-                   start: dt.datetime) -> None:
-        """Append one stage result row to ``pipeline_runs``."""
-        row = [(self._next_run_id(), self.table_id, layer, start, _now(), status, count, message)]
-        self.store.append(self.spark.createDataFrame(row, ledger.RUNS_SCHEMA), RUNS, rows=1)
+                   start: dt.datetime, kept: int | None = None) -> None:
+        """Append one stage result row to ``pipeline_runs``.
+
+        ``count`` is what the next layer will read, ``kept`` what this run has added to it, where they differ.
+        """
+        row = [(self._next_run_id(), self.table_id, layer, start, _now(), status, count, message, count if kept is None else kept)]
+        self.store.append(self.spark.createDataFrame(row, ledger.RUNS_STORED), RUNS, rows=1)
         self.store.compact(RUNS)
 
     def record_audit(self, job: str, stage: str, rows_in: int, rows_out: int, rejected: int,
@@ -159,7 +163,7 @@ class Runner:
         # the next layer reads the whole published table: an appended or merged layer records its total
         mode = (self.load_type if publish == "load_type" else publish).strip().upper()
         recorded = kept if mode == "FULL" else self.store.count(stage)
-        self.record_run(stage, ledger.SUCCEEDED if kept else ledger.EMPTY, recorded, reason, start)
+        self.record_run(stage, ledger.SUCCEEDED if kept else ledger.EMPTY, recorded, reason, start, kept)
         res = LayerResult(stage, status, kept, rejected, counts, expected, reason, time.perf_counter() - t0)
         self.results.append(res)
         return res
@@ -169,7 +173,7 @@ class Runner:
 
     def _publish(self, stage: str, kept_path: str, kept: int, publish: str) -> None:
         if kept == 0:
-            return  # an empty batch keeps the old rows (D10)
+            return  # an empty batch keeps the old rows (D10), retractions included
         mode = (self.load_type if publish == "load_type" else publish).strip().upper()
         part = self.spec.partition_by
         # the published pieces: the kept folder, or its partition folders
@@ -187,9 +191,9 @@ class Runner:
             elif mode == "REPLACE_MONTHS":
                 self.store.replace_where_present(batch, stage, self.spec.month_col)
             elif part:
-                self.store.merge_partitioned(batch, stage, L.SURROGATE, part)
+                self.store.merge_partitioned(batch, stage, L.SURROGATE, part, retract=self.retract)
             else:
-                self.store.merge(batch, stage, key=L.SURROGATE)
+                self.store.merge(batch, stage, key=L.SURROGATE, retract=self.retract)
 
     # ------------------------------------------------------------ layers
     def read_layer(self, stage: str) -> DataFrame:

@@ -28,7 +28,6 @@ from pyspark.sql import types as T
 
 from layerflow.operators.dedup import assert_unique
 from layerflow.operators.groups import join_small
-from layerflow.schema import evolve
 
 LOG_SCHEMA = T.StructType([
     T.StructField("seq", T.LongType()),
@@ -168,7 +167,8 @@ class TableStore:
         v = self.current(stage, seq)
         if v is None:
             return None
-        reader = self.spark.read
+        # segments are folders of files, some of them by partition: the columns are all in the files
+        reader = self.spark.read.option("recursiveFileLookup", "true")
         if schema is not None:
             reader = reader.schema(schema)
         elif len(v.segments) > 1:
@@ -261,8 +261,12 @@ class TableStore:
         return True
 
     def merge(self, df: DataFrame, stage: str, key: str = "surrogate_key",
-              check_unique: bool = True) -> WriteStats:
-        """Upsert by key (B4); the first write is a plain append."""
+              check_unique: bool = True, retract: bool = False) -> WriteStats:
+        """Upsert by key (B4); the first write is a plain append.
+
+        ``retract``: ``df`` is all that the layer has to hold, so stored keys that it lacks (rows that
+        are rejected from now on, or gone upstream) are removed (D19).
+        """
         base = self.current(stage)
         cur = self.read(stage, base.seq) if base else None
         before = self.count(stage)
@@ -271,7 +275,8 @@ class TableStore:
         if check_unique:
             assert_unique(df, [key])
         small = df.count() <= MERGE_BROADCAST_ROWS  # a small batch: the stored table is not shuffled
-        merged = merge_frames(cur, df, key, broadcast_batch=small)
+        deletes = retractions(cur, df, key, small) if retract else None
+        merged = merge_frames(cur, df, key, broadcast_batch=small, deletes=deletes)
         path = self.stage_write(merged, stage)
         n = self._rows(path)
         self.publish(stage, [path], "merge", n, based_on=base.seq)
@@ -322,13 +327,16 @@ class TableStore:
         self.publish(stage, dirs, "overwrite", n)
         return WriteStats(before, n)
 
-    def _rewrite_touched(self, df: DataFrame, stage: str, col: str, combine) -> WriteStats:
+    def _rewrite_touched(self, df: DataFrame, stage: str, col: str, combine, deletes: DataFrame | None = None) -> WriteStats:
         cur = self.current(stage)
         if cur is None:
             return self.overwrite_partitioned(df, stage, col)
         if not all(f"/{PART}=" in seg for seg in cur.segments):
             raise ValueError(f"{stage} is not stored by partition")
-        touched = {r[0] for r in df.select(F.col(col).cast("string")).distinct().collect()}
+        changed = df.select(F.col(col).cast("string"))
+        if deletes is not None:
+            changed = changed.unionByName(deletes.select(F.col(col).cast("string")))
+        touched = {r[0] for r in changed.distinct().collect()}
         old = [seg for seg in cur.segments if self._value_of(seg) in touched]
         keep = [seg for seg in cur.segments if self._value_of(seg) not in touched]
         old_df = None
@@ -344,7 +352,7 @@ class TableStore:
         return WriteStats(cur.rows, kept_rows + n)
 
     def merge_partitioned(self, df: DataFrame, stage: str, key: str, col: str,
-                          check_unique: bool = True) -> WriteStats:
+                          check_unique: bool = True, retract: bool = False) -> WriteStats:
         """Upsert by key, rewriting only the partitions the batch touches (B4 at scale).
 
         Requires that a key always lies in the same partition (true when the
@@ -353,9 +361,11 @@ class TableStore:
         if check_unique:
             assert_unique(df, [key])
         small = df.count() <= MERGE_BROADCAST_ROWS
+        cur = self.read(stage) if retract else None
+        deletes = retractions(cur, df, key, small, col) if cur is not None else None
         return self._rewrite_touched(
             df, stage, col,
-            lambda old, new: new if old is None else merge_frames(old, new, key, broadcast_batch=small))
+            lambda old, new: new if old is None else merge_frames(old, new, key, broadcast_batch=small, deletes=deletes), deletes)
 
     def replace_partitions(self, df: DataFrame, stage: str, col: str) -> WriteStats:
         """Replace the partitions present in the batch; the others are published untouched."""
@@ -372,12 +382,22 @@ class TableStore:
         raise ValueError(f"unknown load_type {load_type!r}: expected FULL or MERGE/INCREMENTAL/UPSERT")
 
 
+def retractions(stored: DataFrame, kept: DataFrame, key: str, broadcast_kept: bool = False, *carry: str) -> DataFrame:
+    """Stored keys (and ``carry`` columns) that ``kept``, all that the layer has to hold, lacks."""
+    keys = kept.select(key)
+    return stored.select(key, *carry).join(F.broadcast(keys) if broadcast_kept else keys, key, "left_anti")
+
+
 # Largest batch (whole rows) a merge broadcasts so that the stored table is never shuffled.
 MERGE_BROADCAST_ROWS = 200_000
 
 
-def merge_frames(target: DataFrame, batch: DataFrame, key: str, broadcast_batch: bool = False) -> DataFrame:
-    """Target rows updated/inserted from the batch by key.
+def merge_frames(target: DataFrame, batch: DataFrame, key: str, broadcast_batch: bool = False,
+                 deletes: DataFrame | None = None) -> DataFrame:
+    """Target rows updated/inserted from the batch by key, and those of ``deletes`` removed.
+
+    ``deletes`` (one column, the key) travels in the same join as the batch, as rows
+    that only say *gone*; a key that the batch has as well is updated, not removed.
 
     Matched: every column the batch has takes the batch value; target
     columns the batch lacks keep the old value. Not matched: inserted.
@@ -394,6 +414,10 @@ def merge_frames(target: DataFrame, batch: DataFrame, key: str, broadcast_batch:
     out_cols = t_cols + [c for c in b_cols if c not in t_cols]
     t = target.select(*[F.col(c).alias(f"t__{c}") for c in t_cols])
     b = batch.select(*[F.col(c).alias(f"b__{c}") for c in b_cols], F.lit(True).alias("b__present"))
+    if deletes is not None:
+        gone = deletes.select(F.col(key)).distinct().join(batch.select(key), key, "left_anti")
+        b = b.withColumn("b__gone", F.lit(False)).unionByName(
+            gone.select(F.col(key).alias(f"b__{key}"), F.lit(True).alias("b__gone")), allowMissingColumns=True)
     same_key = F.col(f"t__{key}") == F.col(f"b__{key}")
     if not broadcast_batch:
         j = t.join(b, same_key, "full_outer")
@@ -404,6 +428,8 @@ def merge_frames(target: DataFrame, batch: DataFrame, key: str, broadcast_batch:
         inserted = b.join(matched, F.col(f"b__{key}") == F.col("_mk"), "left_anti")
         nulls = [F.lit(None).cast(target.schema[c].dataType).alias(f"t__{c}") for c in t_cols]
         j = stored.unionByName(inserted.select(*nulls, *inserted.columns))
+    if deletes is not None:
+        j = j.where(~F.coalesce(F.col("b__gone"), F.lit(False)))
     hit = F.col("b__present").isNotNull()
     cols = []
     for c in out_cols:
@@ -465,8 +491,3 @@ def union_by_name(frames: list[DataFrame]) -> DataFrame:
     for f in frames[1:]:
         out = out.unionByName(f, allowMissingColumns=True)
     return out
-
-
-def ensure_columns(df: DataFrame, target: T.StructType) -> DataFrame:
-    """Add the target's missing columns."""
-    return evolve(df, target)
