@@ -86,7 +86,12 @@ def test_gate_blocks_publish(spark, scratch):
     else:
         raise AssertionError("gate did not stop the layer")
     assert not store.exists("raw")
-    assert store.read("failed").count() == source.count() - 2  # kept rows quarantined whole (not blank/out of range)
+    # rows that the rules had rejected keep their reasons, the kept ones are quarantined for the mismatch
+    reasons = {r.reason: r.rejected for r in ledger.reject_counts(store.read("failed")).collect()}
+    assert sum(reasons.values()) == source.count()
+    assert reasons.pop(L.BLANK_ROW) == 1 and reasons.pop(L.OUTSIDE_RANGE) == 1
+    ((reason, n),) = reasons.items()
+    assert "unaccounted" in reason and n == source.count() - 2
     runs = store.read("pipeline_runs").where(F.col("layer") == "raw").collect()
     assert runs[0].status == ledger.MISMATCH
 
@@ -142,6 +147,8 @@ def test_incremental_loop_narrows_window_and_advances_watermark(spark, scratch):
                                    ledger.LEDGER_SCHEMAS["table_parameters"])
     store.overwrite(params, "table_parameters")
     spec = L.LayerSpec(as_of="2024-01-31", category_k=1, range_start="2012-01-01", range_end="2016-12-31")
+    early = [r.replace("2015-03", "2015-02") for r in _good_rows("CLEMENTI", 3, 350000)]  # a month before the second window
+    _write(f"{land}/auto/dataset_id=c/x.csv", HEADER, early)
     source = csvsrc.scan_csv(spark, f"{land}/auto", RAW_SCHEMA).drop("dataset_id")
     first = Runner(spark, store, spec)
     assert first.window()[0].isoformat() == "2012-01-01"  # no watermark yet: the whole range
@@ -151,9 +158,16 @@ def test_incremental_loop_narrows_window_and_advances_watermark(spark, scratch):
     second = Runner(spark, store, spec)
     lo, _ = second.window()
     assert lo.isoformat() == "2015-03-01"  # the month of watermark - 7 days, from its first day
+    # one late row inside the window, one behind it
+    _write(f"{land}/auto/dataset_id=d/x.csv", HEADER, [_good_rows("LATE", 1, 360000)[0], early[0].replace("CLEMENTI", "TOO LATE")])
+    source = csvsrc.scan_csv(spark, f"{land}/auto", RAW_SCHEMA).drop("dataset_id")
     res = second.incremental(source)
-    assert res[0].kept == 1  # only the 2015-04 row was re-read
-    assert store.count("raw") == first.results[0].kept  # raw: the re-read month replaced, nothing added
+    in_window = source.where("month >= '2015-03'").count()
+    assert res[0].kept == in_window  # 2015-02 was not read again
+    raw = store.read("raw")
+    assert store.count("raw") == raw.count() == first.results[0].kept + 1  # re-read months replace themselves
+    assert raw.where("town = 'LATE'").count() == 1 and raw.where("town = 'TOO LATE'").count() == 0
+    assert raw.where("month = '2015-02'").count() == 3
 
 
 def test_scan_csv_groups_folders_by_header(spark, scratch):
@@ -166,3 +180,26 @@ def test_scan_csv_groups_folders_by_header(spark, scratch):
     rows = sorted((int(r["x"]), r["y"], r["z"]) for r in df.select("x", "y", "z").collect())
     assert rows == [(1, "a", None), (2, "b", None), (3, "c", None), (4, "d", "extra")]
     assert csvsrc.scan_csv(spark, os.path.join(scratch, "nothing-here")) is None
+
+
+def test_scan_csv_binds_mixed_headers_of_one_folder_by_name(spark, scratch):
+    root = os.path.join(scratch, "one-folder")
+    _write(f"{root}/d=1/a.csv", "town,price", ["BEDOK,10"])
+    _write(f"{root}/d=1/b.csv", "price,town", ["20,CLEMENTI"])
+    _write(f"{root}/d=1/c.csv", '\ufeff"town","price"', ["TAMPINES,30"])
+    open(f"{root}/d=1/empty.csv", "w").close()
+    df = csvsrc.scan_csv(spark, root)
+    assert sorted((r.town, r.price) for r in df.collect()) == [("BEDOK", "10"), ("CLEMENTI", "20"), ("TAMPINES", "30")]
+
+
+def test_two_streams_into_one_stage_keep_their_rows(spark, scratch):
+    from pyspark.sql import types as T
+
+    from layerflow.streaming.ingest import stream_ingest
+    store = TableStore(spark, os.path.join(scratch, "store"))
+    schema = T.StructType([T.StructField("x", T.LongType())])
+    for name, rows in (("a", ["1", "2", "3"]), ("b", ["4", "5"])):
+        _write(f"{scratch}/{name}/f.csv", "x", rows)
+        for _ in range(2):  # the second start finds nothing new
+            stream_ingest(spark, f"{scratch}/{name}", schema, f"{scratch}/checkpoint-{name}", store, "events").awaitTermination(120)
+    assert sorted(r.x for r in store.read("events").collect()) == [1, 2, 3, 4, 5]
