@@ -137,10 +137,12 @@ def quality_signals(docs: DataFrame, order: list[str] | None = None) -> DataFram
     rows = _with_repeats(_with_words(docs.select("doc_id", "text")))
     rejects = _rejects()
     base = rejects["few_words"] | rejects["repeats"]
-    return rows.select(
+    signals = F.struct(
         "doc_id", _n_words().alias("n_words"), _word_chars().alias("word_chars"), _n_symbols().alias("n_symbols"),
         _n_dup_lines().alias("n_dup_lines"), F.col("_q_repeat").alias("n_repeat_words"), base.alias("base_failed"),
         F.when(base, F.lit(False)).otherwise(_kept([k for k in order if k not in ("few_words", "repeats")])).alias("kept"))
+    # explode of one value: a filter on a signal does not work the signals out again
+    return rows.select(F.explode(F.array(signals)).alias("_q_s")).select("_q_s.*")
 
 
 def quality_filter(docs: DataFrame, order: list[str] | None = None) -> DataFrame:
