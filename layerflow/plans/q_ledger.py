@@ -310,9 +310,9 @@ def q_reconcile_report(spark, sf):
 
 
 @register("reconcile_incremental", f"""WITH {_COUNTS_SQL},
-b AS (SELECT CAST(count(*) AS BIGINT) AS n FROM tx WHERE month >= '{RUN_MONTHS[-1]}')
-SELECT 'source' AS layer, n AS kept, CAST(0 AS BIGINT) AS rejected, CAST(NULL AS BIGINT) AS expected, n AS table_total, true AS reconciled FROM b
-UNION ALL SELECT 'raw', n, 0, n, raw, true FROM b, cnt
+third AS (SELECT CAST(count(*) AS BIGINT) AS n FROM tx WHERE month >= '{RUN_MONTHS[-1]}')
+SELECT 'source' AS layer, n AS kept, CAST(0 AS BIGINT) AS rejected, CAST(NULL AS BIGINT) AS expected, n AS table_total, true AS reconciled FROM third
+UNION ALL SELECT 'raw', n, 0, n, raw, true FROM third, cnt
 UNION ALL SELECT 'cleaned', cleaned, raw - cleaned, raw, cleaned, true FROM cnt
 UNION ALL SELECT 'transformed', transformed, cleaned - transformed, cleaned, transformed, true FROM cnt
 UNION ALL SELECT 'hashed', hashed, transformed - hashed, transformed, hashed, true FROM cnt""")

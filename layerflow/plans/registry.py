@@ -133,7 +133,7 @@ def pipeline_run(spark: SparkSession, sf_dir: str):
 
 
 #: Months at which the incremental runs take over from one another.
-RUN_MONTHS = ["1994-01", "1996-07"]
+RUN_MONTHS = ["1997-01", "1999-07"]
 
 
 def incremental_runs(spark: SparkSession, sf_dir: str):

@@ -140,7 +140,7 @@ class Runner:
         path = self.store.stage_write(out, stage, name=self.batch_name or f"run={self.run_id}{self.batch_suffix}",
                                       partition_by=parts)
         counts = {r[REASON]: r["n"] for r in
-                  self.spark.read.parquet(path).groupBy(REASON).agg(F.count(F.lit(1)).alias("n")).collect()}
+                  self.spark.read.schema(out.schema).parquet(path).groupBy(REASON).agg(F.count(F.lit(1)).alias("n")).collect()}
         kept = int(counts.pop(None, 0))
         rejected = int(sum(counts.values()))
         self.record_audit(ledger.LAYER_JOBS.get(stage, stage), stage, kept + rejected, kept, rejected, start)

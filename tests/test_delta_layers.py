@@ -151,3 +151,9 @@ def test_merged_runs_end_where_a_full_run_ends(spark, scratch, partition_by):
     report = ledger.reconcile_report(runs, rejected, ["source", "raw", "cleaned", "transformed", "hashed"]).collect()
     assert all(r.reconciled for r in report)
     assert {r.layer: r.kept for r in report}["raw"] == 60 and {r.layer: r.table_total for r in report}["raw"] == 180
+
+
+def test_an_empty_batch_publishes_nothing(spark, scratch):
+    store = TableStore(spark, os.path.join(scratch, "empty"))
+    res = Runner(spark, store, SPEC, load_type="MERGE").raw(frame(spark, []), 0)
+    assert (res.kept, res.rejected) == (0, 0) and not store.exists("raw")
