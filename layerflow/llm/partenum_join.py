@@ -10,14 +10,16 @@ these agrees in full. A signature is the hash of what a set has in such a subset
 Subsets in which a set has nothing are passed over while no more parts have one
 than there are spare parts: an agreeing part that is not empty remains then.
 
-Equal sets are one node. In each signature's bucket the members are compared with
-its smallest one only, the centre (a star, never all pairs). What remains is
-settled in turns. Let x be a member that its centre c doesn't link, and y another one that
-x is linked with. Of x, y - c and x - c share at least (|x ^ c| - k) / 2 elements, rounded up, where
-k is the most that linked sets of the sizes of x and c differ in: c is the smallest, and what x and y
-both lack of c is at most what either lacks. So x and y share one of the
-first few elements that each adds to c, those that the fewest members add first (a
-prefix filter), and the bucket is dealt anew by these elements; buckets whose
+Equal sets are one node. In each signature's bucket the members are compared with one of
+them only, the centre (a star, never all pairs): the one that shares the most buckets, which
+lies in the middle of a family. What remains is settled in turns. Let c be a centre and d(x) what x
+adds to c or lacks of it, |d(x)| elements. For linked x and y, d(x) and d(y) share (|d(x)| + |d(y)| - |x ^ y|) / 2
+elements, and |x ^ y| is at most q (|x| + |y|), q = (100 - percent) / (100 + percent). If x and y are in different
+components yet, one of them, x say, is outside c's, so |d(x)| > q (|x| + |c|), and they share
+more than (|d(y)| - q (|y| - |c|)) / 2 elements and at least (|d(x)| - q (|x| + |c|)) / (1 + q).
+So x and y share one of the first few elements of each, in any order common to all (a prefix
+filter); here those come first that the fewest outside members have, and elements that none of these has are
+not dealt at all. Buckets by centre and element are the next turn's; those whose
 members are in one component already are left out. It ends when no bucket is left, and loses no link between components.
 Every compared pair is checked on whole sets.
 
@@ -177,48 +179,48 @@ def _sets(docs: DataFrame, sketches: DataFrame, nodes: DataFrame, words: int) ->
     return written(asked.mapInArrow(run, "node bigint, shingles binary").dropDuplicates(["node"]), "sets")
 
 
-def _stars(buckets: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """Distinct (centre, node, size) of every bucket (key, node, size): its smallest node, and each other one.
+def _shared(rows: DataFrame) -> DataFrame:
+    """Of buckets (key, node), those with two different nodes or more."""
+    group = Window.partitionBy("key")
+    both = rows.withColumn("lo", F.min("node").over(group)).withColumn("hi", F.max("node").over(group))
+    return written(both.filter("lo <> hi").select("key", "node"), "shared")
 
-    With labels, buckets whose members all have one label are left out.
-    """
-    by_size = Window.partitionBy("key").orderBy("size", "node").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    if labels is None:
-        rows = buckets.select("key", "node", "size")
-    else:
-        spread = buckets.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        many = spread.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("key")
-        rows = spread.join(many, "key", "left_semi").select("key", "node", "size")
-    return rows.withColumn("centre", F.first("node").over(by_size)).filter("centre <> node").select("centre", "node", "size").distinct()
+
+def _stars(shared: DataFrame) -> DataFrame:
+    """centre, node and n, the buckets (key, node) that have them: of each bucket the node of the most buckets, and each other one."""
+    weights = written(shared.groupBy("node").agg(F.count(F.lit(1)).alias("weight")), "weights")
+    best = shared.join(small(weights, 16), "node").groupBy("key").agg(F.max(F.struct("weight", "node")).alias("best"))
+    rows = shared.join(best.select("key", F.col("best.node").alias("centre")), "key").filter("centre <> node")
+    return written(rows.groupBy("centre", "node").agg(F.count(F.lit(1)).alias("n")), "stars")
 
 
 def _compared(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """centre, node, linked, the elements that the node adds to the centre, and of how many of them
-    one at least is shared with whatever set of the bucket the node is linked to."""
+    """centre, node, linked, the elements in which they differ (tokens), and of how many of them one at least is shared with
+    whatever set the node is linked to: if the node is outside the centre's component (outer), or if that set is (inner)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bands = Bands(percent)
         for batch in batches:
-            linked, tokens, first = [], [], []
+            linked, tokens, outer, inner = [], [], [], []
             for one, two in zip(batch.column("left"), batch.column("right"), strict=True):
                 c, x = np.frombuffer(one.as_buffer(), np.uint64), np.frombuffer(two.as_buffer(), np.uint64)
-                place = np.minimum(np.searchsorted(c, x), len(c) - 1)
-                shared = c[place] == x
-                common = int(shared.sum())
-                differ = len(c) + len(x) - 2 * common
+                apart = np.setxor1d(c, x, assume_unique=True)
+                differ, both = len(apart), len(c) + len(x)
+                common = (both - differ) // 2
                 linked.append(100 * common >= percent * (differ + common))
-                added = x[~shared]
-                least = max(1, (differ - bands.most(len(c), len(x)) + 1) // 2)  # that x and a set linked to it add alike
-                tokens.append(added.view(np.int64))
-                first.append(len(added) - least + 1)
+                tokens.append(apart.view(np.int64))
+                beyond = (100 + percent) * differ - (100 - percent) * both
+                outer.append(differ - max(1, -(-beyond // 200)) + 1)
+                least = ((100 + percent) * differ - (100 - percent) * (len(x) - len(c))) // (2 * (100 + percent)) + 1
+                inner.append(differ - max(1, least) + 1)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("centre"), batch.column("node"), pa.array(linked, pa.bool_()), pa.array(tokens, pa.list_(pa.int64())), pa.array(first, pa.int32())],
-                ["centre", "node", "linked", "tokens", "first"])
+                [batch.column("centre"), batch.column("node"), pa.array(linked, pa.bool_()), pa.array(tokens, pa.list_(pa.int64())),
+                 pa.array(outer, pa.int32()), pa.array(inner, pa.int32())],
+                ["centre", "node", "linked", "tokens", "outer", "inner"])
 
     left = sets.select(F.col("node").alias("centre"), F.col("shingles").alias("left"))
     right = sets.select("node", F.col("shingles").alias("right"))
     return written(edges.join(left, "centre").join(right, "node").mapInArrow(
-        run, "centre bigint, node bigint, linked boolean, tokens array<bigint>, first int"), "compared")
+        run, "centre bigint, node bigint, linked boolean, tokens array<bigint>, outer int, inner int"), "compared")
 
 
 def _merged(labels: DataFrame | None, links: DataFrame) -> DataFrame:
@@ -248,7 +250,7 @@ def similar_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
     ship_code(docs.sparkSession)
     docs = docs.select("doc_id", "text")
     sketches = _sketches(docs, words, percent)
-    edges = written(_stars(sketches.select("node", F.col("n_shingles").cast("int").alias("size"), F.explode("signatures").alias("key")), None), "stars")
+    edges = _stars(_shared(sketches.select("node", F.explode("signatures").alias("key"))))
     labels = None
     if not edges.isEmpty():
         nodes = edges.select("node").unionByName(edges.select(F.col("centre").alias("node"))).distinct()
@@ -257,29 +259,38 @@ def similar_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
     return _shown(sketches, labels)
 
 
-def _dealt(told: DataFrame) -> DataFrame:
-    """Buckets (key, node, size) by the first elements that the members add to their centre, rare ones first."""
-    added = told.select("centre", "node", "size", "first", F.explode("tokens").alias("token"))
-    shared = added.groupBy("centre", "token").agg(F.count(F.lit(1)).alias("members"))
+def _dealt(told: DataFrame, labels: DataFrame) -> DataFrame:
+    """Buckets (key, node, label) of different labels, by the first elements in which the members differ from their
+    centre: elements of members outside the centre's component, those that the fewest of these have first."""
+    end = lambda c, name: labels.select(F.col("node").alias(c), F.col("label").alias(name))
+    told = told.join(end("centre", "_c"), "centre", "left").join(end("node", "label"), "node", "left").withColumn(
+        "label", F.coalesce("label", "node"))
+    told = told.withColumn("outside", F.col("label") != F.coalesce("_c", "centre")).withColumn(
+        "first", F.when(F.col("outside"), F.col("outer")).otherwise(F.col("inner"))).withColumn("all", F.size("tokens"))
+    apart = told.select("centre", "node", "label", "outside", "first", "all", F.explode("tokens").alias("token"))
+    rare = apart.filter("outside").groupBy("centre", "token").agg(F.count(F.lit(1)).alias("members"))
     by_rarity = Window.partitionBy("centre", "node").orderBy("members", "token")
-    ranked = added.join(shared, ["centre", "token"]).withColumn("at", F.row_number().over(by_rarity))
-    return ranked.filter("at <= first AND members > 1").select(F.xxhash64("centre", "token").alias("key"), "node", "size")
+    # elements of no outside member come before the others
+    found = apart.join(rare, ["centre", "token"]).withColumn("at", F.row_number().over(by_rarity)).withColumn(
+        "before", F.col("all") - F.count(F.lit(1)).over(Window.partitionBy("centre", "node")))
+    rows = written(found.filter("before + at <= first").select(F.xxhash64("centre", "token").alias("key"), "node", "label"), "dealt")
+    many = rows.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("key")
+    return written(rows.join(many, "key", "left_semi").distinct(), "buckets")
 
 
-def _pairs_left(buckets: DataFrame, labels: DataFrame) -> DataFrame | None:
+def _pairs_left(buckets: DataFrame) -> DataFrame | None:
     """Distinct pairs (centre, node) of different labels in a bucket, if they are few for each row; else None.
 
     One of a pair is always outside the bucket's most frequent label, so the work is counted as the
     members outside times all members, without listing them.
     """
-    rows = written(buckets.distinct().join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label")), "labelled")
-    by_label = rows.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
-    per_key = by_label.groupBy("key").agg(F.sum("n").alias("n"), F.max(F.struct("n", "label")).alias("most")).filter("n > most.n")
+    by_label = buckets.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
+    per_key = by_label.groupBy("key").agg(F.sum("n").alias("n"), F.max(F.struct("n", "label")).alias("most"))
     per_key = written(per_key.select("key", "n", F.col("most.label").alias("main"), (F.col("n") * (F.col("n") - F.col("most.n"))).alias("work")), "work")
     total = per_key.agg(F.sum("work"), F.sum("n")).first()
     if total[0] is not None and total[0] > PAIRS_PER_ROW * total[1]:
         return None
-    open_ = rows.join(per_key.select("key", "main"), "key")
+    open_ = buckets.join(per_key.select("key", "main"), "key")
     outside = open_.filter("label <> main").select("key", F.col("node").alias("centre"), F.col("label").alias("_own"))
     # of two members outside, one pair is enough
     return outside.join(open_, "key").filter("label <> _own AND (label = main OR centre < node)").select("centre", "node").distinct()
@@ -289,7 +300,7 @@ def _linked(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Labels of all nodes that links join, from the first stars on."""
     links = lambda compared: compared.filter("linked").select(F.col("centre").alias("a"), F.col("node").alias("b"))
     # most members are settled by one comparison each
-    first = written(edges.groupBy("node").agg(F.min("centre").alias("centre")).select("centre", "node"), "first")
+    first = written(edges.groupBy("node").agg(F.max(F.struct("n", "centre")).alias("most")).select(F.col("most.centre").alias("centre"), "node"), "first")
     compared = _compared(first, sets, percent)
     labels = _merged(None, links(compared))
     done = compared
@@ -297,24 +308,24 @@ def _linked(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         rest = written(_cross(edges.join(done.select("centre", "node"), ["centre", "node"], "left_anti").select("centre", "node"), labels), "rest")
         if not rest.isEmpty():
             compared = _compared(rest, sets, percent)
-            done = written(done.unionByName(compared), "done")
+            done = done.unionByName(compared)
             labels = _merged(labels, links(compared))
         # centres with two members or more, one of which is not in the centre's component
         apart = _cross(done.filter("NOT linked").select("centre", "node"), labels).select("centre").distinct()
-        open_ = edges.join(apart, "centre", "left_semi")
-        many = open_.groupBy("centre").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("centre")
-        open_ = written(open_.join(many, "centre", "left_semi"), "open")
+        open_ = edges.join(written(apart, "apart"), "centre", "left_semi")
+        many = open_.groupBy("centre").agg(F.count(F.lit(1)).alias("members")).filter("members > 1").select("centre")
+        open_ = written(open_.join(many, "centre", "left_semi").select("centre", "node"), "open")
         if open_.isEmpty():
             return labels
         missing = written(open_.join(done.select("centre", "node"), ["centre", "node"], "left_anti"), "missing")
         if not missing.isEmpty():  # their differences are needed, though they are in the centre's component
-            done = written(done.unionByName(_compared(missing, sets, percent)), "done")
-        buckets = written(_dealt(done.join(open_, ["centre", "node"])), "buckets")
-        pairs = _pairs_left(buckets, labels)
+            done = done.unionByName(_compared(missing, sets, percent))
+        buckets = _dealt(done.join(open_, ["centre", "node"]), labels)
+        pairs = _pairs_left(buckets)
         if pairs is not None:
             last = _compared(written(pairs, "pairs"), sets, percent)
             return _merged(labels, links(last))
-        edges = written(_stars(buckets, labels), "stars")
+        edges = _stars(buckets.select("key", "node"))
         # every turn starts from written tables, so plans stay short however many turns there are
         done = written(done.join(edges, ["centre", "node"], "left_semi"), "done")
 
