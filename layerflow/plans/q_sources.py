@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from layerflow.functions import text
-from layerflow.operators import filters
+from layerflow.operators import changes, filters
 from layerflow.plans import fixtures as X
 from layerflow.plans.registry import pipeline_run, register
 from layerflow.schema import enforce_schema
@@ -340,3 +340,68 @@ def q_set_difference(spark, sf):
     name = lambda df, c: df.select(F.col(c).cast("string").alias("name")).distinct()
     return difference(name(customers, "c_custkey"), name(X.table(spark, sf, "orders").where("o_totalprice > 400000"), "o_custkey"),
                       name(customers.where("c_nationkey = 0"), "c_custkey"))
+
+
+# ---------------------------------------------------------------- change capture: each year's last order of every customer
+
+_LAST_ORDER_SQL = """last AS (
+  SELECT o_custkey, CAST(year(o_orderdate) AS INTEGER) AS y, arg_max(o_orderpriority, (o_orderdate, o_orderkey)) AS priority,
+         arg_max(o_orderstatus, (o_orderdate, o_orderkey)) AS status
+  FROM orders GROUP BY 1, 2),
+told AS (
+  SELECT *, lag(y) OVER w AS before, lag(priority) OVER w AS p, lag(status) OVER w AS s
+  FROM last WINDOW w AS (PARTITION BY o_custkey ORDER BY y)),
+classed AS (
+  SELECT *, CASE WHEN before IS NULL THEN 'inserted'
+                 WHEN p IS DISTINCT FROM priority OR s IS DISTINCT FROM status THEN 'changed' ELSE 'unchanged' END AS change
+  FROM told)"""
+
+
+def _replayed(spark, sf):
+    """(year, its batch, the history before it or None), then (None, None, the whole history).
+
+    A batch is the last order of every customer who ordered in the year. Batches and histories are written, as
+    they are between runs, so a plan never holds more than one year's join.
+    """
+    root = scratch_path(spark, "changes")
+
+    def kept(df, name, *by):
+        df.write.partitionBy(*by).parquet(f"{root}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{root}/{name}")
+
+    latest = F.struct("o_orderdate", "o_orderkey")
+    last = kept(X.table(spark, sf, "orders").groupBy("o_custkey", F.year("o_orderdate").alias("y")).agg(
+        F.max_by("o_orderpriority", latest).alias("priority"), F.max_by("o_orderstatus", latest).alias("status")), "last", "y")
+    history = None
+    for year in [r.y for r in last.select("y").distinct().orderBy("y").collect()]:
+        batch = last.filter(F.col("y") == year).drop("y")
+        yield year, batch, history
+        history = (changes.open_history(batch, F.lit(year)) if history is None
+                   else changes.apply_changes(history, batch, _CUSTOMER, _WATCHED, F.lit(year)))
+        history = kept(history, f"history-{year}")
+    yield None, None, history
+
+
+_CUSTOMER, _WATCHED = ["o_custkey"], ["priority", "status"]
+
+
+@register("change_history", f"""WITH {_LAST_ORDER_SQL}
+SELECT o_custkey, priority, status, y AS valid_from, CAST(lead(y) OVER (PARTITION BY o_custkey ORDER BY y) AS INTEGER) AS valid_to
+FROM classed WHERE change <> 'unchanged'""")
+def q_change_history(spark, sf):
+    """Every version of a customer's last order, the years' batches applied one after another."""
+    return list(_replayed(spark, sf))[-1][2]
+
+
+@register("change_classes", f"""WITH {_LAST_ORDER_SQL}
+SELECT o_custkey, y, change FROM classed""")
+def q_change_classes(spark, sf):
+    """What each year's batch inserts, changes and leaves as it was."""
+    out = None
+    for year, batch, history in _replayed(spark, sf):
+        if year is None:
+            return out
+        stored = batch.limit(0) if history is None else history.filter(F.col(changes.TO).isNull())
+        found = changes.classify_changes(stored, batch, _CUSTOMER, _WATCHED).select(
+            "o_custkey", F.lit(year).alias("y"), F.col(changes.CHANGE).alias("change"))
+        out = found if out is None else out.unionByName(found)
