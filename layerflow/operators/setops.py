@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from layerflow.sources.store import union_by_name  # noqa: F401  (I1, re-exported)
@@ -41,3 +41,43 @@ def partition_check(source: DataFrame, kept: DataFrame, rejected: DataFrame) ->
         F.sum("_rej").cast("bigint").alias("rejected"),
         F.sum(F.greatest(F.col("_in") - out, F.lit(0))).cast("bigint").alias("missing"),
         F.sum(F.greatest(out - F.col("_in"), F.lit(0))).cast("bigint").alias("extra"))
+
+
+def _row_hash(cols: list[str], salt: int) -> Column:
+    """64-bit hash of a row; nulls count by their place (the hash function itself passes over them)."""
+    parts = [p for c in cols for p in (F.col(c), F.col(c).isNull())]
+    return F.xxhash64(F.lit(salt), *parts).cast("decimal(28,0)")
+
+
+def fingerprint_check(source: DataFrame, kept: DataFrame, rejected: DataFrame) -> DataFrame:
+    """Whether kept and rejected together equal the input as multisets, without grouping rows (I4).
+
+    Sums of two 64-bit row hashes don't depend on order and add up over frames, so each side is
+    one scan and only one row for each task moves. Equal multisets always
+    balance; others do with a chance of about 2**-128. ``unbalanced_rows`` names the rows where they don't.
+    Output one row: input, kept, rejected, balanced. Empty frames count 0 rows and balance.
+    """
+    cols = source.columns
+    sides = [(source, "input", 1), (kept, "kept", -1), (rejected, "rejected", -1)]
+    sums = []
+    for df, name, sign in sides:
+        sums.append(df.select(F.lit(name).alias("_side"), F.lit(sign).alias("_sign"),
+                              *[_row_hash(cols, salt).alias(f"_h{salt}") for salt in (1, 2)]))
+    stacked = sums[0].unionByName(sums[1]).unionByName(sums[2])
+    per_side = stacked.groupBy("_side", "_sign").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("_h1").alias("h1"), F.sum("_h2").alias("h2"))
+    total = lambda c: F.coalesce(F.sum(F.col(c) * F.col("_sign")), F.lit(0))
+    count = lambda name: F.coalesce(F.sum(F.when(F.col("_side") == name, F.col("n"))), F.lit(0)).cast("bigint").alias(name)
+    # hashes of one side stay below 2**63 times its rows: three sides fit the type
+    return per_side.agg(*[count(name) for _, name, _ in sides],
+                        ((total("n") == 0) & (total("h1") == 0) & (total("h2") == 0)).alias("balanced"))
+
+
+def unbalanced_rows(source: DataFrame, kept: DataFrame, rejected: DataFrame) -> DataFrame:
+    """The distinct rows that the input has more often (missing) or less often (extra) than kept and rejected together."""
+    cols = source.columns
+    stacked = source.select(*cols, F.lit(1).alias("_sign"))
+    for df in (kept, rejected):
+        stacked = stacked.unionByName(df.select(*cols, F.lit(-1).alias("_sign")))
+    return stacked.groupBy(*cols).agg(F.sum("_sign").alias("_d")).filter("_d <> 0").select(
+        *cols, F.greatest("_d", F.lit(0)).cast("bigint").alias("missing"), F.greatest(-F.col("_d"), F.lit(0)).cast("bigint").alias("extra"))

@@ -383,3 +383,36 @@ def q_reject_breakdown(spark, sf):
     since = failed.agg(F.min("_failed_at")).collect()[0][0]
     recent = failed.where(F.col("_failed_at") >= F.lit(since))
     return G.reject_counts(recent).orderBy(F.desc("rejected"), "stage", "reason")
+
+
+_SPLIT = ["l_orderkey", "l_linenumber", "l_quantity", "l_returnflag"]
+
+
+def _split_lines(spark, sf):
+    """Line items; those not returned as kept and returned ones as rejected, but lines of a quantity of 1 in neither."""
+    lines = X.table(spark, sf, "lineitem").select(*_SPLIT)
+    here = lines.where("l_quantity > 1")
+    return lines, here.where("l_returnflag <> 'R'"), here.where("l_returnflag = 'R'")
+
+
+@register("fingerprint_check", """
+SELECT 'whole' AS what, count(*) AS input, count(*) FILTER (l_returnflag <> 'R') AS kept,
+       count(*) FILTER (l_returnflag = 'R') AS rejected, true AS balanced FROM lineitem
+UNION ALL
+SELECT 'lossy', count(*), count(*) FILTER (l_returnflag <> 'R' AND l_quantity > 1),
+       count(*) FILTER (l_returnflag = 'R' AND l_quantity > 1), count(*) FILTER (l_quantity <= 1) = 0 FROM lineitem""")
+def q_fingerprint_check(spark, sf):
+    from layerflow.operators.setops import fingerprint_check
+    lines, kept, rejected = _split_lines(spark, sf)
+    whole = fingerprint_check(lines, lines.where("l_returnflag <> 'R'"), lines.where("l_returnflag = 'R'"))
+    lossy = fingerprint_check(lines, kept, rejected)
+    out = [df.select(F.lit(name).alias("what"), "*") for name, df in (("whole", whole), ("lossy", lossy))]
+    return out[0].unionByName(out[1])
+
+
+@register("unbalanced_rows", """
+SELECT l_orderkey, l_linenumber, l_quantity, l_returnflag, count(*) AS missing, CAST(0 AS BIGINT) AS extra
+FROM lineitem WHERE l_quantity <= 1 GROUP BY ALL""")
+def q_unbalanced_rows(spark, sf):
+    from layerflow.operators.setops import unbalanced_rows
+    return unbalanced_rows(*_split_lines(spark, sf))
