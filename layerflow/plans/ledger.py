@@ -118,6 +118,20 @@ def parameters_for(tables: DataFrame, params: DataFrame, name: str, default: str
             .select("table_id", F.coalesce("_v", F.lit(default)).alias("parameter_value")))
 
 
+def missing_parameters(tables: DataFrame, params: DataFrame, names: list[str]) -> DataFrame:
+    """table_id and parameter_name of every required parameter that a table lacks or has as NULL (A4)."""
+    asked = tables.select("table_id").distinct().withColumn("parameter_name", F.explode(F.array(*[F.lit(n) for n in names])))
+    there = params.where(F.col("parameter_name").isin(names) & F.col("parameter_value").isNotNull())
+    return asked.join(there.select("table_id", "parameter_name"), ["table_id", "parameter_name"], "left_anti")
+
+
+def require_parameters(tables: DataFrame, params: DataFrame, names: list[str], shown: int = 10) -> None:
+    """Raise if a table lacks a required parameter, naming the first few (A4)."""
+    lacking = missing_parameters(tables, params, names).orderBy("table_id", "parameter_name").limit(shown).collect()
+    if lacking:
+        raise ValueError("required parameters are missing: " + ", ".join(f"{r.parameter_name} of table {r.table_id}" for r in lacking))
+
+
 def watermark(tables: DataFrame, marks: DataFrame, default: str = DEFAULT_WATERMARK) -> DataFrame:
     """Watermark per table; absent or NULL gives the default (A5)."""
     w = marks.groupBy("table_id").agg(F.max("last_watermark_value").alias("_w"))

@@ -416,3 +416,16 @@ FROM lineitem WHERE l_quantity <= 1 GROUP BY ALL""")
 def q_unbalanced_rows(spark, sf):
     from layerflow.operators.setops import unbalanced_rows
     return unbalanced_rows(*_split_lines(spark, sf))
+
+
+@register("missing_parameters", """
+SELECT c_custkey AS table_id, n AS parameter_name
+FROM (SELECT CAST(c_custkey AS BIGINT) AS c_custkey FROM customer), (VALUES ('1-URGENT'), ('5-LOW')) v(n)
+WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderpriority = n)""")
+def q_missing_parameters(spark, sf):
+    """Customers as tables, their orders as parameters: which lack one of two priorities."""
+    tables = X.table(spark, sf, "customer").select(F.col("c_custkey").cast("bigint").alias("table_id"))
+    params = X.table(spark, sf, "orders").select(
+        F.col("o_custkey").cast("bigint").alias("table_id"), F.col("o_orderpriority").alias("parameter_name"),
+        F.col("o_totalprice").cast("string").alias("parameter_value"))
+    return G.missing_parameters(tables, params, ["1-URGENT", "5-LOW"])

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from layerflow.functions import identity as ident
 from layerflow.functions.text import month_date
 from layerflow.operators.dedup import ROW_ID
+from layerflow.operators.filters import overlap, require_any
 from layerflow.plans import layers as L
 from layerflow.plans import ledger
 from layerflow.sources.store import PART, TableStore, merge_frames
@@ -202,6 +203,22 @@ class Runner:
             raise GateError(f"{stage} has no published rows")
         return with_row_id(df)
 
+    def ingest(self, manifest: DataFrame, landed: DataFrame, key: str = "dataset_id") -> DataFrame:
+        """Datasets of the manifest that meet the month range, with the rows landed for each, as a recorded stage.
+
+        ``landed`` has the key and ``rows`` (``landed_counts``). A dataset that has not landed shows 0 rows. No dataset
+        in range is an error, recorded as FAILED; the message tells matched from landed datasets.
+        """
+        def load() -> DataFrame:
+            start = _now()
+            matched = require_any(overlap(manifest, self.spec.range_start, self.spec.range_end), "dataset of the manifest")
+            found = matched.join(landed.select(key, "rows"), key, "left").select(
+                *matched.columns, F.coalesce("rows", F.lit(0)).cast("bigint").alias("rows_landed"))
+            n, have, rows = found.agg(F.count(F.lit(1)), F.count_if(F.col("rows_landed") > 0), F.sum("rows_landed")).first()
+            self.record_run("ingest", ledger.SUCCEEDED if have else ledger.EMPTY, rows, f"{have} of {n} matched datasets landed", start)
+            return found
+        return self.guarded("ingest", load)
+
     def raw(self, source: DataFrame, source_count: int | None = None,
             publish: str = "load_type") -> LayerResult:
         """Month-range filter and blank rows out; reconciled on the source count.
