@@ -2,7 +2,8 @@
 
 A document longer than a bin is cut into pieces of the capacity and a rest. Pieces
 are dealt into blocks by a hash, which spreads every source and every group of copies
-over all blocks; a block is packed in one task, largest pieces first. A block's
+over all blocks (rows that repeat are told apart by a number within their input partition, so the
+packing of these depends on how the input is partitioned); a block is packed in one task, largest pieces first. A block's
 open bins are kept in the order of what is left in them. For a piece the search
 begins at the first bin with enough room and goes on to the next larger ones until
 one is compatible: the tightest compatible bin. A bin carries a bitmap of its
@@ -64,10 +65,18 @@ def pack(sizes: list[int], sources: list[int], clusters: list[int], capacity: in
 
 
 def pieces(docs: DataFrame, cluster: Column, capacity: int) -> DataFrame:
-    """doc_id, source, cluster, piece, start, length and a hash that names the piece."""
+    """doc_id, source, cluster, piece, start, length and a hash that names the piece.
+
+    Rows alike are counted in their partition, on the map side, and numbered from that count. Between rows alike
+    in all that is counted it makes no difference which one gets which number, so a retried task gives the same rows.
+    """
     text = text_or_empty()
     rows = docs.select("doc_id", F.coalesce(F.col("source").cast("string"), F.lit("\0")).alias("source"), cluster.alias("cluster"),
-                       F.length(text).alias("size"), F.xxhash64("doc_id", text).alias("name"))
+                       F.length(text).alias("size"), F.xxhash64("doc_id", text).alias("name"), F.spark_partition_id().alias("part"))
+    rows = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("alike"))
+    rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("alike").cast("int"))))
+    # a row without copies in its partition is named by its contents alone
+    rows = rows.withColumn("name", F.when(F.col("alike") == 1, F.col("name")).otherwise(F.xxhash64("name", "part", "copy")))
     last = F.greatest(F.ceil(F.col("size") / capacity) - 1, F.lit(0)).cast("int")
     rows = rows.select("*", F.explode(F.sequence(F.lit(0), last)).alias("piece"))
     start = F.col("piece") * capacity
