@@ -7,7 +7,9 @@ cost, and a document that one has rejected costs nothing more. The order
 never changes a verdict, only what it costs.
 
 Words are ``[^\\x20\\x09-\\x0D]+``. Repeated five-word windows are found inside the
-row: equal 64-bit window hashes, compared within one document only.
+row: equal 64-bit window hashes, compared within one document only. How many
+distinct words a text has for its length is a mean over blocks of 200 words that
+cover it whole, so a text is not rejected for being long.
 
 Defined results: a null or empty text has no words, all counts 0, and fails the
 least-words rule; repeated rows and rows without a doc_id are judged like any
@@ -28,6 +30,7 @@ SAMPLE_ROWS = 1_000       # rows on which costs and selectivities are estimated;
 LEAST_WORDS, REPEAT_PCT = 10, 20
 #: name -> signals the rule needs; what it rejects is in ``_rejects``.
 SYMBOL_PCT, DUP_LINE_PCT, UPPER_PCT, EXCLAIM_PCT, ECHO_PCT, DISTINCT_PCT = 10, 50, 60, 30, 30, 20
+DISTINCT_BLOCK = 200      # words of a block whose distinct words are counted
 
 
 def _with_words(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -88,6 +91,8 @@ def _rejects() -> dict[str, Column]:
     h = F.col("_q_h")
     echo = F.size(F.filter(F.sequence(F.lit(1), F.greatest(words - 1, F.lit(1))), lambda i: h[i] == h[i - 1]))
     lines = _lines()
+    starts = F.sequence(F.lit(1), F.greatest(words, F.lit(1)), F.lit(DISTINCT_BLOCK))
+    distinct = F.aggregate(F.transform(starts, lambda i: F.size(F.array_distinct(F.slice(h, i, DISTINCT_BLOCK)))), F.lit(0), lambda a, b: a + b)
     return {
         "few_words": words < LEAST_WORDS,
         "repeats": F.col("_q_repeat") * 100 > words * REPEAT_PCT,
@@ -96,7 +101,7 @@ def _rejects() -> dict[str, Column]:
         "upper": F.regexp_count("_q_t", F.lit("[A-Z]")) * 100 > _word_chars() * UPPER_PCT,
         "exclaim": F.regexp_count("_q_t", F.lit("!")) * 100 > words * EXCLAIM_PCT,
         "echo": F.when(words > 1, echo * 100 > words * ECHO_PCT).otherwise(F.lit(False)),
-        "few_distinct": (words >= 50) & (F.size(F.array_distinct(h)) * 100 < words * DISTINCT_PCT),
+        "few_distinct": (words >= 50) & (distinct * 100 < words * DISTINCT_PCT),
     }
 
 
@@ -168,7 +173,7 @@ s AS (SELECT doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_c
              list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines,
              coalesce(n, 0) AS n_repeat_words,
              len(regexp_extract_all(t, '[A-Z]')) AS upper, len(regexp_extract_all(t, '!')) AS exclaim,
-             len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i - 1])) AS echo, len(list_distinct(w)) AS n_distinct
+             len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i - 1])) AS echo, coalesce(list_sum(list_transform(range(0, len(w), {DISTINCT_BLOCK}), lambda i: len(list_distinct(w[i+1:i+{DISTINCT_BLOCK}])))), 0) AS n_distinct
       FROM w LEFT JOIN r USING (doc_id)),
 b AS (SELECT *, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
              n_words < {LEAST_WORDS} OR 100 * n_repeat_words > {REPEAT_PCT} * n_words AS base_failed FROM s)

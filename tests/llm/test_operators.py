@@ -167,6 +167,22 @@ def test_quality_order_does_not_change_verdicts(docs):
     assert a == b == c
 
 
+def test_quality_of_very_long_texts(spark, docs):
+    """A clean text is kept whatever its length; few words over and over are not, though in ever new order."""
+    rng = random.Random(3)
+    clean = " ".join(r.text for r in docs.filter("lang = 'en'").orderBy("doc_id").collect() if len((r.text or "").split()) > 50)
+    words = clean.split()
+    assert len(set(words)) * 100 < 20 * len(words * 20)  # as a share of all words, the longest is poor
+    longest = " ".join(" ".join(rng.sample(words, len(words))) for _ in range(20))
+    poor = " ".join(rng.choice([f"w{i}" for i in range(30)]) for _ in range(30_000))
+    df = spark.createDataFrame([(1, longest), (2, poor), (3, None), (4, "")], "doc_id bigint, text string")
+    order = list(quality_rules._rejects())
+    got = {r.doc_id: (r.kept, r.base_failed, r.n_words) for r in quality_rules.quality_signals(df, order).collect()}
+    assert got[1] == (True, False, 20 * len(words))
+    assert got[2][:2] == (False, False)
+    assert rows(quality_rules.quality_filter(df, order), "doc_id") == [(1,)]
+
+
 def test_quality_filter_plan_has_no_python(docs):
     plan = quality_rules.quality_filter(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
@@ -230,6 +246,17 @@ def test_packing_keeps_everything_and_every_constraint(docs, documents):
     assert out.groupby(["bin_id", "doc_id"]).size().max() == 1
 
 
+def test_packing_spreads_rows_alike(spark):
+    """A third of the rows alike, without an id or text: no block grows by them, and no piece is lost."""
+    alike = spark.range(0, 3000, 1, 8).selectExpr("CAST(NULL AS BIGINT) AS doc_id", "CAST(NULL AS STRING) AS source", "'' AS text")
+    others = spark.range(0, 6000, 1, 8).selectExpr("id AS doc_id", "concat('s', id % 50) AS source", "repeat('x', CAST(id % 900 AS INT)) AS text")
+    out = best_fit.best_fit(alike.unionByName(others), capacity=5000, block_pieces=500).toPandas()
+    sizes = out.groupby(out.bin_id // (1 << 32)).size()
+    assert len(out) == 9000 and out.doc_id.isna().sum() == 3000 and out.doc_id.nunique() == 6000
+    assert sizes.max() < 2 * sizes.median()
+    assert out[out.doc_id.isna()].groupby("bin_id").size().max() == 1
+
+
 def test_packing_takes_the_tightest_compatible_bin():
     rng = random.Random(1)
     for _ in range(50):
@@ -348,7 +375,8 @@ def test_codec_matches_the_library(spark, docs):
 
     path = P.path("piece_bpe_32k.model")
     model = sentencepiece.SentencePieceProcessor(model_file=path)
-    own = sp_codec.Codec(path, cache_entries=50)
+    with open(path, "rb") as file:
+        own = sp_codec.Codec(file.read(), cache_entries=50)
     rng = random.Random(2)
     letters = "  \t\n  ▁abcdefghinorstuéñ日本́😀​\x00ｱthei ngon"
     texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 80))) for _ in range(500)]
