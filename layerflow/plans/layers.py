@@ -39,6 +39,7 @@ INCOMPLETE_IDENTIFIER = "incomplete_resale_identifier"
 MISSING_IDENTIFIER = "missing_resale_identifier"
 OUTSIDE_RANGE = "outside_date_range"
 BLANK_ROW = "blank_row"
+REASONS = (FIELD_FAILED, DUPLICATE_LOWER_PRICE, PRICE_OUTLIER, INCOMPLETE_IDENTIFIER, MISSING_IDENTIFIER, OUTSIDE_RANGE, BLANK_ROW)
 STAGES = ["source", "raw", "cleaned", "transformed", "hashed"]
 NORMALIZED_COLUMNS = ["town", "street_name", "flat_model"]
 DATE_RANGE_START = "2012-01-01"

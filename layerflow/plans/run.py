@@ -2,8 +2,8 @@
 
 Per layer the tagged frame (all input rows plus ``_failure_reason``) is
 written once, partitioned by ``_status`` = kept / rejected, into a folder
-no reader sees yet. Counts per reason come from that written data (a
-grouped count over Parquet, not a second run of the plan). The gate
+no reader sees yet. Counts per reason are observed by that write: nothing
+is read again to count it. The gate
 compares kept + rejected with the count the previous layer recorded; on a
 match the kept folder is published as the layer and the rejected folder is
 appended to the quarantine table, on a mismatch the kept rows go to
@@ -25,6 +25,7 @@ from layerflow.functions import identity as ident
 from layerflow.functions.text import month_date
 from layerflow.operators.dedup import ROW_ID
 from layerflow.operators.filters import overlap, require_any
+from layerflow.operators.observed import ROWS, per_value
 from layerflow.plans import layers as L
 from layerflow.plans import ledger
 from layerflow.sources.store import PART, TableStore, merge_frames
@@ -138,12 +139,13 @@ class Runner:
         if self.spec.partition_by:
             out = out.withColumn(PART, F.col(self.spec.partition_by).cast("string"))
             parts.append(PART)
-        path = self.store.stage_write(out, stage, name=self.batch_name or f"run={self.run_id}{self.batch_suffix}",
-                                      partition_by=parts)
-        counts = {r[REASON]: r["n"] for r in
-                  self.spark.read.schema(out.schema).parquet(path).groupBy(REASON).agg(F.count(F.lit(1)).alias("n")).collect()}
-        kept = int(counts.pop(None, 0))
-        rejected = int(sum(counts.values()))
+        path, seen = self.store.stage_counted(out, stage, name=self.batch_name or f"run={self.run_id}{self.batch_suffix}", partition_by=parts,
+                                              metrics={"kept": F.count_if(F.col(REASON).isNull()), **per_value(REASON, L.REASONS)})
+        kept, rejected = seen["kept"], seen[ROWS] - seen["kept"]
+        counts = {r: seen[r] for r in L.REASONS if seen[r]}
+        if sum(counts.values()) != rejected:  # a caller's own reasons: their rows alone are read
+            counts = {r[REASON]: r["n"] for r in self.spark.read.parquet(f"{path}/{STATUS}=rejected")
+                      .groupBy(REASON).agg(F.count(F.lit(1)).alias("n")).collect()}
         self.record_audit(ledger.LAYER_JOBS.get(stage, stage), stage, kept + rejected, kept, rejected, start)
 
         expected = self.expected_count(previous)

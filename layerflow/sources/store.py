@@ -22,12 +22,13 @@ import urllib.parse
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from layerflow.operators.dedup import assert_unique
 from layerflow.operators.groups import join_small
+from layerflow.operators.observed import ROWS, write_observed
 
 LOG_SCHEMA = T.StructType([
     T.StructField("seq", T.LongType()),
@@ -187,26 +188,32 @@ class TableStore:
 
         Attempts of one ``name`` share ``attempt_base``, by which a publish replaces the earlier one.
         """
-        path = self.new_data_path(stage, f"{name}~{uuid.uuid4().hex[:8]}" if name else None)
+        path = self._attempt_path(stage, name)
         w = df.write.mode("errorifexists")
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(path)
         return path
 
+    def stage_counted(self, df: DataFrame, stage: str, name: str | None = None, partition_by: list[str] | None = None,
+                      metrics: dict[str, Column] | None = None) -> tuple[str, dict[str, int]]:
+        """``stage_write`` with the counts that the write observed (``rows`` and ``metrics``)."""
+        path = self._attempt_path(stage, name)
+        return path, write_observed(df, path, partition_by or (), metrics)
+
+    def _attempt_path(self, stage: str, name: str | None) -> str:
+        return self.new_data_path(stage, f"{name}~{uuid.uuid4().hex[:8]}" if name else None)
+
     @staticmethod
     def attempt_base(path: str) -> str:
         """A segment's path without what tells attempts apart."""
         return re.sub(r"~[0-9a-f]{8}", "", path)
 
-    def _rows(self, path: str) -> int:
-        return self.spark.read.parquet(path).count()
-
     def overwrite(self, df: DataFrame, stage: str) -> WriteStats:
         """Full reload (B3): new content and schema; an empty batch keeps the old rows."""
         before = self.count(stage)
-        path = self.stage_write(df, stage)
-        n = self._rows(path)
+        path, seen = self.stage_counted(df, stage)
+        n = seen[ROWS]
         if n == 0:
             return WriteStats(before, before)
         self.publish(stage, [path], "overwrite", n)
@@ -216,10 +223,10 @@ class TableStore:
                rows: int | None = None) -> WriteStats:
         """Append (B2); with ``batch_id`` a repeated batch replaces itself.
 
-        ``rows``, when the caller knows it (a ledger row), saves the count.
+        ``rows``: the number the caller knows (a ledger row), in place of the observed one.
         """
-        path = self.stage_write(df, stage, f"batch={batch_id}" if batch_id else None)
-        n = self._rows(path) if rows is None else rows
+        path, seen = self.stage_counted(df, stage, f"batch={batch_id}" if batch_id else None)
+        n = seen[ROWS] if rows is None else rows
         for attempt in range(PUBLISH_TRIES):
             cur = self._settled(stage)
             before = cur.rows if cur else 0
@@ -277,8 +284,8 @@ class TableStore:
         small = df.count() <= MERGE_BROADCAST_ROWS  # a small batch: the stored table is not shuffled
         deletes = retractions(cur, df, key, small) if retract else None
         merged = merge_frames(cur, df, key, broadcast_batch=small, deletes=deletes)
-        path = self.stage_write(merged, stage)
-        n = self._rows(path)
+        path, seen = self.stage_counted(merged, stage)
+        n = seen[ROWS]
         self.publish(stage, [path], "merge", n, based_on=base.seq)
         return WriteStats(before, n)
 
@@ -295,8 +302,8 @@ class TableStore:
             return self.append(df, stage)
         values = df.select(col).distinct()  # a month may hold a third of the rows: never shuffle by it
         new = join_small(cur, values, [col], how="left_anti", check=True).unionByName(df, allowMissingColumns=True)
-        path = self.stage_write(new, stage)
-        n = self._rows(path)
+        path, seen = self.stage_counted(new, stage)
+        n = seen[ROWS]
         self.publish(stage, [path], "replace", n)
         return WriteStats(before, n)
 
@@ -316,8 +323,8 @@ class TableStore:
 
     def write_partitioned(self, df: DataFrame, stage: str, col: str) -> tuple[list[str], int]:
         """Write rows into one folder per value of ``col`` (the column stays in the files too)."""
-        path = self.stage_write(df.withColumn(PART, F.col(col).cast("string")), stage, partition_by=[PART])
-        return self.part_dirs(path), self._rows(path)
+        path, seen = self.stage_counted(df.withColumn(PART, F.col(col).cast("string")), stage, partition_by=[PART])
+        return self.part_dirs(path), seen[ROWS]
 
     def overwrite_partitioned(self, df: DataFrame, stage: str, col: str) -> WriteStats:
         before = self.count(stage)
