@@ -429,3 +429,86 @@ def q_missing_parameters(spark, sf):
         F.col("o_custkey").cast("bigint").alias("table_id"), F.col("o_orderpriority").alias("parameter_name"),
         F.col("o_totalprice").cast("string").alias("parameter_value"))
     return G.missing_parameters(tables, params, ["1-URGENT", "5-LOW"])
+
+
+_EVENT_JOBS = {**_JOBS, "refund_check": "hashed"}
+_EVENT_AUDIT_SQL = """a AS (
+  SELECT CAST(event_id AS VARCHAR) AS run_id, event_type AS job_name, CAST(user_id % 5 AS BIGINT) AS rows_out, CAST(user_id % 3 AS BIGINT) AS rows_rejected,
+         ts AS run_timestamp, CAST(user_id % 7 AS DOUBLE) / 4 AS duration_seconds FROM events)"""
+
+
+def _event_audit(spark, sf):
+    """Events as audit rows: types are jobs, users give counts and durations (a fifth of the runs kept no rows)."""
+    u = F.col("user_id")
+    return X.table(spark, sf, "events").select(
+        F.col("event_id").cast("string").alias("run_id"), F.col("event_type").alias("job_name"), (u % 5).cast("bigint").alias("rows_out"),
+        (u % 3).cast("bigint").alias("rows_rejected"), F.col("ts").cast("timestamp").alias("run_timestamp"), ((u % 7).cast("double") / 4).alias("duration_seconds"))
+
+
+@register("ledger_rows", f"""WITH {_EVENT_AUDIT_SQL}
+SELECT CAST('0x' || substr(sha256(run_id), 1, 15) AS BIGINT) AS run_id, CAST(7 AS BIGINT) AS table_id,
+       CASE job_name WHEN 'view' THEN 'source' WHEN 'click' THEN 'raw' WHEN 'signup' THEN 'cleaned' WHEN 'purchase' THEN 'transformed' END AS layer,
+       run_timestamp - to_microseconds(CAST(round(duration_seconds * 1000000) AS BIGINT)) AS start_time, run_timestamp AS end_time,
+       CASE WHEN rows_out = 0 THEN 'EMPTY' ELSE 'SUCCEEDED' END AS status, rows_out AS number_of_records,
+       CASE WHEN rows_out = 0 THEN job_name || ' kept no rows' END AS error_message
+FROM a WHERE run_timestamp >= TIMESTAMP '2024-01-15 00:00:00' AND job_name IN ('view', 'click', 'signup', 'purchase')
+  AND NOT (run_timestamp >= TIMESTAMP '2024-01-20 00:00:00' AND job_name = 'click')""")
+def q_ledger_rows(spark, sf):
+    """Audit rows since a time as ledger rows; the clicks of the last days are in the ledger already."""
+    audit = _event_audit(spark, sf)
+    synced = G.ledger_rows(audit, "2024-01-20 00:00:00", {"click": "raw"}, 7)
+    out = G.ledger_rows(audit, "2024-01-15 00:00:00", _EVENT_JOBS, 7, synced)
+    return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("start_time", "end_time")})
+
+
+_STATUS_SQL = f"""{_EVENT_AUDIT_SQL},
+jobs(job_name, stage) AS (VALUES ('view', 'source'), ('click', 'raw'), ('signup', 'cleaned'), ('purchase', 'transformed'), ('refund_check', 'hashed')),
+g AS (SELECT job_name, count(*) AS runs, sum(rows_out) AS records, sum(rows_rejected) AS rejected, sum(duration_seconds) AS seconds,
+             max({{'t': run_timestamp, 'n': rows_out}}).n AS last_out
+      FROM a WHERE run_timestamp >= TIMESTAMP '2024-01-15 00:00:00' GROUP BY job_name),
+st AS (SELECT job_name, stage, CASE WHEN runs IS NULL THEN 'NOT_RUN' WHEN coalesce(last_out, 0) = 0 THEN 'EMPTY' ELSE 'SUCCEEDED' END AS status,
+              coalesce(runs, 0) AS runs, CAST(coalesce(records, 0) AS BIGINT) AS records, CAST(coalesce(rejected, 0) AS BIGINT) AS rejected,
+              round(coalesce(seconds, 0), 3) AS seconds FROM jobs LEFT JOIN g USING (job_name))"""
+
+
+@register("job_status", f"WITH {_STATUS_SQL} SELECT * FROM st")
+def q_job_status(spark, sf):
+    return G.job_status(_event_audit(spark, sf), _EVENT_JOBS, "2024-01-15 00:00:00")
+
+
+@register("run_totals", f"""WITH {_STATUS_SQL}
+SELECT count(*) AS jobs, count(*) FILTER (status = 'SUCCEEDED') AS succeeded, count(*) FILTER (status = 'NOT_RUN') AS not_run,
+       CAST(sum(runs) AS BIGINT) AS runs, CAST(sum(rejected) AS BIGINT) AS rejected, round(sum(seconds), 3) AS seconds FROM st""")
+def q_run_totals(spark, sf):
+    return G.run_totals(G.job_status(_event_audit(spark, sf), _EVENT_JOBS, "2024-01-15 00:00:00"))
+
+
+@register("rejects_since", f"""WITH {_FAILED_EVENTS_SQL}
+SELECT _failed_stage AS stage, _failure_reason AS reason, count(*) AS rejected
+FROM fe WHERE _failed_at >= TIMESTAMP '2024-01-15 00:00:00' GROUP BY 1, 2""")
+def q_rejects_since(spark, sf):
+    return G.reject_counts(_failed_events(spark, sf), since="2024-01-15 00:00:00")
+
+
+@register("audit_rows", f"""WITH {_COUNTS_SQL}
+SELECT * FROM (VALUES
+  ('raw_layer', 'raw', (SELECT raw FROM cnt), (SELECT raw FROM cnt)), ('cleaned_layer', 'cleaned', (SELECT raw FROM cnt), (SELECT cleaned FROM cnt)),
+  ('transformed_layer', 'transformed', (SELECT cleaned FROM cnt), (SELECT transformed FROM cnt)),
+  ('hashed_layer', 'hashed', (SELECT transformed FROM cnt), (SELECT hashed FROM cnt))) AS s(job_name, stage, rows_in, rows_out)""")
+def q_audit_rows(spark, sf):
+    """What each layer's write observed, as the audit recorded it."""
+    return pipeline_run(spark, sf).store.read("audit").select("job_name", "stage", "rows_in", "rows_out")
+
+
+@register("write_metrics", """
+SELECT flag, CAST(n AS BIGINT) AS rows FROM (
+  SELECT 'rows' AS flag, count(*) AS n FROM lineitem UNION ALL SELECT l_returnflag, count(*) FROM lineitem GROUP BY 1)""")
+def q_write_metrics(spark, sf):
+    """Line items written once, by flag; the counts are those that the write observed."""
+    import uuid
+
+    from layerflow.operators.observed import per_value, write_observed
+    from layerflow.session import scratch_path
+    lines = X.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag")
+    seen = write_observed(lines, f"{scratch_path(spark, 'observed')}/{uuid.uuid4().hex}", ["l_returnflag"], per_value("l_returnflag", ["A", "N", "R"]))
+    return spark.createDataFrame(list(seen.items()), "flag string, rows bigint")
