@@ -15,9 +15,13 @@ column combination.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from layerflow.operators.groups import join_small
+
 ROW_ID = "_rid"
 
 
@@ -58,20 +62,42 @@ def winners(df: DataFrame, keys: list[str], order: list[Column | str],
 
 def dedup_tag(df: DataFrame, keys: list[str], order: list[Column | str],
               row_id: str = ROW_ID, flag: str = "_is_winner",
-              eligible: Column | None = None) -> DataFrame:
+              eligible: Column | None = None, reuse: Callable[[DataFrame], DataFrame] | None = None,
+              check_small: bool = False) -> DataFrame:
     """All rows plus ``flag``: true for the one kept row of each key.
 
     With ``eligible`` set, only those rows compete (others get ``flag`` NULL).
+    ``reuse`` writes the winners' ids once; with ``check_small`` they are counted
+    and, if few, broadcast, so that the rows are not shuffled by their ids.
     """
     cand = df if eligible is None else df.where(eligible)
-    win = winners(cand, keys, order, row_id).withColumn(flag, F.lit(True))
-    tagged = df.join(win, on=row_id, how="left")
+    win = winners(cand, keys, order, row_id)
+    win = (win if reuse is None else reuse(win)).withColumn(flag, F.lit(True))
+    tagged = join_small(df, win, [row_id], check=check_small)
     won = F.coalesce(F.col(flag), F.lit(False))
     if eligible is not None:
         won = F.when(eligible, won)
     return tagged.withColumn(flag, won)
 
 
+def losers(df: DataFrame, hashed: DataFrame, keys: list[str], order: list[Column | str], row_id: str, hash_col: str,
+           reuse: Callable[[DataFrame], DataFrame], check_small: bool = False) -> DataFrame:
+    """Ids of the rows that are not the best of their key.
+
+    ``hashed`` has each row's id and ``hash_col``, ``xxhash64`` of its keys. A hash that
+    occurs once belongs to a key that occurs once, so only 8 bytes of each row
+    are counted; the rows of the other hashes alone are grouped by their whole keys, so that
+    keys of one hash stay apart.
+    """
+    again = reuse(hashed.groupBy(hash_col).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).select(hash_col))
+    needed = list(dict.fromkeys([row_id, *keys, *[c for c in order if isinstance(c, str)]]))
+    extra = [c.alias(f"_o{i}") for i, c in enumerate(order) if not isinstance(c, str)]
+    maybe = join_small(df.withColumn(hash_col, F.xxhash64(*keys)), again, [hash_col], how="left_semi", check=check_small)
+    maybe = reuse(maybe.select(*needed, *extra))
+    best = winners(maybe, keys, [c if isinstance(c, str) else f"_o{i}" for i, c in enumerate(order)], row_id)
+    return maybe.select(row_id).join(best, row_id, "left_anti")
+
+
 def dedup_keep_max(df: DataFrame, keys: list[str], order: list[Column | str],
                    row_id: str = ROW_ID) -> tuple[DataFrame, DataFrame]:
     """(kept, discarded): the highest-ordered row of each key is kept."""
@@ -88,7 +114,9 @@ def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def assert_unique(df: DataFrame, keys: list[str]) -> None:
-    """Raise if any key occurs twice (G3). One small aggregation job."""
+    """Raise if any key occurs twice (G3). One aggregation job over 64-bit hashes; whole keys are compared only if a hash repeats."""
+    if not df.groupBy(F.xxhash64(*keys).alias("_kh")).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).limit(1).collect():
+        return
     dup = duplicate_keys(df, keys).limit(1).collect()
     if dup:
         raise RuntimeError(f"duplicate key(s) remain after dedup, e.g. {dup[0].asDict()}")

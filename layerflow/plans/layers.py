@@ -28,7 +28,7 @@ from layerflow.functions.text import month_date, normalize_text
 from layerflow.operators import groups
 from layerflow.operators import dedup
 from layerflow.operators.dedup import ROW_ID, dedup_tag
-from layerflow.operators.rules import Rule, resale_rules, validate
+from layerflow.operators.rules import FREQ_PREFIX, Rule, resale_rules, validate
 from layerflow.schema import NATURAL_KEY, PRICE
 
 # Reject reasons and stage names.
@@ -125,32 +125,35 @@ def tag_cleaned(raw: DataFrame, spec: LayerSpec, reuse: Reuse = _same, check_sma
                 counts: dict[str, DataFrame] | None = None) -> DataFrame:
     """All raw rows with surrogate key, normalised text, lease and ``_outcome``.
 
-    ``reuse`` is applied to frames with more than one consumer (the
-    validated rows, the winners table); the runner writes them once to the
-    staging folder. ``check_small`` counts per-group tables before
+    ``raw`` brings its row ids; the rows themselves are read again by each
+    consumer and never copied. ``reuse`` is applied to the narrow frames with
+    more than one consumer (category counts, ids and prices of the passing
+    rows, the few rows whose key may repeat); the runner writes them once to
+    the staging folder. ``check_small`` counts per-group tables before
     broadcasting them. ``counts`` gives the category frequencies when ``raw``
     is only a part of the rows that they are counted over.
     """
     keyed = raw.withColumn(SURROGATE, ident.surrogate_key(spec.natural_key))
     normed = normalize_text(keyed, spec.normalize)
-    checked = reuse(validate(normed, spec.rules(), ERRORS, counts))
+    rules = spec.rules()
+    if counts is None:
+        cats = list(dict.fromkeys(r.frequency_of for r in rules if r.frequency_of))
+        counted = reuse(groups.value_counts(normed, cats))
+        counts = {c: counted.where(F.col("column") == c).select(F.col("value").alias("v"), F.col("count").alias(f"{FREQ_PREFIX}{c}"))
+                  for c in cats}
+    checked = validate(normed, rules, ERRORS, counts)
     passed = F.col(ERRORS).isNull()
 
     key = spec.dedup_key(raw.columns)
     order = [spec.price, *spec.tiebreak]
-    # one row per key: the winner's id and price (partial aggregation, skew-safe)
-    win = reuse(dedup.winners(checked.where(passed), key, order, ROW_ID, carry=[spec.price]))
-    flags = win.select(ROW_ID, F.lit(True).alias("_is_winner"))
-    deduped = checked.join(flags, ROW_ID, "left")
-    survivor = F.coalesce(F.col("_is_winner"), F.lit(False))
-
-    if set(spec.outlier_keys) <= set(key):
-        # the survivors are exactly the winners: quartiles come from the small winners table
-        bounds = groups.iqr_bounds(win, spec.outlier_keys, f"_w_{spec.price}", accuracy=spec.quantile_accuracy,
-                                   hot_rows=spec.hot_group_rows)
-    else:
-        bounds = groups.iqr_bounds(deduped.where(survivor), spec.outlier_keys, spec.price,
-                                   accuracy=spec.quantile_accuracy, hot_rows=spec.hot_group_rows)
+    price = F.col(spec.price).alias(f"_w_{spec.price}")
+    prices = reuse(checked.where(passed).select(ROW_ID, F.xxhash64(*key).alias("_kh"), *spec.outlier_keys, price))
+    lost = reuse(dedup.losers(checked.where(passed), prices, key, order, ROW_ID, "_kh", reuse, check_small))
+    deduped = groups.join_small(checked, lost.withColumn("_lost", F.lit(True)), [ROW_ID], check=check_small)
+    survivor = passed & F.col("_lost").isNull()
+
+    bounds = groups.iqr_bounds(groups.join_small(prices, lost, [ROW_ID], how="left_anti", check=check_small),
+                               spec.outlier_keys, f"_w_{spec.price}", accuracy=spec.quantile_accuracy, hot_rows=spec.hot_group_rows)
     # written once: the broadcast check counts the written table instead of recomputing the quartiles
     bounds = reuse(bounds.select(*spec.outlier_keys, "lower", "upper"))
     flagged = (groups.join_small(deduped, bounds, spec.outlier_keys, check=check_small)
@@ -164,7 +167,7 @@ def tag_cleaned(raw: DataFrame, spec: LayerSpec, reuse: Reuse = _same, check_sma
                 (~passed, FIELD_FAILED),
                 (~survivor, DUPLICATE_LOWER_PRICE),
                 (F.col("_outlier"), PRICE_OUTLIER)))
-            .drop("lower", "upper", "_is_winner", "_outlier"))
+            .drop("lower", "upper", "_lost", "_outlier"))
 
 
 # ---------------------------------------------------------------- transformed
@@ -192,12 +195,13 @@ def tag_transformed(cleaned: DataFrame, spec: LayerSpec, reuse: Reuse = _same,
     """All cleaned rows with ``resale_identifier``, ``_identifier_valid`` and ``_outcome``."""
     with_id = with_identifier(cleaned, spec, check_small, reuse)
     order = [spec.price, *spec.tiebreak, SURROGATE]
-    return identifier_outcome(dedup_tag(with_id, [IDENTIFIER], order, ROW_ID, flag="_is_winner", eligible=F.col(VALID_ID)))
+    return identifier_outcome(dedup_tag(with_id, [IDENTIFIER], order, ROW_ID, flag="_is_winner", eligible=F.col(VALID_ID),
+                                        reuse=reuse, check_small=check_small))
 
 
 def with_identifier(cleaned: DataFrame, spec: LayerSpec, check_small: bool = False, reuse: Reuse = _same) -> DataFrame:
     """Cleaned rows with ``resale_identifier`` and ``_identifier_valid``."""
-    parts = reuse(identifier_parts(cleaned, spec, check_small, reuse))
+    parts = identifier_parts(cleaned, spec, check_small, reuse)
     pcols = [F.col("block_part"), F.col("price_part"), F.col("month_part"), F.col("town_part")]
     return (parts.withColumn(IDENTIFIER, ident.build_identifier(pcols))
             .withColumn(VALID_ID, ident.identifier_valid(pcols, F.col(IDENTIFIER)))

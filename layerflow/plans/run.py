@@ -28,7 +28,7 @@ from layerflow.operators.filters import overlap, require_any
 from layerflow.operators.observed import ROWS, per_value
 from layerflow.plans import layers as L
 from layerflow.plans import ledger
-from layerflow.sources.store import PART, TableStore, merge_frames
+from layerflow.sources.store import PART, Staged, TableStore, merge_frames
 
 LOG = logging.getLogger(__name__)
 
@@ -189,14 +189,15 @@ class Runner:
             self.store.append_segments(stage, pieces, kept, cur, DROP_ON_READ)
         else:
             batch = self.spark.read.parquet(kept_path).drop(*DROP_ON_READ)
+            staged = Staged(pieces, kept, DROP_ON_READ)
             if mode == "REPLACE_MONTHS" and part:
                 self.store.replace_partitions(batch, stage, part)
             elif mode == "REPLACE_MONTHS":
-                self.store.replace_where_present(batch, stage, self.spec.month_col)
+                self.store.replace_where_present(batch, stage, self.spec.month_col, staged)
             elif part:
-                self.store.merge_partitioned(batch, stage, L.SURROGATE, part, retract=self.retract)
+                self.store.merge_partitioned(batch, stage, L.SURROGATE, part, retract=self.retract, staged=staged)
             else:
-                self.store.merge(batch, stage, key=L.SURROGATE, retract=self.retract)
+                self.store.merge(batch, stage, key=L.SURROGATE, retract=self.retract, staged=staged)
 
     # ------------------------------------------------------------ layers
     def read_layer(self, stage: str) -> DataFrame:
@@ -238,24 +239,18 @@ class Runner:
         return self.run_layer("raw", "source", tagged, publish=publish)
 
     def _written(self, stage: str):
-        """A reuse hook that writes a frame once and hands back a pruned Parquet scan.
+        """A reuse hook that writes a narrow frame once and hands back a pruned Parquet scan.
 
-        The validated rows feed three consumers; writing them to the shared
-        staging folder cuts the lineage (a lost executor re-reads files instead
-        of recomputing the scan, normalisation and frequency joins) and lets
-        each consumer read only the columns it needs.
+        Category counts, ids and prices of passing rows, winners and group
+        tables feed several consumers; writing them to the shared staging folder
+        cuts the lineage (a lost executor re-reads files) and gives the counts
+        behind a broadcast. They keep the row ids they refer to.
         """
-        n, ids = [0], [False]
+        n = [0]
 
         def write(df: DataFrame) -> DataFrame:
             n[0] += 1
-            name = f"work-{self.run_id}{self.batch_suffix}-{n[0]}"
-            if ROW_ID in df.columns and not ids[0]:  # the first row frame gets ids from its files
-                ids[0] = True
-                path = self.store.stage_write(df.drop(ROW_ID), stage, name=name)
-                return with_row_id(self.spark.read.parquet(path))
-            # derived tables keep the ids they refer to; per-group tables have none
-            return self.spark.read.parquet(self.store.stage_write(df, stage, name=name))
+            return self.spark.read.parquet(self.store.stage_write(df, stage, name=f"work-{self.run_id}{self.batch_suffix}-{n[0]}"))
         return write
 
     def guarded(self, stage: str, fn):

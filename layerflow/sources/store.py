@@ -55,6 +55,14 @@ class Version:
     drop_columns: list[str]
 
 
+@dataclass
+class Staged:
+    """A batch that is written already: its folders, rows, and columns that readers don't see."""
+    segments: list[str]
+    rows: int
+    drop_columns: list[str]
+
+
 PUBLISH_TRIES = 5   # appends try again on what another writer published
 CLAIM_WAITS = 25    # fifths of a second to wait for a claimed version to appear in the log
 
@@ -189,7 +197,7 @@ class TableStore:
         Attempts of one ``name`` share ``attempt_base``, by which a publish replaces the earlier one.
         """
         path = self._attempt_path(stage, name)
-        w = df.write.mode("errorifexists")
+        w = df.write.mode("errorifexists").option("compression", "zstd")  # keys are hex text: half the bytes
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(path)
@@ -268,11 +276,12 @@ class TableStore:
         return True
 
     def merge(self, df: DataFrame, stage: str, key: str = "surrogate_key",
-              check_unique: bool = True, retract: bool = False) -> WriteStats:
+              check_unique: bool = True, retract: bool = False, staged: Staged | None = None) -> WriteStats:
         """Upsert by key (B4); the first write is a plain append.
 
         ``retract``: ``df`` is all that the layer has to hold, so stored keys that it lacks (rows that
-        are rejected from now on, or gone upstream) are removed (D19).
+        are rejected from now on, or gone upstream) are removed (D19). ``staged`` says where ``df``, whose
+        keys are never null, is written already: see ``_whole``.
         """
         base = self.current(stage)
         cur = self.read(stage, base.seq) if base else None
@@ -281,6 +290,9 @@ class TableStore:
             return self.append(df, stage)
         if check_unique:
             assert_unique(df, [key])
+        if retract and staged is not None and self._whole(df, cur):
+            self.publish(stage, staged.segments, "merge", staged.rows, staged.drop_columns, based_on=base.seq)
+            return WriteStats(before, staged.rows)
         small = df.count() <= MERGE_BROADCAST_ROWS  # a small batch: the stored table is not shuffled
         deletes = retractions(cur, df, key, small) if retract else None
         merged = merge_frames(cur, df, key, broadcast_batch=small, deletes=deletes)
@@ -289,23 +301,52 @@ class TableStore:
         self.publish(stage, [path], "merge", n, based_on=base.seq)
         return WriteStats(before, n)
 
-    def replace_where_present(self, df: DataFrame, stage: str, col: str) -> WriteStats:
+    @staticmethod
+    def _whole(df: DataFrame, cur: DataFrame) -> bool:
+        """Whether a batch that retracts what it lacks also has every stored column: every stored row is then
+        updated in all its columns or removed, and the merged layer is the batch itself."""
+        return set(cur.dtypes) <= set(df.dtypes)
+
+    def replace_where_present(self, df: DataFrame, stage: str, col: str, staged: Staged | None = None) -> WriteStats:
         """Replace every row whose ``col`` value occurs in the batch, keep the rest.
 
         For tables without a unique key (landed rows may hold exact copies):
         re-loading a month replaces that month. The batch's distinct values
         are few and broadcast by AQE; nothing is grouped by a hot value.
+        Only segments that hold one of the values are written again; ``staged``
+        says where ``df`` is written already, so its rows are published as they are.
         """
-        cur = self.read(stage)
+        cur = self.current(stage)
         before = self.count(stage)
         if cur is None:
             return self.append(df, stage)
         values = df.select(col).distinct()  # a month may hold a third of the rows: never shuffle by it
-        new = join_small(cur, values, [col], how="left_anti", check=True).unionByName(df, allowMissingColumns=True)
-        path, seen = self.stage_counted(new, stage)
-        n = seen[ROWS]
-        self.publish(stage, [path], "replace", n)
-        return WriteStats(before, n)
+        files = [urllib.parse.unquote(r[0]) for r in join_small(
+            self._segments(cur.segments).select(col, F.col("_metadata.file_path").alias("_file")), values, [col],
+            how="left_semi", check=True).select("_file").distinct().collect()]
+        touched = [s for s in cur.segments if any(f"{urllib.parse.unquote(s)}/" in f for f in files)]
+        if any(not any(f"{urllib.parse.unquote(s)}/" in f for s in touched) for f in files):
+            touched = list(cur.segments)  # paths that can't be told apart: every segment is written again
+        segments, after, parts = [s for s in cur.segments if s not in touched], cur.rows, [] if staged else [df]
+        if touched:
+            old = self._segments(touched)
+            after -= old.count()
+            old = old.drop(*[c for c in cur.drop_columns if c in old.columns])
+            parts.insert(0, join_small(old, values, [col], how="left_anti", check=True))
+        if parts:
+            path, seen = self.stage_counted(union_by_name(parts), stage)
+            after += seen[ROWS]
+            segments += [path] if seen[ROWS] else []
+        drop = cur.drop_columns
+        if staged:
+            segments, after = segments + staged.segments, after + staged.rows
+            drop = list(dict.fromkeys([*drop, *staged.drop_columns]))
+        self.publish(stage, segments, "replace", after, drop)
+        return WriteStats(before, after)
+
+    def _segments(self, paths: list[str]) -> DataFrame:
+        """Rows of some segments, internal columns included."""
+        return self.spark.read.option("recursiveFileLookup", "true").option("mergeSchema", "true").parquet(*paths)
 
     # ------------------------------------------------------------ partitioned layout
     def part_dirs(self, path: str) -> list[str]:
@@ -359,7 +400,7 @@ class TableStore:
         return WriteStats(cur.rows, kept_rows + n)
 
     def merge_partitioned(self, df: DataFrame, stage: str, key: str, col: str,
-                          check_unique: bool = True, retract: bool = False) -> WriteStats:
+                          check_unique: bool = True, retract: bool = False, staged: Staged | None = None) -> WriteStats:
         """Upsert by key, rewriting only the partitions the batch touches (B4 at scale).
 
         Requires that a key always lies in the same partition (true when the
@@ -367,8 +408,12 @@ class TableStore:
         """
         if check_unique:
             assert_unique(df, [key])
-        small = df.count() <= MERGE_BROADCAST_ROWS
+        base = self.current(stage)
         cur = self.read(stage) if retract else None
+        if cur is not None and staged is not None and self._whole(df, cur):
+            self.publish(stage, staged.segments, "merge", staged.rows, staged.drop_columns, based_on=base.seq)
+            return WriteStats(base.rows, staged.rows)
+        small = df.count() <= MERGE_BROADCAST_ROWS
         deletes = retractions(cur, df, key, small, col) if cur is not None else None
         return self._rewrite_touched(
             df, stage, col,
