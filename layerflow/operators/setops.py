@@ -20,33 +20,54 @@ def difference(actual: DataFrame, valid: DataFrame, allowed: DataFrame | None =
 def partition_check(source: DataFrame, kept: DataFrame, rejected: DataFrame) -> DataFrame:
     """Kept and rejected together equal the input as multisets (I4).
 
-    One grouped count over the three frames stacked: per distinct row, how
-    often it is in the input and in the outputs. Identical copies collapse
-    on the map side, so a large group of copies costs one row per task.
+    The rows are first counted and their hashes (128 bits) summed by bucket,
+    which is combined on the map side: a bucket whose input has the sums of its outputs
+    balances. Only rows of the other buckets are grouped whole, so
+    a clean split moves no rows and every difference is counted row by row.
     Output one row: input, kept, rejected, missing (in input, in no output),
     extra (in an output more often than in the input).
     """
     cols = source.columns
-    stacked = (source.select(*cols, F.lit(0).alias("_side"))
-               .unionByName(kept.select(*cols, F.lit(1).alias("_side")))
-               .unionByName(rejected.select(*cols, F.lit(2).alias("_side"))))
-    per_row = stacked.groupBy(*cols).agg(
-        F.count_if(F.col("_side") == 0).alias("_in"),
-        F.count_if(F.col("_side") == 1).alias("_kept"),
-        F.count_if(F.col("_side") == 2).alias("_rej"))
+    sides = ["_in", "_kept", "_rej"]
+    stacked = None
+    for k, df in enumerate((source, kept, rejected)):
+        one = df.select(*cols, F.lit(k).alias("_side"))
+        stacked = one if stacked is None else stacked.unionByName(one)
+    counts = [F.count_if(F.col("_side") == k).alias(name) for k, name in enumerate(sides)]
+    sign = F.when(F.col("_side") == 0, F.lit(1)).otherwise(F.lit(-1))
+    # halves of the hashes: their sums stay below 64 bits for 2**31 rows a bucket
+    halves = [F.sum(sign * half(f"_h{salt}")).alias(f"_s{salt}{i}") for salt in (1, 2)
+              for i, half in enumerate((lambda c: F.shiftright(c, 32), lambda c: F.col(c).bitwiseAND(F.lit(0xFFFFFFFF))))]
+    hashed = stacked.select("_side", *[_hash64(cols, salt).alias(f"_h{salt}") for salt in (1, 2)]).withColumn("_bk", _bucket("_h1"))
+    buckets = hashed.groupBy("_bk").agg(*counts, *halves)
+    off = F.col("_in") != F.col("_kept") + F.col("_rej")
+    for salt in (1, 2):
+        off = off | (F.col(f"_s{salt}0") != 0) | (F.col(f"_s{salt}1") != 0)
+    rows = stacked.withColumn("_bk", _bucket(_hash64(cols, 1))).join(F.broadcast(buckets.where(off).select("_bk")), "_bk", "left_semi")
+    per_row = rows.groupBy(*cols).agg(*counts)
     out = F.col("_kept") + F.col("_rej")
-    return per_row.agg(
-        F.sum("_in").cast("bigint").alias("input"),
-        F.sum("_kept").cast("bigint").alias("kept"),
-        F.sum("_rej").cast("bigint").alias("rejected"),
-        F.sum(F.greatest(F.col("_in") - out, F.lit(0))).cast("bigint").alias("missing"),
-        F.sum(F.greatest(out - F.col("_in"), F.lit(0))).cast("bigint").alias("extra"))
+    zero = F.lit(0).cast("bigint")
+    parts = buckets.select(*sides, zero.alias("missing"), zero.alias("extra")).unionByName(per_row.select(
+        *[zero.alias(c) for c in sides], F.greatest(F.col("_in") - out, zero).alias("missing"), F.greatest(out - F.col("_in"), zero).alias("extra")))
+    names = {"_in": "input", "_kept": "kept", "_rej": "rejected", "missing": "missing", "extra": "extra"}
+    return parts.agg(*[F.sum(c).cast("bigint").alias(name) for c, name in names.items()])
 
 
-def _row_hash(cols: list[str], salt: int) -> Column:
+CHECK_BUCKETS = 1 << 16  # of partition_check: at most so many sums for each task
+
+
+def _bucket(row_hash: Column | str) -> Column:
+    return F.pmod(F.col(row_hash) if isinstance(row_hash, str) else row_hash, F.lit(CHECK_BUCKETS)).cast("int")
+
+
+def _hash64(cols: list[str], salt: int) -> Column:
     """64-bit hash of a row; nulls count by their place (the hash function itself passes over them)."""
-    parts = [p for c in cols for p in (F.col(c), F.col(c).isNull())]
-    return F.xxhash64(F.lit(salt), *parts).cast("decimal(28,0)")
+    return F.xxhash64(F.lit(salt), *[p for c in cols for p in (F.col(c), F.col(c).isNull())])
+
+
+def _row_hash(cols: list[str], salt: int) -> Column:
+    """``_hash64`` as a number whose sums don't overflow."""
+    return _hash64(cols, salt).cast("decimal(28,0)")
 
 
 def fingerprint_check(source: DataFrame, kept: DataFrame, rejected: DataFrame) -> DataFrame:
