@@ -4,9 +4,10 @@ A word's embedding is the sum of the rows that a hashed table has for the word
 and for its first 5, 7 and 8 bytes, so that forms of one stem share rows; words and
 stems of few training texts have none. Filters of widths 1, 2 and 3 run over the
 whole text, each keeps its largest response (max pooling), and a linear
-layer gives the logit. Training takes a bounded sample of labelled rows; a third of
-it is held back to set the threshold: the logit halfway between the classes
-becomes score 0.5. Thresholds by language are set on the same rows and
+layer gives the logit. Every labelled row that is not held out counts: two thirds train, in shards
+by a hash of doc_id that tasks hold one at a time, each going on from the net of the first shard,
+and the shards' nets are averaged by their rows; on the other third, counted in bins of the logit, the threshold is
+set: the logit halfway between the classes becomes score 0.5. Thresholds by language are set on the same rows and
 returned beside the score (``lang_threshold``, ``flagged``); the score and
 ``predicted`` use the text alone.
 
@@ -21,6 +22,8 @@ empty result; other columns are not looked at.
 
 from __future__ import annotations
 
+import copy
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,13 +31,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from layerflow.llm.common import ship_code, text_or_empty
+from layerflow.llm.common import discard, ship_code, text_or_empty, written
 from layerflow.llm.tokens import chunks, letters_table, word_hashes
 
-SAMPLE_POSITIVE, SAMPLE_NEGATIVE = 2_000, 4_000  # labelled rows that training looks at, at most
+SHARD_ROWS = 6_000   # about the rows of a shard
 DIMS, FILTERS, WIDTHS = 8, 8, (1, 2, 3)
 PREFIXES = (5, 7, 8)
-EPOCHS, RATE = 5, 0.03
+EPOCHS, MORE_EPOCHS, RATE = 5, 2, 0.03  # of the first shard, and of every shard from its net
+BIN = 0.001          # width of the bins of logits
 FALSE_ALARM = 5      # a false alarm's weight when the threshold is set, beside 1 for a miss (both as shares of their class)
 MIN_SHARE = 0.002    # a word or stem gets a row if this share of the training texts, and two of them, hold it
 SLOT_BITS = 20       # slots of the hashed table; a slot belongs to the word or stem that most texts hold
@@ -50,11 +54,9 @@ def features(data: np.ndarray, offsets: np.ndarray, table) -> tuple[np.ndarray,
 class Net:
     """Parameters, forward pass and training."""
 
-    def __init__(self, texts: list[np.ndarray], seed: int = 11):
+    def __init__(self, keys: np.ndarray, seen: np.ndarray, seed: int = 11):
+        """``keys``: ascending hashes of the words and stems that get rows; ``seen``: the training texts that hold each."""
         rng = np.random.default_rng(seed)
-        keys, seen = np.unique(np.concatenate([np.unique(t) for t in texts]), return_counts=True)
-        wanted = (keys != 0) & (seen >= max(2, MIN_SHARE * len(texts)))
-        keys, seen = keys[wanted], seen[wanted]
         order = np.argsort(seen, kind="stable")  # the most frequent is written last and keeps the slot
         self.prints = np.append(keys, np.uint32(0))
         self.slots = np.full(1 << SLOT_BITS, len(keys), np.int32)
@@ -68,6 +70,23 @@ class Net:
         self.off = np.float32(-1.0)
         self.scale, self.shift = 1.0, 0.0
         self.by_lang: dict[str, float] = {}
+        self.sums = [np.full_like(p, 1e-6) for p in self._arrays()]
+        self.off_sum = 1e-6
+
+    def _arrays(self) -> list[np.ndarray]:
+        return [self.table, *self.conv, *self.bias, self.out]
+
+    def packed(self) -> bytes:
+        """All that training changes, as 32-bit numbers."""
+        return np.concatenate([a.ravel() for a in (*self._arrays(), *self.sums, np.array([self.off, self.off_sum]))]).astype(np.float32).tobytes()
+
+    def unpack(self, values: np.ndarray) -> Net:
+        at = 0
+        for a in (*self._arrays(), *self.sums):
+            a[...] = values[at:at + a.size].reshape(a.shape)
+            at += a.size
+        self.off, self.off_sum = np.float32(values[at]), float(values[at + 1])
+        return self
 
     def rows(self, hashed: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Table rows of every text's words, each text followed by padding for the widest filter; begin of each text."""
@@ -109,12 +128,11 @@ class Net:
         z = (self.logits(hashed, before).astype(np.float64) - self.shift) * self.scale
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
-    def train(self, texts: list[np.ndarray], labels: np.ndarray, seed: int = 5) -> None:
+    def train(self, texts: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS, seed: int = 5) -> None:
         rng = np.random.default_rng(seed)
-        sums = [np.full_like(p, 1e-6) for p in (self.table, *self.conv, *self.bias, self.out)]
-        off_sum = 1e-6
+        sums = self.sums
         weight = np.where(labels > 0, 0.5 / max(labels.mean(), 1e-6), 0.5 / max(1 - labels.mean(), 1e-6)).astype(np.float32)
-        for _ in range(EPOCHS):
+        for _ in range(epochs):
             for part in np.array_split(rng.permutation(len(texts)), max(1, len(texts) // 32)):
                 before = np.concatenate([[0], np.cumsum([len(texts[k]) for k in part])])
                 rows, begin = self.rows(np.concatenate([texts[k] for k in part]), before)
@@ -132,8 +150,8 @@ class Net:
                 g = (p - labels[part]) * weight[part] / len(part)
                 back = (g[:, None] * self.out) * (active > 0)
                 self.out -= self._step(sums[-1], active.T @ g)
-                off_sum += float(g.sum()) ** 2
-                self.off -= np.float32(RATE * g.sum() / np.sqrt(off_sum))
+                self.off_sum += float(g.sum()) ** 2
+                self.off -= np.float32(RATE * g.sum() / np.sqrt(self.off_sum))
                 touched, grads = [], []
                 for j, (w, conv) in enumerate(zip(WIDTHS, self.conv, strict=True)):
                     own = slice(j * FILTERS, (j + 1) * FILTERS)
@@ -159,71 +177,128 @@ class Net:
         return (RATE * gradient / np.sqrt(total)).astype(np.float32)
 
 
-def _threshold(z: np.ndarray, y: np.ndarray) -> float:
-    """Cut with the least share of misses plus ``FALSE_ALARM`` times that of false alarms; of equal cuts the middle one."""
-    order = np.argsort(z)
-    z, y = z[order], y[order]
-    missed = np.concatenate([[0], np.cumsum(y)]) / max(y.sum(), 1)
-    wrong = (len(y) - y.sum() - np.concatenate([[0], np.cumsum(1 - y)])) / max(len(y) - y.sum(), 1)
+def _threshold(z: np.ndarray, bad: np.ndarray, good: np.ndarray) -> float:
+    """Cut with the least share of misses plus ``FALSE_ALARM`` times that of false alarms; of equal cuts the middle one.
+
+    ``z``: ascending logits, ``bad`` and ``good``: the rows of each class there.
+    """
+    missed = np.concatenate([[0], np.cumsum(bad)]) / max(bad.sum(), 1)
+    wrong = (good.sum() - np.concatenate([[0], np.cumsum(good)])) / max(good.sum(), 1)
     cost = missed + FALSE_ALARM * wrong
     best = np.flatnonzero(cost == cost.min())
     k = int(best[len(best) // 2])
-    low, high = z[max(k - 1, 0)], z[min(k, len(z) - 1)]
-    return float((low + high) / 2)
+    return float((z[max(k - 1, 0)] + z[min(k, len(z) - 1)]) / 2)
 
 
 def held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
 
 
-def _sample(docs: DataFrame, labels: DataFrame) -> list:
-    """Bounded sample of labelled rows that are not held out, by a hash of doc_id: (words, lang, toxic)."""
-    rows = labels.filter(~held_out() & F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    ranked = rows.withColumn("_h", F.xxhash64("doc_id", F.lit(3)))
-    parts = [ranked.filter(F.col("toxic") > 0).orderBy("_h").limit(SAMPLE_POSITIVE),
-             ranked.filter(F.col("toxic") <= 0).orderBy("_h").limit(SAMPLE_NEGATIVE)]
-    chosen = parts[0].unionByName(parts[1]).select("doc_id", "toxic")
-    # bounded by the two sample sizes, so it can be broadcast
-    picked = docs.select("doc_id", "lang", text_or_empty().alias("text")).join(F.broadcast(chosen), "doc_id")
+def _labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """doc_id, lang, text, toxic (0 or 1) of every labelled row that is not held out, and whether it is kept back for the threshold."""
+    rows = labels.filter(~held_out() & F.col("toxic").isNotNull()).groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
+    rows = docs.select("doc_id", F.col("lang").cast("string"), text_or_empty().alias("text")).join(rows, "doc_id")
+    return written(rows.withColumn("back", F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(3)) == 0), "toxicity-rows")
+
+
+def _hashed(texts: pa.Array, table) -> Iterator[np.ndarray]:
+    for _, _, data, at in chunks(texts):
+        hashed, before = features(data, at, table)
+        yield from (hashed[a:b] for a, b in zip(before[:-1], before[1:], strict=True))
 
+
+def _vocabulary(rows: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Words and stems that ``MIN_SHARE`` of the texts, and two of them, hold, with their texts: bounded by a text's words over the share."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = letters_table()
         for batch in batches:
-            words = []
-            for _, _, data, at in chunks(batch.column("text")):
-                hashed, before = features(data, at, table)
-                words.extend(hashed[a:b].tobytes() for a, b in zip(before[:-1], before[1:], strict=True))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").cast(pa.string()), batch.column("lang").cast(pa.string()), batch.column("toxic").cast(pa.float64()), pa.array(words, pa.binary())],
-                ["doc_id", "lang", "toxic", "words"])
+            found = [np.unique(t) for t in _hashed(batch.column("text"), table)]
+            keys, seen = np.unique(np.concatenate(found), return_counts=True) if found else (np.zeros(0, np.uint32), np.zeros(0, int))
+            yield pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int64)), pa.array(seen.astype(np.int64))], ["key", "n"])
+
+    counted = rows.select("text").mapInArrow(run, "key long, n long").filter("key <> 0").groupBy("key").agg(F.sum("n").alias("n"))
+    kept = sorted(tuple(r) for r in counted.filter(F.col("n") >= max(2, MIN_SHARE * n)).collect())
+    return np.array([k for k, _ in kept], np.uint32), np.array([c for _, c in kept], np.int64)
+
+
+def _trained(rows: DataFrame, net: Net, epochs: int) -> np.ndarray:
+    """Parameters of ``net`` after each shard of ``rows`` has trained it by itself, averaged by the shards' rows."""
+    start = rows.sparkSession.sparkContext.broadcast(net)
+
+    def train(shard: pa.Table) -> pa.Table:
+        order = np.lexsort((shard.column("toxic").to_numpy(), shard.column("h").to_numpy()))
+        shard = shard.take(pa.array(order)).combine_chunks()
+        own = copy.deepcopy(start.value)
+        own.train(list(_hashed(shard.column("text"), letters_table())), shard.column("toxic").to_numpy().astype(np.float32), epochs)
+        return pa.table({"shard": shard.column("shard").slice(0, 1), "n": pa.array([len(shard)], pa.int64()), "net": pa.array([own.packed()], pa.binary())})
+
+    def mean(nets: pa.Table) -> pa.Table:
+        nets = nets.sort_by("shard")
+        n = nets.column("n").to_numpy().astype(np.float64)
+        total = sum(w * np.frombuffer(v.as_py(), np.float32).astype(np.float64) for w, v in zip(n, nets.column("net"), strict=True))
+        return pa.table({"shard": nets.column("shard").slice(0, 1), "n": pa.array([int(n.sum())], pa.int64()),
+                         "net": pa.array([(total / n.sum()).astype(np.float32).tobytes()], pa.binary())})
+
+    schema = "shard long, n long, net binary"
+    nets = rows.select("shard", F.xxhash64("doc_id", "text").alias("h"), "toxic", "text").groupBy("shard").applyInArrow(train, schema)
+    # averaged in about as many groups as each has shards, so that neither a task nor the driver holds them all
+    groups = 1 + math.isqrt(rows.agg(F.max("shard")).first()[0] + 1)
+    part = nets.withColumn("g", F.pmod("shard", F.lit(groups))).groupBy("g").applyInArrow(lambda t: mean(t.drop_columns(["g"])), schema).collect()
+    return np.frombuffer(mean(pa.table({k: [r[k] for r in part] for k in ("shard", "n", "net")})).column("net")[0].as_py(), np.float32)
+
+
+def _bins(rows: DataFrame, net: Net) -> list:
+    """(lang, toxic, bin, n): rows by language, label and bin of the logit."""
+    model = rows.sparkSession.sparkContext.broadcast(net)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = letters_table()
+        for batch in batches:
+            z = np.zeros(batch.num_rows)
+            for a, b, data, at in chunks(batch.column("text")):
+                z[a:b] = model.value.logits(*features(data, at, table))
+            yield pa.RecordBatch.from_arrays([batch.column("lang"), batch.column("toxic"), pa.array(np.rint(np.clip(z, -100, 100) / BIN).astype(np.int64))],
+                                             ["lang", "toxic", "bin"])
+
+    return rows.select("lang", "toxic", "text").mapInArrow(run, "lang string, toxic int, bin long").groupBy("lang", "toxic", "bin").agg(
+        F.count(F.lit(1)).alias("n")).collect()
+
 
-    return picked.mapInArrow(run, "doc_id string, lang string, toxic double, words binary").collect()
+def _classes(bins: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ascending logits and the toxic and other rows at each."""
+    at, index = np.unique(np.array([r.bin for r in bins], np.int64), return_inverse=True)
+    n, y = np.array([r.n for r in bins], float), np.array([r.toxic for r in bins])
+    return at * BIN, np.bincount(index, n * (y == 1), len(at)), np.bincount(index, n * (y == 0), len(at))
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Net | None:
-    """Classifier from a bounded sample of the labelled rows that are not held out; None without both classes."""
+    """Classifier from all labelled rows that are not held out; None without both classes."""
     ship_code(docs.sparkSession)
-    rows = sorted(_sample(docs, labels), key=lambda r: (r.doc_id, bytes(r.words)))
-    y = np.array([r.toxic > 0 for r in rows], np.float32)
-    if not len(rows) or y.min() == y.max():
+    rows = _labelled(docs, labels)
+    seen = {(r.back, r.toxic): r["count"] for r in rows.groupBy("back", "toxic").count().collect()}
+    if not all(seen.get((False, y), 0) + seen.get((True, y), 0) for y in (0, 1)):
+        discard(rows)
         return None
-    texts = [np.frombuffer(r.words, np.uint32).reshape(-1, 1 + len(PREFIXES)) for r in rows]
-    place = np.random.default_rng(7).permutation(len(rows))
-    cut = max(2, 2 * len(rows) // 3)
-    train, test = place[:cut], place[cut:]
-    if not (0 < y[train].sum() < len(train)) or not (0 < y[test].sum() < len(test)):
-        train = test = place
-    net = Net([texts[k] for k in train])
-    net.train([texts[k] for k in train], y[train])
-    z = np.concatenate([net.logits(texts[k], np.array([0, len(texts[k])])) for k in test])
-    net.shift = _threshold(z, y[test])
-    net.scale = 4.0 / max(float(np.std(z)), 1e-3)
-    langs = np.array([rows[k].lang or "" for k in test], object)
-    s = 1 / (1 + np.exp(-np.clip((z - net.shift) * net.scale, -30, 30)))
-    for lang in sorted(set(langs) - {""}):
-        own = langs == lang
-        if y[test][own].sum() >= 10 and (1 - y[test][own]).sum() >= 10:
-            net.by_lang[lang] = _threshold(s[own], y[test][own])
+    split = all(seen.get((back, y)) for back in (False, True) for y in (0, 1))  # else the few rows there are do both
+    train, back = (rows.filter("NOT back"), rows.filter("back")) if split else (rows, rows)
+    n = sum(c for (kept_back, _), c in seen.items() if not (split and kept_back))
+    shards = -(-n // SHARD_ROWS)
+    train = train.withColumn("shard", F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(shards)))
+    net = Net(*_vocabulary(train, n))
+    first = train.agg(F.min("shard")).first()[0]
+    net.unpack(_trained(train.filter(F.col("shard") == first), net, EPOCHS))
+    if shards > 1:
+        net.unpack(_trained(train, copy.deepcopy(net), MORE_EPOCHS))
+    bins = _bins(back, net)
+    discard(rows)
+    z, bad, good = _classes(bins)
+    net.shift = _threshold(z, bad, good)
+    mean = np.average(z, weights=bad + good)
+    net.scale = 4.0 / max(float(np.sqrt(np.average((z - mean) ** 2, weights=bad + good))), 1e-3)
+    for lang in sorted({r.lang for r in bins} - {None, ""}):
+        z, bad, good = _classes([r for r in bins if r.lang == lang])
+        if bad.sum() >= 10 and good.sum() >= 10:
+            net.by_lang[lang] = _threshold(1 / (1 + np.exp(-np.clip((z - net.shift) * net.scale, -30, 30))), bad, good)
     return net
 
 

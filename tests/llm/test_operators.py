@@ -416,3 +416,23 @@ def test_licences(spark, docs, documents):
     assert edge[10] == (1, "mit") and edge[3] == (0, "") and len(edge) == 11
     plan = license_scan.scan(frame, scanner)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_toxicity_learns_from_every_labelled_row(spark, monkeypatch):
+    """A word that only some of many labelled rows hold is learnt wherever these rows lie."""
+    rng = random.Random(6)
+    plain = [f"w{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(60)]
+    rows = [(i, "en", " ".join(rng.choices(plain, k=12) + (["vile", "filth"] if i % 4 == 0 else [])), int(i % 4 == 0)) for i in range(1_200)]
+    frame = spark.createDataFrame(rows, "doc_id long, lang string, text string, toxic int").repartition(4)
+    monkeypatch.setattr(toxicity, "SHARD_ROWS", 150)
+    seen = []
+    trained = toxicity._trained
+    monkeypatch.setattr(toxicity, "_trained", lambda r, *a: seen.append((r.count(), r.select("shard").distinct().count())) or trained(r, *a))
+    net = toxicity.fit(frame.drop("toxic"), frame.select("doc_id", "toxic"))
+    labelled = frame.filter(~toxicity.held_out()).count()
+    n, shards = seen[-1]
+    assert shards > 3 and 0.6 * labelled < n < 0.74 * labelled  # the rest sets the threshold
+    got = toxicity.score(frame, net).join(frame.select("doc_id", "toxic"), "doc_id").filter("held_out").toPandas()
+    assert (got.predicted == got.toxic).mean() > 0.98
+    again = toxicity.fit(frame.drop("toxic").repartition(3), frame.select("doc_id", "toxic"))
+    assert (again.table == net.table).all() and again.shift == net.shift  # however the rows are dealt
