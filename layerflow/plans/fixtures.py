@@ -48,12 +48,12 @@ def tx(spark: SparkSession, sf_dir: str, row_id: bool = True) -> DataFrame:
     p = table(spark, sf_dir, "part")
     # orders meet their customers before the line items do, and the line items move twice at every size of the tables
     # (by order, by part); names come last, and rows sorted by part compress well when they are written
-    oc = o.join(c, o.o_custkey == c.c_custkey).select("o_orderkey", "o_orderdate", "c_custkey", "c_nationkey", "c_mktsegment")
+    oc = o.join(c, o.o_custkey == c.c_custkey).select("o_orderkey", F.trunc("o_orderdate", "MM").alias("_month"), "c_custkey", "c_nationkey", "c_mktsegment")
     j = (li.join(oc.hint("merge"), li.l_orderkey == oc.o_orderkey)
          .join(p.hint("merge"), li.l_partkey == p.p_partkey)
          .join(n, oc.c_nationkey == n.n_nationkey))
     cols = [
-        F.date_format("o_orderdate", "yyyy-MM").alias("month"),
+        F.date_format("_month", "yyyy-MM").alias("month"),
         F.col("n_name").alias("town"),
         F.col("c_mktsegment").alias("flat_type"),
         F.col("c_custkey").cast("string").alias("block"),

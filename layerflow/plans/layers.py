@@ -194,7 +194,7 @@ def tag_transformed(cleaned: DataFrame, spec: LayerSpec, reuse: Reuse = _same,
                     check_small: bool = False) -> DataFrame:
     """All cleaned rows with ``resale_identifier``, ``_identifier_valid`` and ``_outcome``."""
     with_id = with_identifier(cleaned, spec, check_small, reuse)
-    order = [spec.price, *spec.tiebreak, SURROGATE]
+    order = [spec.price, *spec.tiebreak, F.unhex(SURROGATE)]  # the digest's bytes order like its hex text, in half the space
     return identifier_outcome(dedup_tag(with_id, [IDENTIFIER], order, ROW_ID, flag="_is_winner", eligible=F.col(VALID_ID),
                                         reuse=reuse, check_small=check_small))
 
