@@ -197,7 +197,8 @@ def held_out() -> Column:
 def _labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, lang, text, toxic (0 or 1) of every labelled row that is not held out, and whether it is kept back for the threshold."""
     rows = labels.filter(~held_out() & F.col("toxic").isNotNull()).groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
-    rows = docs.select("doc_id", F.col("lang").cast("string"), text_or_empty().alias("text")).join(rows, "doc_id")
+    # joined alike at every size: the labels grow with the texts, so they are not broadcast
+    rows = docs.filter(~held_out()).select("doc_id", F.col("lang").cast("string"), text_or_empty().alias("text")).join(rows.hint("merge"), "doc_id")
     return written(rows.withColumn("back", F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(3)) == 0), "toxicity-rows")
 
 
