@@ -30,7 +30,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from layerflow.llm.common import BROADCAST_BYTES, crc32_sql, written
+from layerflow.llm.common import BROADCAST_BYTES, crc32_sql, discard, written
 from layerflow.llm.ordered import numbered
 
 FAN = 8
@@ -124,6 +124,8 @@ def climb(start: DataFrame, nodes: DataFrame, broadcast: bool) -> DataFrame:
         return written(spark.sql(query, start=start, nodes=nodes.select(*NODE)), "climb")
     finally:
         spark.conf.set(limit, before)
+        # the recursion keeps a shuffle of its own for each level, which Spark deletes once the driver has collected its frame
+        spark.sparkContext._jvm.System.gc()
 
 
 def manifest(docs: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
@@ -134,6 +136,7 @@ def manifest(docs: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFra
     changed = leaf_digest(columns | {"text": F.translate("text", CAPITALS, SMALL)})
     leaves = written(docs.select("doc_id", "lang", leaf.alias("leaf"), F.when(tampered, changed).alias("changed")), "leaves")
     placed = numbered(leaves, ["lang"], ["doc_id", "leaf"], "placed")
+    discard(leaves)
     counts = written(placed.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "langs")
     trees = numbered(counts, [], ["lang"], "trees").withColumnRenamed("_pos", "tree")
     n_trees = trees.count()
