@@ -1,11 +1,12 @@
 """Licence scans: a paragraph classifier on sparse word n-grams, confirmed against templates.
 
-A paragraph is a line with a word. Its features are hashed words and word pairs; a
+A paragraph is a line with a word. Its features are the words and word pairs that templates have; a
 multinomial logistic regression, trained here, tells the licence families and the class ``unknown``
 apart. Training rows are the templates below in several forms (whole, single sentences, with words left out)
-and a bounded sample of paragraphs from the corpus that share little with any template. On a
+and all paragraphs of the corpus that share no word pair with any template: those of equal features are one row
+with their number, so the regression has the features of the whole corpus but not its texts. On a
 third that is held back, the least probability is set at which a family may be named, so that
-no sampled paragraph without a licence is; below it the class is unknown. A named
+of the paragraphs without a licence (each counted) ``FALSE_NAMES`` at most are; below it the class is unknown. A named
 family is confirmed if the paragraph shares ``CONFIRM`` of the shorter one's word pairs with one of its templates, so
 paragraphs without any pair of a template are passed over before they are classified.
 
@@ -23,15 +24,14 @@ import re
 from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import HashingTF
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from layerflow.llm.common import text_or_empty, written
 
-SAMPLE_DOCS, SAMPLE_PARAGRAPHS = 2_000, 4_000  # bound of the corpus sample that stands for ``unknown``
-FEATURES = 1 << 13
+UNKNOWN_WEIGHT = 4_000.0  # weight of all paragraphs of the class ``unknown`` together, however many they are
 FALSE_NAMES = 0.005
 CONFIRM = 0.6
 UNKNOWN = "unknown"
@@ -115,20 +115,22 @@ def _pairs(w: Column) -> Column:
         F.array().cast("array<string>"))
 
 
-def _with_terms(rows: DataFrame) -> DataFrame:
-    """Adds pairs and the sparse feature vector of column ``text``."""
-    rows = rows.withColumn("_w", words(F.col("text")))
-    rows = rows.withColumn("pairs", _pairs(F.col("_w")))
-    rows = rows.withColumn("_t", F.concat("_w", "pairs")).drop("_w")
-    return HashingTF(numFeatures=FEATURES, binary=True, inputCol="_t", outputCol="features").transform(rows).drop("_t")
-
-
 def _plain_pairs(text: str) -> list[str]:
     """Word pairs of a template, without those of two common words."""
     w = [x for x in re.split(r"(?:[^\w.\-]|\.(?![0-9]))+", text.lower()) if x]
     return list(dict.fromkeys(f"{a} {b}" for a, b in zip(w, w[1:]) if not {a, b} <= COMMON))
 
 
+#: What a paragraph can share with a template: its words but the common ones, its pairs but those of two common words.
+TERM_PAIRS = sorted({p for ts in TEMPLATES.values() for t in ts for p in _plain_pairs(t)})
+TERM_WORDS = sorted({w for p in TERM_PAIRS for w in p.split(" ")} - COMMON)
+
+
+def _with_features(rows: DataFrame, terms: str) -> DataFrame:
+    """Adds the sparse feature vector of the terms (words, pairs) that templates have."""
+    return CountVectorizerModel.from_vocabulary(TERM_WORDS + TERM_PAIRS, inputCol=terms, outputCol="features").setBinary(True).transform(rows)
+
+
 def _strings(values: list[str]) -> Column:
     return F.array(*[F.lit(v) for v in values]).cast("array<string>")
 
@@ -148,7 +150,7 @@ def _confirmed(pairs: Column, family: str) -> Column:
 
 def _hint(pairs: Column) -> Column:
     """Whether a paragraph has any word pair of a template: none can be confirmed without."""
-    return F.arrays_overlap(pairs, _strings(sorted({p for ts in TEMPLATES.values() for t in ts for p in _plain_pairs(t)})))
+    return F.arrays_overlap(pairs, _strings(TERM_PAIRS))
 
 
 def paragraphs(docs: DataFrame) -> DataFrame:
@@ -157,24 +159,35 @@ def paragraphs(docs: DataFrame) -> DataFrame:
     return rows.filter(F.col("text").rlike(r"[\p{L}\p{N}]"))
 
 
+def _unknown(docs: DataFrame) -> DataFrame:
+    """terms, part, n: how many paragraphs without a word pair of a template have these terms, by thirds of the paragraphs."""
+    rows = paragraphs(docs).withColumn("_w", words(F.col("text")))
+    own = F.sort_array(F.array_distinct(F.filter("_w", lambda w: w.isin(TERM_WORDS))))
+    # explode of one value is a barrier: what stands before it is worked out once, not again inside a filter
+    rows = rows.select(F.pmod(F.xxhash64("text"), F.lit(3)).cast("int").alias("part"),
+                       F.explode(F.array(F.when(~_hint(_pairs(F.col("_w"))), own))).alias("terms")).filter("terms IS NOT NULL")
+    return rows.groupBy("terms", "part").agg(F.count(F.lit(1)).alias("n"))
+
+
 def train(docs: DataFrame) -> Scanner:
-    """Classifier from the templates and a bounded sample of the corpus."""
+    """Classifier from the templates and all paragraphs of the corpus that share no word pair with them."""
     spark = docs.sparkSession
     rows = [(LABELS.index(f), form, (n + k) % 3) for f, ts in TEMPLATES.items() for n, t in enumerate(ts)
             for k, form in enumerate(_forms(t, seed=100 * LABELS.index(f) + n))]
     # short templates are all there is of a licence: each is learnt, and none is in the held back third alone
     rows += [(LABELS.index(f), t, 1) for f, ts in TEMPLATES.items() for t in ts]
     rows += [(0, t, k % 3) for k, t in enumerate(OTHERS)]
-    known = _literals(spark, rows)
-    sample = docs.select("key", "text").orderBy("key").limit(SAMPLE_DOCS)
-    plain = paragraphs(sample).withColumn("_h", F.xxhash64("text")).orderBy("_h").limit(SAMPLE_PARAGRAPHS)
-    plain = plain.select("text", "_h", F.explode(F.array(_hint(_pairs(words(F.col("text")))))).alias("_near")).filter("NOT _near")
-    data = known.unionByName(plain.select(F.lit(0.0).alias("label"), "text", F.pmod("_h", F.lit(3)).cast("int").alias("part")))
-    data = written(_with_terms(data.withColumn("weight", F.when(F.col("label") > 0, 20.0).otherwise(1.0))).drop("pairs"), "licence-rows")
+    known = _literals(spark, rows).withColumn("_w", words(F.col("text"))).select(
+        "label", "part", F.concat("_w", _pairs(F.col("_w"))).alias("terms"), F.lit(1).cast("bigint").alias("n"),
+        F.when(F.col("label") > 0, 20.0).otherwise(1.0).alias("weight"))
+    plain = written(_unknown(docs), "unknown")
+    each = min(1.0, UNKNOWN_WEIGHT / (plain.agg(F.sum("n")).first()[0] or 1))
+    data = known.unionByName(plain.select(F.lit(0.0).alias("label"), "part", "terms", "n", (F.col("n") * each).alias("weight")))
+    data = written(_with_features(data, "terms").drop("terms"), "licence-rows")
     model = LogisticRegression(maxIter=30, regParam=1e-4, family="multinomial", weightCol="weight").fit(data.filter("part > 0 OR label > 0"))
     back = model.transform(data.filter("part = 0")).select(
-        "label", F.array_max(F.slice(vector_to_array("probability"), 2, len(LABELS))).alias("p"))
-    wrong = back.filter("label = 0").agg(F.percentile("p", F.lit(1 - FALSE_NAMES))).first()[0] or 0.0
+        "label", "n", F.array_max(F.slice(vector_to_array("probability"), 2, len(LABELS))).alias("p"))
+    wrong = back.filter("label = 0").agg(F.percentile("p", F.lit(1 - FALSE_NAMES), F.col("n"))).first()[0] or 0.0
     return Scanner(model, min(0.8, max(0.5, wrong)))
 
 
@@ -183,7 +196,8 @@ def scan_paragraphs(docs: DataFrame, scanner: Scanner) -> DataFrame:
     # explode of one value is a barrier: what stands before it is worked out once, not again inside a filter
     rows = paragraphs(docs).withColumn("_w", words(F.col("text"))).withColumn("_p", _pairs(F.col("_w")))
     rows = rows.select("key", "text", F.explode(F.array(F.when(_hint(F.col("_p")), F.col("_p")))).alias("pairs")).filter("pairs IS NOT NULL")
-    told = scanner.model.transform(_with_terms(rows.drop("pairs"))).select("key", "text", F.explode(F.array(F.struct(
+    told = rows.withColumn("_t", F.concat(words(F.col("text")), "pairs"))
+    told = scanner.model.transform(_with_features(told, "_t")).select("key", "text", F.explode(F.array(F.struct(
         "prediction", F.array_max(vector_to_array("probability")).alias("probability"), "pairs"))).alias("r")).select("key", "text", "r.*")
     named = told.filter((F.col("prediction") > 0) & (F.col("probability") >= scanner.least))
     sure = F.lit(False)
