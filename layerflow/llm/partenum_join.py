@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from layerflow.llm.common import ship_code, small, text_or_empty, written
+from layerflow.llm.common import discard, ship_code, small, text_or_empty, written
 from layerflow.llm.components import components
 from layerflow.llm.tokens import chunks, mix, spaces_table, windows, word_hashes
 
@@ -191,7 +191,9 @@ def _stars(shared: DataFrame) -> DataFrame:
     weights = written(shared.groupBy("node").agg(F.count(F.lit(1)).alias("weight")), "weights")
     best = shared.join(small(weights, 16), "node").groupBy("key").agg(F.max(F.struct("weight", "node")).alias("best"))
     rows = shared.join(best.select("key", F.col("best.node").alias("centre")), "key").filter("centre <> node")
-    return written(rows.groupBy("centre", "node").agg(F.count(F.lit(1)).alias("n")), "stars")
+    stars = written(rows.groupBy("centre", "node").agg(F.count(F.lit(1)).alias("n")), "stars")
+    discard(weights)
+    return stars
 
 
 def _compared(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -250,7 +252,9 @@ def similar_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
     ship_code(docs.sparkSession)
     docs = docs.select("doc_id", "text")
     sketches = _sketches(docs, words, percent)
-    edges = _stars(_shared(sketches.select("node", F.explode("signatures").alias("key"))))
+    shared = _shared(sketches.select("node", F.explode("signatures").alias("key")))
+    edges = _stars(shared)
+    discard(shared)
     labels = None
     if not edges.isEmpty():
         nodes = edges.select("node").unionByName(edges.select(F.col("centre").alias("node"))).distinct()
@@ -275,7 +279,9 @@ def _dealt(told: DataFrame, labels: DataFrame) -> DataFrame:
         "before", F.col("all") - F.count(F.lit(1)).over(Window.partitionBy("centre", "node")))
     rows = written(found.filter("before + at <= first").select(F.xxhash64("centre", "token").alias("key"), "node", "label"), "dealt")
     many = rows.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("key")
-    return written(rows.join(many, "key", "left_semi").distinct(), "buckets")
+    buckets = written(rows.join(many, "key", "left_semi").distinct(), "buckets")
+    discard(rows)
+    return buckets
 
 
 def _pairs_left(buckets: DataFrame) -> DataFrame | None:
