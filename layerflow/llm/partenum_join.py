@@ -11,8 +11,13 @@ Subsets in which a set has nothing are passed over while no more parts have one
 than there are spare parts: an agreeing part that is not empty remains then.
 
 Equal sets are one node. In each signature's bucket the members are compared with one of
-them only, the centre (a star, never all pairs): the one that shares the most buckets, which
-lies in the middle of a family. What remains is settled in turns. Let c be a centre and d(x) what x
+them first, the centre (a star): the one that shares the most buckets, which
+lies in the middle of a family. Whole sets are compared only if their marks allow a link: a mark is
+the parity of the number of elements in each of some cells, about one for each element, and |x ^ y| is at least
+the number of cells in which x and y differ. In buckets of at most ``LISTED`` members that are still in more than one component,
+the marks of members of different components are compared in the bucket's task, and only pairs that these let pass leave it.
+
+Larger buckets are never listed; they are settled in turns. Let c be a centre and d(x) what x
 adds to c or lacks of it, |d(x)| elements. For linked x and y, d(x) and d(y) share (|d(x)| + |d(y)| - |x ^ y|) / 2
 elements, and |x ^ y| is at most q (|x| + |y|), q = (100 - percent) / (100 + percent). If x and y are in different
 components yet, one of them, x say, is outside c's, so |d(x)| > q (|x| + |c|), and they share
@@ -35,6 +40,7 @@ empty table gives an empty result; other columns are not looked at.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +54,8 @@ from layerflow.llm.tokens import chunks, mix, spaces_table, windows, word_hashes
 WIDE_K = 24                  # from this many differences on, parts have two cells instead of three
 
 PAIRS_PER_ROW = 10           # pairs left for each row of the buckets, up to which they are compared one by one
+LISTED = 1000                # members of a bucket whose marks are compared pair by pair
+SLICES = 4                   # parts of the signatures that are dealt one after the other
 
 
 class Bands:
@@ -111,6 +119,43 @@ def signatures(sorted_set: np.ndarray, bands: Bands) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
+def mark(sorted_set: np.ndarray) -> np.ndarray:
+    """Parities of the elements' number in a power of two of cells, three for four elements or more, as words of 64 bits."""
+    cells = 64
+    while 4 * cells < 3 * len(sorted_set):
+        cells *= 2
+    at = (mix(sorted_set) >> np.uint64(8)) & np.uint64(cells - 1)
+    odd = np.bincount(at.astype(np.int64), minlength=cells) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.uint64)
+
+
+def _folded(marks: np.ndarray, words: int) -> np.ndarray:
+    """Marks (one in a row) on fewer cells."""
+    while marks.shape[1] > words:
+        half = marks.shape[1] // 2
+        marks = marks[:, :half] ^ marks[:, half:]
+    return marks
+
+
+def passing(sizes: np.ndarray, marks: list[np.ndarray], labels: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Pairs of members of different labels that may be linked by their sizes and marks."""
+    out = []
+    words = np.array([len(m) for m in marks])
+    for w in np.unique(words):
+        groups = [np.flatnonzero(words == v) for v in np.unique(words[words >= w])]
+        own, other = groups[0], np.concatenate(groups)
+        right = np.concatenate([_folded(np.stack([marks[k] for k in g]), w) for g in groups])
+        step = max(1, (1 << 19) // (len(other) * int(w)))
+        for a in range(0, len(own), step):
+            some = own[a:a + step]
+            least = np.bitwise_count(right[a:a + len(some), None, :] ^ right[None, :, :]).sum(axis=2, dtype=np.int64)  # own ones come first
+            both = sizes[some][:, None] + sizes[other][None, :]
+            may = (least * (100 + percent) <= (100 - percent) * both) & (labels[some][:, None] != labels[other][None, :])
+            may &= np.arange(a, a + len(some))[:, None] < np.arange(len(other))[None, :]
+            out += [(int(some[i]), int(other[j])) for i, j in np.argwhere(may)]
+    return out
+
+
 def shingle_sets(column: pa.Array, words: int) -> Iterator[np.ndarray]:
     """Sorted distinct shingle hashes of every text of a column."""
     table = spaces_table()
@@ -127,33 +172,34 @@ def _node(sorted_set: np.ndarray) -> int:
 
 
 def _sketches(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """doc_id, n_shingles, node (hash of the set; null without shingles) and its signatures.
+    """doc_id, n_shingles, node (hash of the set; null without shingles), its signatures and its mark.
 
-    Of equal sets in one task the first alone carries signatures.
+    Of equal sets in one task the first alone carries signatures and mark.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands, seen = Bands(percent), set()
         for batch in batches:
-            size, node, found = [], [], []
+            size, node, found, marks = [], [], [], []
             for one in shingle_sets(batch.column("text"), words):
                 size.append(len(one))
                 key = _node(one) if len(one) else None
                 node.append(key)
                 new = key is not None and key not in seen
                 found.append(signatures(one, bands).view(np.int64) if new else None)
+                marks.append(mark(one).tobytes() if new else None)
                 if new:
                     seen.add(key)
             flat = np.concatenate([np.zeros(0, np.int64), *[f for f in found if f is not None]])
             ends = np.concatenate([[0], np.cumsum([0 if f is None else len(f) for f in found])]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("text_hash"), pa.array(size, pa.int64()), pa.array(node, pa.int64()),
-                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))],
-                ["doc_id", "text_hash", "n_shingles", "node", "signatures"])
+                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat)), pa.array(marks, pa.binary())],
+                ["doc_id", "text_hash", "n_shingles", "node", "signatures", "mark"])
 
     kind = dict(docs.dtypes)["doc_id"]
     return written(docs.select("doc_id", text_or_empty().alias("text"), F.xxhash64(text_or_empty()).alias("text_hash")).mapInArrow(
-        run, f"doc_id {kind}, text_hash bigint, n_shingles bigint, node bigint, signatures array<bigint>"), "sketches")
+        run, f"doc_id {kind}, text_hash bigint, n_shingles bigint, node bigint, signatures array<bigint>, mark binary"), "sketches")
 
 
 def _sets(docs: DataFrame, sketches: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
@@ -180,10 +226,17 @@ def _sets(docs: DataFrame, sketches: DataFrame, nodes: DataFrame, words: int) ->
 
 
 def _shared(rows: DataFrame) -> DataFrame:
-    """Of buckets (key, node), those with two different nodes or more."""
+    """Of buckets (key, node), those with two different nodes or more; the keys are dealt in slices, one after the other."""
     group = Window.partitionBy("key")
-    both = rows.withColumn("lo", F.min("node").over(group)).withColumn("hi", F.max("node").over(group))
-    return written(both.filter("lo <> hi").select("key", "node"), "shared")
+    parts = []
+    for k in range(SLICES):
+        some = rows.filter(F.pmod("key", F.lit(SLICES)) == k)
+        both = some.withColumn("lo", F.min("node").over(group)).withColumn("hi", F.max("node").over(group))
+        # a node is in a bucket once for each task that saw it
+        parts.append(written(both.filter("lo <> hi").select("key", "node").distinct(), "slice"))
+    shared = written(reduce(DataFrame.unionByName, parts), "shared")
+    discard(*parts)
+    return shared
 
 
 def _stars(shared: DataFrame) -> DataFrame:
@@ -196,33 +249,76 @@ def _stars(shared: DataFrame) -> DataFrame:
     return stars
 
 
-def _compared(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """centre, node, linked, the elements in which they differ (tokens), and of how many of them one at least is shared with
-    whatever set the node is linked to: if the node is outside the centre's component (outer), or if that set is (inner)."""
+def _compared(edges: DataFrame, sets: DataFrame, percent: int, apart: bool = False) -> DataFrame:
+    """centre, node and linked; if asked for, also the elements in which they differ (tokens), and of how many of them one at least
+    is shared with whatever set the node is linked to: if the node is outside the centre's component (outer), or if that set is (inner)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             linked, tokens, outer, inner = [], [], [], []
             for one, two in zip(batch.column("left"), batch.column("right"), strict=True):
                 c, x = np.frombuffer(one.as_buffer(), np.uint64), np.frombuffer(two.as_buffer(), np.uint64)
-                apart = np.setxor1d(c, x, assume_unique=True)
-                differ, both = len(apart), len(c) + len(x)
+                differ = np.setxor1d(c, x, assume_unique=True)
+                tokens.append(differ.view(np.int64) if apart else None)
+                differ, both = len(differ), len(c) + len(x)
                 common = (both - differ) // 2
                 linked.append(100 * common >= percent * (differ + common))
-                tokens.append(apart.view(np.int64))
                 beyond = (100 + percent) * differ - (100 - percent) * both
                 outer.append(differ - max(1, -(-beyond // 200)) + 1)
                 least = ((100 + percent) * differ - (100 - percent) * (len(x) - len(c))) // (2 * (100 + percent)) + 1
                 inner.append(differ - max(1, least) + 1)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("centre"), batch.column("node"), pa.array(linked, pa.bool_()), pa.array(tokens, pa.list_(pa.int64())),
-                 pa.array(outer, pa.int32()), pa.array(inner, pa.int32())],
-                ["centre", "node", "linked", "tokens", "outer", "inner"])
+            columns = [batch.column("centre"), batch.column("node"), pa.array(linked, pa.bool_())]
+            names = ["centre", "node", "linked"]
+            if apart:
+                columns += [pa.array(tokens, pa.list_(pa.int64())), pa.array(outer, pa.int32()), pa.array(inner, pa.int32())]
+                names += ["tokens", "outer", "inner"]
+            yield pa.RecordBatch.from_arrays(columns, names)
 
     left = sets.select(F.col("node").alias("centre"), F.col("shingles").alias("left"))
     right = sets.select("node", F.col("shingles").alias("right"))
-    return written(edges.join(left, "centre").join(right, "node").mapInArrow(
-        run, "centre bigint, node bigint, linked boolean, tokens array<bigint>, outer int, inner int"), "compared")
+    return written(edges.select("centre", "node").join(left, "centre").join(right, "node").mapInArrow(
+        run, "centre bigint, node bigint, linked boolean" + (", tokens array<bigint>, outer int, inner int" if apart else "")), "compared")
+
+
+def _screened(edges: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
+    """The edges whose ends may be linked by their sizes and marks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for a, b, one, two in zip(*(batch.column(c).to_pylist() for c in ("_a", "_b", "_one", "_two")), strict=True):
+                c, x = np.frombuffer(one, np.uint64)[None, :], np.frombuffer(two, np.uint64)[None, :]
+                words = min(c.shape[1], x.shape[1])
+                least = int(np.bitwise_count(_folded(c, words) ^ _folded(x, words)).sum())
+                keep.append(least * (100 + percent) <= (100 - percent) * (a + b))
+            yield batch.filter(pa.array(keep, pa.bool_())).select(names)
+
+    names = edges.columns
+    left = marks.select(F.col("node").alias("centre"), F.col("size").alias("_a"), F.col("mark").alias("_one"))
+    right = marks.select("node", F.col("size").alias("_b"), F.col("mark").alias("_two"))
+    return written(edges.join(left, "centre").join(right, "node").mapInArrow(run, edges.schema), "screened")
+
+
+def _passing(buckets: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs (centre, node) of different labels in a bucket that may be linked."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found: set[tuple[int, int]] = set()
+            column = batch.column("members")
+            ends, rows = column.offsets.to_numpy(), column.values
+            node, label, size = (rows.field(c).to_numpy(zero_copy_only=False) for c in ("node", "label", "size"))
+            each = [np.frombuffer(m.as_buffer(), np.uint64) for m in rows.field("mark")]
+            for a, b in zip(ends[:-1], ends[1:], strict=True):
+                for i, j in passing(size[a:b], each[a:b], label[a:b], percent):
+                    one, two = int(node[a + i]), int(node[a + j])
+                    found.add((min(one, two), max(one, two)))
+            pairs = sorted(found)
+            yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.int64())], ["centre", "node"])
+
+    members = buckets.join(marks, "node").groupBy("key").agg(
+        F.collect_list(F.struct("node", "label", F.col("size").cast("bigint").alias("size"), "mark")).alias("members"))
+    return written(members.select("members").mapInArrow(run, "centre bigint, node bigint").distinct(), "passing")
 
 
 def _merged(labels: DataFrame | None, links: DataFrame) -> DataFrame:
@@ -251,18 +347,61 @@ def similar_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
     Jaccard similarity of percent / 100 or more of their sets of ``words``-word shingles."""
     ship_code(docs.sparkSession)
     docs = docs.select("doc_id", "text")
-    sketches = _sketches(docs, words, percent)
-    shared = _shared(sketches.select("node", F.explode("signatures").alias("key")))
-    edges = _stars(shared)
-    discard(shared)
+    whole = _sketches(docs, words, percent)
+    shared = _shared(whole.select("node", F.explode("signatures").alias("key")))
+    marks = whole.filter(F.col("mark").isNotNull()).select("node", F.col("n_shingles").alias("size"), "mark")
+    marks = written(marks.join(shared.select("node"), "node", "left_semi").dropDuplicates(["node"]), "marks")
+    sketches = written(whole.drop("signatures", "mark"), "nodes")
+    discard(whole)
+
+    def sets(edges: DataFrame) -> DataFrame:
+        nodes = edges.select("node").unionByName(edges.select(F.col("centre").alias("node"))).distinct()
+        return _sets(docs, sketches, small(written(nodes, "nodes"), 8), words)
+
     labels = None
+    edges = _screened(_stars(shared), marks, percent)
     if not edges.isEmpty():
-        nodes = edges.select("node").unionByName(edges.select(F.col("centre").alias("node"))).distinct()
-        sets = _sets(docs, sketches, small(written(nodes, "nodes"), 8), words)
-        labels = _linked(edges, sets, percent)
+        asked = sets(edges)
+        labels = _starred(edges, asked, percent)
+        discard(asked)
+    buckets, wide = _open(shared, labels)
+    discard(shared)
+    if not wide.isEmpty():
+        edges = _stars(wide.select("key", "node"))
+        labels = _linked(edges, sets(edges), marks, labels, percent)
+    pairs = _passing(buckets, marks, percent)
+    if not pairs.isEmpty():
+        labels = _merged(labels, _links(_compared(pairs, sets(pairs), percent)))
     return _shown(sketches, labels)
 
 
+def _links(compared: DataFrame) -> DataFrame:
+    return compared.filter("linked").select(F.col("centre").alias("a"), F.col("node").alias("b"))
+
+
+def _starred(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Labels of the nodes that the links among the edges join."""
+    # most members are settled by one comparison each
+    first = written(edges.groupBy("node").agg(F.max(F.struct("n", "centre")).alias("most")).select(F.col("most.centre").alias("centre"), "node"), "first")
+    labels = _merged(None, _links(_compared(first, sets, percent)))
+    rest = written(_cross(edges.join(first, ["centre", "node"], "left_anti"), labels), "rest")
+    return labels if rest.isEmpty() else _merged(labels, _links(_compared(rest, sets, percent)))
+
+
+def _open(shared: DataFrame, labels: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """Buckets (key, node, label) of two labels or more, one of those with the same members: those of at most ``LISTED`` members, and the others."""
+    if labels is None:
+        rows = shared.withColumn("label", F.col("node"))
+    else:
+        rows = shared.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
+    rows = written(rows, "labelled")
+    keys = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi"),
+                                   F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"))
+    keys = written(keys.filter("lo <> hi").groupBy("x", "y", "n").agg(F.min("key").alias("key")).select("key", "n"), "keys")
+    some = lambda which: rows.join(keys.filter(which).select("key"), "key", "left_semi")
+    return some(F.col("n") <= LISTED), written(some(F.col("n") > LISTED), "wide")
+
+
 def _dealt(told: DataFrame, labels: DataFrame) -> DataFrame:
     """Buckets (key, node, label) of different labels, by the first elements in which the members differ from their
     centre: elements of members outside the centre's component, those that the fewest of these have first."""
@@ -302,38 +441,30 @@ def _pairs_left(buckets: DataFrame) -> DataFrame | None:
     return outside.join(open_, "key").filter("label <> _own AND (label = main OR centre < node)").select("centre", "node").distinct()
 
 
-def _linked(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Labels of all nodes that links join, from the first stars on."""
-    links = lambda compared: compared.filter("linked").select(F.col("centre").alias("a"), F.col("node").alias("b"))
-    # most members are settled by one comparison each
-    first = written(edges.groupBy("node").agg(F.max(F.struct("n", "centre")).alias("most")).select(F.col("most.centre").alias("centre"), "node"), "first")
-    compared = _compared(first, sets, percent)
-    labels = _merged(None, links(compared))
-    done = compared
+def _linked(edges: DataFrame, sets: DataFrame, marks: DataFrame, labels: DataFrame | None, percent: int) -> DataFrame | None:
+    """Labels after joining all nodes that links join, from the first stars on."""
+    if labels is None:
+        labels = edges.select("node", F.col("node").alias("label")).limit(0)
     while True:
-        rest = written(_cross(edges.join(done.select("centre", "node"), ["centre", "node"], "left_anti").select("centre", "node"), labels), "rest")
+        rest = _screened(_cross(edges.select("centre", "node"), labels), marks, percent)
         if not rest.isEmpty():
-            compared = _compared(rest, sets, percent)
-            done = done.unionByName(compared)
-            labels = _merged(labels, links(compared))
+            labels = _merged(labels, _links(_compared(rest, sets, percent)))
         # centres with two members or more, one of which is not in the centre's component
-        apart = _cross(done.filter("NOT linked").select("centre", "node"), labels).select("centre").distinct()
+        apart = _cross(edges.select("centre", "node"), labels).select("centre").distinct()
         open_ = edges.join(written(apart, "apart"), "centre", "left_semi")
         many = open_.groupBy("centre").agg(F.count(F.lit(1)).alias("members")).filter("members > 1").select("centre")
         open_ = written(open_.join(many, "centre", "left_semi").select("centre", "node"), "open")
         if open_.isEmpty():
             return labels
-        missing = written(open_.join(done.select("centre", "node"), ["centre", "node"], "left_anti"), "missing")
-        if not missing.isEmpty():  # their differences are needed, though they are in the centre's component
-            done = done.unionByName(_compared(missing, sets, percent))
-        buckets = _dealt(done.join(open_, ["centre", "node"]), labels)
+        told = _compared(open_, sets, percent, apart=True)
+        buckets = _dealt(told, labels)
+        discard(told)
         pairs = _pairs_left(buckets)
         if pairs is not None:
-            last = _compared(written(pairs, "pairs"), sets, percent)
-            return _merged(labels, links(last))
-        edges = _stars(buckets.select("key", "node"))
+            last = _compared(_screened(written(pairs, "pairs"), marks, percent), sets, percent)
+            return _merged(labels, _links(last))
         # every turn starts from written tables, so plans stay short however many turns there are
-        done = written(done.join(edges, ["centre", "node"], "left_semi"), "done")
+        edges = _stars(buckets.select("key", "node"))
 
 
 def _shown(sketches: DataFrame, labels: DataFrame | None) -> DataFrame:

@@ -156,6 +156,43 @@ def test_components_through_rows_without_an_id(spark, monkeypatch, budget):
     assert rows(partenum_join.similar_components(df, 3, 90), "doc_id", "n_shingles", "component_id") == want
 
 
+@pytest.mark.parametrize("words,percent,listed", [(3, 90, 1), (5, 80, 1), (2, 70, 8)])
+def test_components_of_buckets_above_the_listed_size(spark, monkeypatch, words, percent, listed):
+    monkeypatch.setattr(partenum_join, "LISTED", listed)
+    pairs = edited(percent + 1)
+    df = spark.createDataFrame(pairs, "doc_id bigint, text string")
+    assert rows(partenum_join.similar_components(df, words, percent), "doc_id", "n_shingles", "component_id") == brute_components(pairs, words, percent)
+
+
+def test_texts_with_a_passage_in_common_are_not_told_apart_element_by_element(spark, monkeypatch):
+    """They share buckets, but no link: their marks show it, without writing or dealing what they differ in."""
+    def never(*_):
+        raise AssertionError("elements were dealt")
+
+    monkeypatch.setattr(partenum_join, "_dealt", never)
+    rng = random.Random(1)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    passage = [word() for _ in range(80)]
+    pairs = [(i, " ".join(passage + [word() for _ in range(120)])) for i in range(40)]
+    pairs += [(100 + i, f"{pairs[i][1]} more") for i in range(5)]
+    df = spark.createDataFrame(pairs, "doc_id bigint, text string")
+    assert rows(partenum_join.similar_components(df, 5, 80), "doc_id", "n_shingles", "component_id") == brute_components(pairs, 5, 80)
+
+
+def test_marks_never_bar_a_link():
+    rng = np.random.default_rng(3)
+    for size, percent in ((5, 60), (40, 80), (130, 80), (700, 90)):
+        base = rng.integers(0, 1 << 63, size, dtype=np.uint64)
+        sets = [np.unique(np.concatenate([base[rng.random(size) > f], rng.integers(0, 1 << 63, int(size * f), dtype=np.uint64)]))
+                for f in (0, 0.02, 0.05, 0.1, 0.2, 0.5, 0.9) for _ in range(3)]
+        labels = np.arange(len(sets)) % 5
+        got = partenum_join.passing(np.array([len(x) for x in sets]), [partenum_join.mark(x) for x in sets], labels, percent)
+        linked = {(i, j) for i in range(len(sets)) for j in range(i) if labels[i] != labels[j]
+                  and 100 * len(np.intersect1d(sets[i], sets[j])) >= percent * len(np.union1d(sets[i], sets[j]))}
+        assert len(got) == len(set(got)) and linked <= {(max(p), min(p)) for p in got}
+        assert size < 100 or len(got) < len(sets) * (len(sets) - 1) // 2 * 0.8
+
+
 # ---------------------------------------------------------------- quality rules
 
 def test_quality_order_does_not_change_verdicts(docs):
