@@ -16,9 +16,9 @@ def components(links: DataFrame) -> DataFrame:
     path. Least labels are combined on the map side, so a node with a third of all
     links is no hot group. Rounds are written to the shared folder.
     """
-    links = links.filter("a <> b")
-    both = written(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
-    labels = written(both.groupBy("a").agg(F.min("b").alias("least")).select(F.col("a").alias("node"), F.least("a", "least").alias("label")), "labels")
+    ends = F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
+    both = written(links.filter("a <> b").select(F.inline(ends)).distinct(), "links")
+    labels = both.groupBy("a").agg(F.min("b").alias("least")).select(F.col("a").alias("node"), F.least("a", "least").alias("label"))
     while True:
         near = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy("a").agg(F.min("label").alias("least"))
         hop = labels.select(F.col("node").alias("label"), F.col("label").alias("next"))

@@ -24,7 +24,7 @@ components yet, one of them, x say, is outside c's, so |d(x)| > q (|x| + |c|), a
 more than (|d(y)| - q (|y| - |c|)) / 2 elements and at least (|d(x)| - q (|x| + |c|)) / (1 + q).
 So x and y share one of the first few elements of each, in any order common to all (a prefix
 filter); here those come first that the fewest outside members have, and elements that none of these has are
-not dealt at all. Buckets by centre and element are the next turn's; those whose
+not dealt at all. Buckets by centre and element that can be listed are listed as above, larger ones are the next turn's; those whose
 members are in one component already are left out. It ends when no bucket is left, and loses no link between components.
 Every compared pair is checked on whole sets.
 
@@ -55,7 +55,8 @@ WIDE_K = 24                  # from this many differences on, parts have two cel
 
 PAIRS_PER_ROW = 10           # pairs left for each row of the buckets, up to which they are compared one by one
 LISTED = 1000                # members of a bucket whose marks are compared pair by pair
-SLICES = 4                   # parts of the signatures that are dealt one after the other
+SLICES = 4                   # parts of the signatures, at most, that are dealt one after the other
+SLICE_ROWS = 5_000_000       # signatures up to which one more part is not worth its jobs
 
 
 class Bands:
@@ -202,12 +203,18 @@ def _sketches(docs: DataFrame, words: int, percent: int) -> DataFrame:
         run, f"doc_id {kind}, text_hash bigint, n_shingles bigint, node bigint, signatures array<bigint>, mark binary"), "sketches")
 
 
-def _sets(docs: DataFrame, sketches: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
-    """node and its shingles (binary, sorted uint64), for the given nodes: from the text of one row of each."""
-    rows = sketches.filter(F.col("node").isNotNull()).join(nodes, "node", "left_semi")
+def _marks(whole: DataFrame, shared: DataFrame) -> DataFrame:
+    """node, its size and mark, and the row that stands for it (_id, _hash), for the nodes in a shared bucket."""
     # named by doc_id and text: rows without a doc_id share its null, and nodes of such rows alone have a set too
-    row = F.min(F.struct(F.col("doc_id").isNull().alias("bare"), "doc_id", "text_hash")).alias("row")
-    one = written(rows.groupBy("node").agg(row).select("node", F.col("row.doc_id").alias("_id"), F.col("row.text_hash").alias("_hash")), "representatives")
+    row = F.min(F.struct(F.col("doc_id").isNull().alias("bare"), "doc_id", "text_hash", "n_shingles", "mark")).alias("row")
+    one = whole.filter(F.col("mark").isNotNull()).groupBy("node").agg(row).join(shared.select("node").distinct(), "node", "left_semi")
+    return written(one.select("node", F.col("row.n_shingles").alias("size"), "row.mark",
+                              F.col("row.doc_id").alias("_id"), F.col("row.text_hash").alias("_hash")), "marks")
+
+
+def _sets(docs: DataFrame, marks: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
+    """node and its shingles (binary, sorted uint64), for the given nodes: from the text of one row of each."""
+    one = written(marks.select("node", "_id", "_hash").join(nodes, "node", "left_semi"), "representatives")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -225,18 +232,17 @@ def _sets(docs: DataFrame, sketches: DataFrame, nodes: DataFrame, words: int) ->
     return written(asked.mapInArrow(run, "node bigint, shingles binary").dropDuplicates(["node"]), "sets")
 
 
-def _shared(rows: DataFrame) -> DataFrame:
-    """Of buckets (key, node), those with two different nodes or more; the keys are dealt in slices, one after the other."""
+def _shared(rows: DataFrame, slices: int) -> tuple[DataFrame, list[DataFrame]]:
+    """Of buckets (key, node), those with two different nodes or more, and the written tables that hold them:
+    the keys are dealt in slices, one after the other."""
     group = Window.partitionBy("key")
     parts = []
-    for k in range(SLICES):
-        some = rows.filter(F.pmod("key", F.lit(SLICES)) == k)
+    for k in range(slices):
+        some = rows.filter(F.pmod("key", F.lit(slices)) == k)
         both = some.withColumn("lo", F.min("node").over(group)).withColumn("hi", F.max("node").over(group))
         # a node is in a bucket once for each task that saw it
         parts.append(written(both.filter("lo <> hi").select("key", "node").distinct(), "slice"))
-    shared = written(reduce(DataFrame.unionByName, parts), "shared")
-    discard(*parts)
-    return shared
+    return reduce(DataFrame.unionByName, parts), parts
 
 
 def _stars(shared: DataFrame) -> DataFrame:
@@ -244,9 +250,7 @@ def _stars(shared: DataFrame) -> DataFrame:
     weights = written(shared.groupBy("node").agg(F.count(F.lit(1)).alias("weight")), "weights")
     best = shared.join(small(weights, 16), "node").groupBy("key").agg(F.max(F.struct("weight", "node")).alias("best"))
     rows = shared.join(best.select("key", F.col("best.node").alias("centre")), "key").filter("centre <> node")
-    stars = written(rows.groupBy("centre", "node").agg(F.count(F.lit(1)).alias("n")), "stars")
-    discard(weights)
-    return stars
+    return rows.groupBy("centre", "node").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _compared(edges: DataFrame, sets: DataFrame, percent: int, apart: bool = False) -> DataFrame:
@@ -316,7 +320,7 @@ def _passing(buckets: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
             pairs = sorted(found)
             yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.int64())], ["centre", "node"])
 
-    members = buckets.join(marks, "node").groupBy("key").agg(
+    members = buckets.join(marks.select("node", "size", "mark"), "node").groupBy("key").agg(
         F.collect_list(F.struct("node", "label", F.col("size").cast("bigint").alias("size"), "mark")).alias("members"))
     return written(members.select("members").mapInArrow(run, "centre bigint, node bigint").distinct(), "passing")
 
@@ -328,7 +332,7 @@ def _merged(labels: DataFrame | None, links: DataFrame) -> DataFrame:
     end = lambda c: labels.select(F.col("node").alias(c), F.col("label").alias(f"_{c}"))
     between = links.join(end("a"), "a", "left").join(end("b"), "b", "left").select(
         F.coalesce("_a", "a").alias("a"), F.coalesce("_b", "b").alias("b")).filter("a <> b").distinct()
-    found = components(written(between, "between"))
+    found = components(between)
     moved = labels.join(found.select(F.col("node").alias("label"), F.col("label").alias("_new")), "label", "left").select(
         "node", F.coalesce("_new", "label").alias("label"))
     fresh = found.join(labels, "node", "left_anti").select("node", "label")
@@ -348,15 +352,15 @@ def similar_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
     ship_code(docs.sparkSession)
     docs = docs.select("doc_id", "text")
     whole = _sketches(docs, words, percent)
-    shared = _shared(whole.select("node", F.explode("signatures").alias("key")))
-    marks = whole.filter(F.col("mark").isNotNull()).select("node", F.col("n_shingles").alias("size"), "mark")
-    marks = written(marks.join(shared.select("node"), "node", "left_semi").dropDuplicates(["node"]), "marks")
+    signed = whole.filter(F.col("mark").isNotNull()).agg(F.sum(F.size("signatures"))).first()[0] or 0
+    shared, slices = _shared(whole.select("node", F.explode("signatures").alias("key")), min(SLICES, max(1, -(-signed // SLICE_ROWS))))
+    marks = _marks(whole, shared)
     sketches = written(whole.drop("signatures", "mark"), "nodes")
     discard(whole)
 
     def sets(edges: DataFrame) -> DataFrame:
         nodes = edges.select("node").unionByName(edges.select(F.col("centre").alias("node"))).distinct()
-        return _sets(docs, sketches, small(written(nodes, "nodes"), 8), words)
+        return _sets(docs, marks, nodes, words)
 
     labels = None
     edges = _screened(_stars(shared), marks, percent)
@@ -365,9 +369,9 @@ def similar_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
         labels = _starred(edges, asked, percent)
         discard(asked)
     buckets, wide = _open(shared, labels)
-    discard(shared)
-    if not wide.isEmpty():
-        edges = _stars(wide.select("key", "node"))
+    discard(*slices)
+    if wide is not None:
+        edges = written(_stars(wide.select("key", "node")), "stars")
         labels = _linked(edges, sets(edges), marks, labels, percent)
     pairs = _passing(buckets, marks, percent)
     if not pairs.isEmpty():
@@ -382,14 +386,14 @@ def _links(compared: DataFrame) -> DataFrame:
 def _starred(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Labels of the nodes that the links among the edges join."""
     # most members are settled by one comparison each
-    first = written(edges.groupBy("node").agg(F.max(F.struct("n", "centre")).alias("most")).select(F.col("most.centre").alias("centre"), "node"), "first")
+    first = edges.groupBy("node").agg(F.max(F.struct("n", "centre")).alias("most")).select(F.col("most.centre").alias("centre"), "node")
     labels = _merged(None, _links(_compared(first, sets, percent)))
-    rest = written(_cross(edges.join(first, ["centre", "node"], "left_anti"), labels), "rest")
-    return labels if rest.isEmpty() else _merged(labels, _links(_compared(rest, sets, percent)))
+    rest = _links(_compared(_cross(edges.join(first, ["centre", "node"], "left_anti"), labels), sets, percent))
+    return labels if rest.isEmpty() else _merged(labels, rest)
 
 
-def _open(shared: DataFrame, labels: DataFrame | None) -> tuple[DataFrame, DataFrame]:
-    """Buckets (key, node, label) of two labels or more, one of those with the same members: those of at most ``LISTED`` members, and the others."""
+def _open(shared: DataFrame, labels: DataFrame | None) -> tuple[DataFrame, DataFrame | None]:
+    """Buckets (key, node, label) of two labels or more, one of those with the same members: those of at most ``LISTED`` members, and the others, if any."""
     if labels is None:
         rows = shared.withColumn("label", F.col("node"))
     else:
@@ -399,7 +403,8 @@ def _open(shared: DataFrame, labels: DataFrame | None) -> tuple[DataFrame, DataF
                                    F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"))
     keys = written(keys.filter("lo <> hi").groupBy("x", "y", "n").agg(F.min("key").alias("key")).select("key", "n"), "keys")
     some = lambda which: rows.join(keys.filter(which).select("key"), "key", "left_semi")
-    return some(F.col("n") <= LISTED), written(some(F.col("n") > LISTED), "wide")
+    large = F.col("n") > LISTED
+    return some(~large), None if keys.filter(large).isEmpty() else written(some(large), "wide")
 
 
 def _dealt(told: DataFrame, labels: DataFrame) -> DataFrame:
@@ -459,12 +464,20 @@ def _linked(edges: DataFrame, sets: DataFrame, marks: DataFrame, labels: DataFra
         told = _compared(open_, sets, percent, apart=True)
         buckets = _dealt(told, labels)
         discard(told)
-        pairs = _pairs_left(buckets)
+        # a turn deals each member to many buckets, so those that can be listed end here
+        listed, wide = _open(buckets.select("key", "node"), labels)
+        found = _passing(listed, marks, percent)
+        discard(buckets)
+        if not found.isEmpty():
+            labels = _merged(labels, _links(_compared(found, sets, percent)))
+        if wide is None:
+            return labels
+        pairs = _pairs_left(wide)
         if pairs is not None:
             last = _compared(_screened(written(pairs, "pairs"), marks, percent), sets, percent)
             return _merged(labels, _links(last))
         # every turn starts from written tables, so plans stay short however many turns there are
-        edges = _stars(buckets.select("key", "node"))
+        edges = written(_stars(wide.select("key", "node")), "stars")
 
 
 def _shown(sketches: DataFrame, labels: DataFrame | None) -> DataFrame:

@@ -164,6 +164,28 @@ def test_components_of_buckets_above_the_listed_size(spark, monkeypatch, words,
     assert rows(partenum_join.similar_components(df, words, percent), "doc_id", "n_shingles", "component_id") == brute_components(pairs, words, percent)
 
 
+def test_each_turn_lists_its_small_buckets(spark, monkeypatch):
+    """A turn deals each member to many buckets: small ones are listed, or the rows of the turns grow."""
+    turns, deal, lists, passing = [], partenum_join._dealt, [], partenum_join._passing
+    monkeypatch.setattr(partenum_join, "_dealt", lambda *a: turns.append(1) or deal(*a))
+    monkeypatch.setattr(partenum_join, "_passing", lambda *a: lists.append(1) or passing(*a))
+    monkeypatch.setattr(partenum_join, "LISTED", 15)
+    monkeypatch.setattr(partenum_join, "PAIRS_PER_ROW", 0)
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(80)]
+    pairs = []
+    for d in range(40):
+        copy = list(base)
+        for k in rng.sample(range(80), 5):
+            copy[k] = f"x{d}-{k}"
+        pairs.append((d, " ".join(copy)))
+        if d % 10 == 0:
+            pairs.append((100 + d, " ".join(copy) + " end"))
+    df = spark.createDataFrame(pairs, "doc_id bigint, text string")
+    assert rows(partenum_join.similar_components(df, 2, 80), "doc_id", "n_shingles", "component_id") == brute_components(pairs, 2, 80)
+    assert turns and len(lists) == len(turns) + 1
+
+
 def test_texts_with_a_passage_in_common_are_not_told_apart_element_by_element(spark, monkeypatch):
     """They share buckets, but no link: their marks show it, without writing or dealing what they differ in."""
     def never(*_):
