@@ -13,9 +13,10 @@ than there are spare parts: an agreeing part that is not empty remains then.
 Equal sets are one node. In each signature's bucket the members are compared with one of
 them first, the centre (a star): the one that shares the most buckets, which
 lies in the middle of a family. Whole sets are compared only if their marks allow a link: a mark is
-the parity of the number of elements in each of some cells, about one for each element, and |x ^ y| is at least
+the parity of the number of elements in each of some cells, about two for each element, and |x ^ y| is at least
 the number of cells in which x and y differ. In buckets of at most ``LISTED`` members that are still in more than one component,
 the marks of members of different components are compared in the bucket's task, and only pairs that these let pass leave it.
+Buckets of at most ``PAIRS_PER_ROW`` times ``MARKS_PER_PAIR`` members are cut into blocks of about ``BLOCK``, and a task compares the marks of two blocks.
 
 Larger buckets are never listed; they are settled in turns. Let c be a centre and d(x) what x
 adds to c or lacks of it, |d(x)| elements. For linked x and y, d(x) and d(y) share (|d(x)| + |d(y)| - |x ^ y|) / 2
@@ -55,6 +56,8 @@ WIDE_K = 24                  # from this many differences on, parts have two cel
 
 PAIRS_PER_ROW = 10           # pairs left for each row of the buckets, up to which they are compared one by one
 LISTED = 1000                # members of a bucket whose marks are compared pair by pair
+BLOCK = 4000                 # members of a block of a larger bucket, about
+MARKS_PER_PAIR = 5000        # comparisons of marks that take the time of a comparison of whole sets
 SLICES = 4                   # parts of the signatures, at most, that are dealt one after the other
 SLICE_ROWS = 5_000_000       # signatures up to which one more part is not worth its jobs
 
@@ -121,9 +124,9 @@ def signatures(sorted_set: np.ndarray, bands: Bands) -> np.ndarray:
 
 
 def mark(sorted_set: np.ndarray) -> np.ndarray:
-    """Parities of the elements' number in a power of two of cells, three for four elements or more, as words of 64 bits."""
+    """Parities of the elements' number in a power of two of cells, three for two elements or more, as words of 64 bits."""
     cells = 64
-    while 4 * cells < 3 * len(sorted_set):
+    while 2 * cells < 3 * len(sorted_set):
         cells *= 2
     at = (mix(sorted_set) >> np.uint64(8)) & np.uint64(cells - 1)
     odd = np.bincount(at.astype(np.int64), minlength=cells) & 1
@@ -138,22 +141,40 @@ def _folded(marks: np.ndarray, words: int) -> np.ndarray:
     return marks
 
 
-def passing(sizes: np.ndarray, marks: list[np.ndarray], labels: np.ndarray, percent: int) -> list[tuple[int, int]]:
-    """Pairs of members of different labels that may be linked by their sizes and marks."""
+def _near(a: tuple[np.ndarray, np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray, np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places (in a, in b) of the members of different labels that may be linked, for (sizes, marks of one width, labels)."""
+    (m, one, p), (n, two, q) = a, b
+    half = (one.shape[1] + 1) // 2
+    # most pairs are told apart by half of their cells
+    least = np.zeros((len(m), len(n)), np.int32)
+    for w in range(half):
+        least += np.bitwise_count(one[:, w, None] ^ two[None, :, w])
+    i, j = np.nonzero((least * (100 + percent) <= (100 - percent) * (m[:, None] + n[None, :])) & (p[:, None] != q[None, :]))
+    least = least[i, j] + np.bitwise_count(one[i, half:] ^ two[j, half:]).sum(axis=1, dtype=np.int64)
+    may = least * (100 + percent) <= (100 - percent) * (m[i] + n[j])
+    return i[may], j[may]
+
+
+def passing(sizes: np.ndarray, marks: list[np.ndarray], labels: np.ndarray, percent: int, second: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """Pairs of members of different labels that may be linked by their sizes and marks: all, or those of a member outside and one in ``second``."""
     out = []
     words = np.array([len(m) for m in marks])
-    for w in np.unique(words):
-        groups = [np.flatnonzero(words == v) for v in np.unique(words[words >= w])]
-        own, other = groups[0], np.concatenate(groups)
-        right = np.concatenate([_folded(np.stack([marks[k] for k in g]), w) for g in groups])
-        step = max(1, (1 << 19) // (len(other) * int(w)))
-        for a in range(0, len(own), step):
-            some = own[a:a + step]
-            least = np.bitwise_count(right[a:a + len(some), None, :] ^ right[None, :, :]).sum(axis=2, dtype=np.int64)  # own ones come first
-            both = sizes[some][:, None] + sizes[other][None, :]
-            may = (least * (100 + percent) <= (100 - percent) * both) & (labels[some][:, None] != labels[other][None, :])
-            may &= np.arange(a, a + len(some))[:, None] < np.arange(len(other))[None, :]
-            out += [(int(some[i]), int(other[j])) for i, j in np.argwhere(may)]
+    side = np.zeros(len(marks), bool) if second is None else second
+    stacked = {(w, s): (at := np.flatnonzero((words == w) & (side == s)), np.stack([marks[k] for k in at]))
+               for w, s in sorted({(int(w), bool(s)) for w, s in zip(words, side, strict=True)})}
+    for (v, s), (own, left) in stacked.items():
+        for (w, t), (other, right) in stacked.items():
+            if (s or not t) if second is not None else v > w:
+                continue
+            one, two = _folded(left, min(v, w)), np.asfortranarray(_folded(right, min(v, w)))
+            step = max(1, (1 << 18) // len(other))
+            for a in range(0, len(own), step):
+                some = own[a:a + step]
+                far = a if second is None and v == w else 0  # of one group, those before are compared already
+                i, j = _near((sizes[some], one[a:a + step], labels[some]), (sizes[other[far:]], two[far:], labels[other[far:]]), percent)
+                if second is None and v == w:
+                    i, j = i[i < j], j[i < j]
+                out += zip(some[i].tolist(), other[far:][j].tolist(), strict=True)
     return out
 
 
@@ -303,8 +324,18 @@ def _screened(edges: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
     return written(edges.join(left, "centre").join(right, "node").mapInArrow(run, edges.schema), "screened")
 
 
-def _passing(buckets: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs (centre, node) of different labels in a bucket that may be linked."""
+def _pairs(node: np.ndarray, found: list[tuple[int, int]]) -> set[tuple[int, int]]:
+    return {(min(a, b), max(a, b)) for a, b in ((int(node[i]), int(node[j])) for i, j in found)}
+
+
+def _pair_batch(pairs: set[tuple[int, int]]) -> pa.RecordBatch:
+    rows = sorted(pairs)
+    return pa.RecordBatch.from_arrays([pa.array([p[0] for p in rows], pa.int64()), pa.array([p[1] for p in rows], pa.int64())], ["centre", "node"])
+
+
+def _passing(listed: DataFrame, blocked: DataFrame | None, marks: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs (centre, node) of different labels in a bucket that may be linked. Each pair of blocks of a ``blocked`` bucket
+    (key, node, label, n) is a group, so no task holds more than two blocks, and a large bucket is many tasks' work."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -314,15 +345,25 @@ def _passing(buckets: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
             node, label, size = (rows.field(c).to_numpy(zero_copy_only=False) for c in ("node", "label", "size"))
             each = [np.frombuffer(m.as_buffer(), np.uint64) for m in rows.field("mark")]
             for a, b in zip(ends[:-1], ends[1:], strict=True):
-                for i, j in passing(size[a:b], each[a:b], label[a:b], percent):
-                    one, two = int(node[a + i]), int(node[a + j])
-                    found.add((min(one, two), max(one, two)))
-            pairs = sorted(found)
-            yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.int64())], ["centre", "node"])
-
-    members = buckets.join(marks.select("node", "size", "mark"), "node").groupBy("key").agg(
-        F.collect_list(F.struct("node", "label", F.col("size").cast("bigint").alias("size"), "mark")).alias("members"))
-    return written(members.select("members").mapInArrow(run, "centre bigint, node bigint").distinct(), "passing")
+                found |= _pairs(node[a:b], passing(size[a:b], each[a:b], label[a:b], percent))
+            yield _pair_batch(found)
+
+    def run_blocks(group: pa.Table) -> pa.Table:
+        node, label, size, block = (group.column(c).to_numpy() for c in ("node", "label", "size", "block"))
+        each = [np.frombuffer(m.as_buffer(), np.uint64) for m in group.column("mark")]
+        second = block == group.column("j")[0].as_py() if group.column("i")[0] != group.column("j")[0] else None
+        return pa.Table.from_batches([_pair_batch(_pairs(node, passing(size, each, label, percent, second)))])
+
+    told = marks.select("node", F.col("size").cast("bigint").alias("size"), "mark")
+    members = listed.join(told, "node").groupBy("key").agg(F.collect_list(F.struct("node", "label", "size", "mark")).alias("members"))
+    pairs = members.select("members").mapInArrow(run, "centre bigint, node bigint")
+    if blocked is not None:
+        blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+        dealt = blocked.join(told, "node").withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int")).withColumn(
+            "other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+        dealt = dealt.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "label", "size", "mark")
+        pairs = pairs.unionByName(dealt.groupBy("key", "i", "j").applyInArrow(run_blocks, "centre bigint, node bigint"))
+    return written(pairs.distinct(), "passing")
 
 
 def _merged(labels: DataFrame | None, links: DataFrame) -> DataFrame:
@@ -368,12 +409,12 @@ def similar_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
         asked = sets(edges)
         labels = _starred(edges, asked, percent)
         discard(asked)
-    buckets, wide = _open(shared, labels)
+    buckets, blocked, wide = _open(shared, labels)
     discard(*slices)
     if wide is not None:
         edges = written(_stars(wide.select("key", "node")), "stars")
         labels = _linked(edges, sets(edges), marks, labels, percent)
-    pairs = _passing(buckets, marks, percent)
+    pairs = _passing(buckets, blocked, marks, percent)
     if not pairs.isEmpty():
         labels = _merged(labels, _links(_compared(pairs, sets(pairs), percent)))
     return _shown(sketches, labels)
@@ -392,8 +433,9 @@ def _starred(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return labels if rest.isEmpty() else _merged(labels, rest)
 
 
-def _open(shared: DataFrame, labels: DataFrame | None) -> tuple[DataFrame, DataFrame | None]:
-    """Buckets (key, node, label) of two labels or more, one of those with the same members: those of at most ``LISTED`` members, and the others, if any."""
+def _open(shared: DataFrame, labels: DataFrame | None) -> tuple[DataFrame, DataFrame | None, DataFrame | None]:
+    """Buckets (key, node, label) of two labels or more, one of those with the same members: those of at most ``LISTED`` members, those
+    that are compared by blocks (with n, their members), if any, and the others, if any."""
     if labels is None:
         rows = shared.withColumn("label", F.col("node"))
     else:
@@ -403,8 +445,11 @@ def _open(shared: DataFrame, labels: DataFrame | None) -> tuple[DataFrame, DataF
                                    F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"))
     keys = written(keys.filter("lo <> hi").groupBy("x", "y", "n").agg(F.min("key").alias("key")).select("key", "n"), "keys")
     some = lambda which: rows.join(keys.filter(which).select("key"), "key", "left_semi")
-    large = F.col("n") > LISTED
-    return some(~large), None if keys.filter(large).isEmpty() else written(some(large), "wide")
+    n = F.col("n")
+    large = n > max(LISTED, PAIRS_PER_ROW * MARKS_PER_PAIR)
+    blocked = keys.filter((n > LISTED) & ~large)
+    return (some(n <= LISTED), None if blocked.isEmpty() else rows.join(blocked, "key"),
+            None if keys.filter(large).isEmpty() else written(some(large), "wide"))
 
 
 def _dealt(told: DataFrame, labels: DataFrame) -> DataFrame:
@@ -465,8 +510,8 @@ def _linked(edges: DataFrame, sets: DataFrame, marks: DataFrame, labels: DataFra
         buckets = _dealt(told, labels)
         discard(told)
         # a turn deals each member to many buckets, so those that can be listed end here
-        listed, wide = _open(buckets.select("key", "node"), labels)
-        found = _passing(listed, marks, percent)
+        listed, blocked, wide = _open(buckets.select("key", "node"), labels)
+        found = _passing(listed, blocked, marks, percent)
         discard(buckets)
         if not found.isEmpty():
             labels = _merged(labels, _links(_compared(found, sets, percent)))

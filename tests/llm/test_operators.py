@@ -186,6 +186,23 @@ def test_each_turn_lists_its_small_buckets(spark, monkeypatch):
     assert turns and len(lists) == len(turns) + 1
 
 
+@pytest.mark.parametrize("block", [12, 100])
+def test_large_buckets_are_compared_by_blocks_of_marks(spark, monkeypatch, block):
+    """Texts that share half of what they have meet in large buckets without a link: what they differ in is neither written nor dealt."""
+    def never(*_):
+        raise AssertionError("elements were dealt")
+
+    monkeypatch.setattr(partenum_join, "_dealt", never)
+    monkeypatch.setattr(partenum_join, "LISTED", 10)
+    monkeypatch.setattr(partenum_join, "BLOCK", block)
+    rng = random.Random(2)
+    passage = [f"p{rng.randrange(10**6)}" for _ in range(60)]
+    pairs = [(i, " ".join(passage + [f"w{rng.randrange(10**6)}" for _ in range(40)])) for i in range(40)]
+    pairs += [(100 + i, f"{pairs[i][1]} more") for i in range(0, 40, 7)] + [(200 + i, f"one {pairs[i][1]} more") for i in range(0, 40, 7)]
+    df = spark.createDataFrame(pairs, "doc_id bigint, text string")
+    assert rows(partenum_join.similar_components(df, 2, 80), "doc_id", "n_shingles", "component_id") == brute_components(pairs, 2, 80)
+
+
 def test_texts_with_a_passage_in_common_are_not_told_apart_element_by_element(spark, monkeypatch):
     """They share buckets, but no link: their marks show it, without writing or dealing what they differ in."""
     def never(*_):
