@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import glob
 import os
 import random
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from layerflow.operators.dedup import losers
 from layerflow.operators.setops import partition_check
 from layerflow.plans import fixtures, layers as L
-from layerflow.plans.run import Runner
+from layerflow.plans import q_sources
+from layerflow.plans.run import GateError, REASON, Runner
 from layerflow.sources.store import TableStore
 from tests.test_delta_layers import COLUMNS, MONTHS, SPEC, frame, same, transactions
 
@@ -75,3 +78,33 @@ def test_partition_check_counts_differences_row_by_row(spark, capsys):
 def test_line_items_are_joined_alike_at_every_size(spark):
     plan = fixtures.tx(spark, "/root/testdata/sf0.001", row_id=False)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("SortMergeJoin [l_orderkey") == 1 and plan.count("SortMergeJoin [l_partkey") == 1
+
+
+def test_a_layer_that_the_gate_stops_is_not_written_twice(spark, scratch):
+    """Its rows go to quarantine where they were staged, with the gate's reason; later appends leave that reason alone."""
+    root = os.path.join(scratch, "s")
+    store = TableStore(spark, root)
+    with pytest.raises(GateError) as stopped:
+        Runner(spark, store, SPEC).raw(frame(spark, transactions(3, 40, ["BEDOK"], MONTHS)), 41)
+    assert not os.path.exists(os.path.join(root, "failed", "data")) and store.count("failed") == 40 and not store.exists("raw")
+    store.append(spark.createDataFrame([("other",)], f"{REASON} string"), "failed")
+    for view in (store, TableStore(spark, root)):
+        got = Counter(r[0] for r in view.read("failed").select(REASON).collect())
+        assert got == {str(stopped.value): 40, "other": 1}
+
+
+def test_work_tables_go_when_their_layer_is_written(spark, scratch):
+    Runner(spark, TableStore(spark, scratch), SPEC).all_layers(frame(spark, transactions(3, 60, ["BEDOK"], MONTHS)), 60)
+    assert not glob.glob(os.path.join(scratch, "**", "work-*"), recursive=True)
+
+
+def test_the_streamed_chain_lands_compressed_files(spark, monkeypatch):
+    seen = []
+
+    def land(df, path, **options):
+        seen.append(options)
+        raise InterruptedError
+    monkeypatch.setattr(q_sources.csvsrc, "land_csv", land)
+    with pytest.raises(InterruptedError):
+        q_sources.q_stream_layers(spark, "/root/testdata/sf0.001")
+    assert seen == [{"compression": "gzip"}]
